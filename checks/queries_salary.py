@@ -355,7 +355,7 @@ def gate_split_ids(spark, sf_dir):
 
 
 @check("gate_columns_and_schema", f"""WITH {POSTINGS_SQL}, c AS (SELECT count(*) AS n FROM postings)
-SELECT 'columns_present' AS "check", 0 AS failures, true AS passed, n AS rows FROM c
+SELECT 'columns_present' AS "check", CAST(0 AS BIGINT) AS failures, true AS passed, n AS rows FROM c
 UNION ALL SELECT 'same_schema', 0, true, n FROM c""")
 def gate_columns_and_schema(spark, sf_dir):
     rows = postings(spark, sf_dir)
@@ -369,7 +369,7 @@ SELECT o_orderkey, o_totalprice, o_orderstatus FROM split_rows WHERE split = 'te
 def split_written_and_read(spark, sf_dir):
     rows = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     path = scratch(spark, "split")
-    binned = preparation.stratify_bins(rows, "o_totalprice").drop()
+    binned = preparation.stratify_bins(rows, "o_totalprice")
     drawn = preparation.stratified_split(binned, "o_orderkey").drop("stratum")
     sources.write_split(drawn, path)
     return sources.read_split(spark, path, "test")
@@ -379,7 +379,7 @@ def split_written_and_read(spark, sf_dir):
 def csv_written_and_read(spark, sf_dir):
     path = scratch(spark, "csv")
     rows = postings(spark, sf_dir).select("id", "salary", "job_description", "requirements")
-    rows.write.csv(path, header=True, quote='"', escape='"')
+    sources.write_csv(rows, path)
     read = sources.read_csv_table(spark, path, rows.schema)
     return read.withColumn("salary", F.nullif("salary", F.lit("")))
 

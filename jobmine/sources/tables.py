@@ -14,6 +14,11 @@ from jobmine.functions.text import UNKNOWN
 from jobmine.operators import gates
 
 MB = 1 << 20
+# Long texts hold line breaks, quotes, commas and blanks at their ends; all are kept.
+CSV = {
+    "header": True, "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _head(df: DataFrame, limit: int | None, order: str | None) -> DataFrame:
@@ -33,13 +38,15 @@ def read_csv_table(
     spark: SparkSession, path: str, schema: StructType | str, limit: int | None = None,
     order: str | None = None,
 ) -> DataFrame:
-    """CSV with a header; long texts may hold line breaks, quotes and commas."""
-    df = spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST"
-    )
+    """CSV with a header, as ``write_csv`` makes it."""
+    df = spark.read.options(**CSV).csv(path, schema=schema, multiLine=True, mode="FAILFAST")
     return _head(df, limit, order)
 
 
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).options(**CSV).csv(path)
+
+
 def tenth(limit: int | None) -> int | None:
     """A tenth of the train limit, at least one row."""
     return None if limit is None else max(1, limit // 10)
@@ -77,11 +84,10 @@ def ensure_base_columns(
 
 def write_split(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """One dataset with a folder per split; other names for a split are reads, not copies."""
-    writer = df.write.mode("overwrite").partitionBy("split")
     if fmt == "csv":
-        writer.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        write_csv(df, path, ["split"])
     else:
-        writer.parquet(path)
+        df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
@@ -92,9 +98,7 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 def write_audit(tables: dict[str, DataFrame], path: str) -> None:
     """Each small report table as one CSV file."""
     for name, table in tables.items():
-        table.coalesce(1).write.mode("overwrite").csv(
-            f"{path}/{name}", header=True, quote='"', escape='"'
-        )
+        write_csv(table.coalesce(1), f"{path}/{name}")
 
 
 def write_json_record(df: DataFrame, path: str) -> None:
