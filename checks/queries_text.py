@@ -165,12 +165,13 @@ def missing_summary(spark, sf_dir):
 
 
 @check("duplicate_summary", """WITH c AS (
-  SELECT 'duplicate_id' AS "check", sum(n) AS count FROM (SELECT count(*) AS n FROM documents GROUP BY doc_id) WHERE n > 1
-  UNION ALL SELECT 'duplicate_full_row', sum(n) FROM (SELECT count(*) AS n FROM documents GROUP BY ALL) WHERE n > 1
-  UNION ALL SELECT 'duplicate_near_key', sum(n) FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang) WHERE n > 1)
+  SELECT 'duplicate_id' AS "check", sum(n) AS count FROM (SELECT count(*) AS n FROM documents GROUP BY text) WHERE n > 1
+  UNION ALL SELECT 'duplicate_full_row', sum(n) FROM (SELECT count(*) AS n FROM documents GROUP BY text, lang, source) WHERE n > 1
+  UNION ALL SELECT 'duplicate_near_key', sum(n) FROM (SELECT count(*) AS n FROM documents GROUP BY lang, source) WHERE n > 1)
 SELECT "check", CAST(coalesce(count, 0) AS BIGINT) AS count FROM c""")
 def duplicate_summary(spark, sf_dir):
-    return profiling.duplicate_summary(documents(spark, sf_dir), "doc_id", ["text", "lang"])
+    rows = documents(spark, sf_dir).select("text", "lang", "source")
+    return profiling.duplicate_summary(rows, "text", ["lang", "source"])
 
 
 @check("text_length_summary", " UNION ALL ".join(
@@ -235,13 +236,6 @@ def dataset_overview(spark, sf_dir):
     return longs(rounded(overview), "features_per_sample")
 
 
-def _hist_sql(source: str, value: str, bins: int, by: str = "") -> str:
-    keep = f"{by}, " if by else ""
-    place = f"least(CAST(floor(({value} - lo) / ((hi - lo) / {bins})) AS BIGINT), {bins - 1})"
-    return f"""h AS (SELECT {keep}{value} AS {value}, min({value}) OVER () AS lo, max({value}) OVER () AS hi FROM {source})
-SELECT {keep}{place} AS bin, round(min(lo) + {place} * (min(hi - lo) / {bins}), 4) AS bin_start, count(*) AS count FROM h GROUP BY ALL"""
-
-
 @check("histogram", "WITH c AS (SELECT least(CAST(l_extendedprice AS DOUBLE), 60000) AS v FROM lineitem), h AS (SELECT v, min(v) OVER () AS lo, max(v) OVER () AS hi FROM c), "
        "p AS (SELECT least(CAST(floor((v - lo) / ((hi - lo) / 50)) AS BIGINT), 49) AS bin, lo, (hi - lo) / 50 AS w FROM h) "
        "SELECT bin, round(min(lo) + bin * min(w), 4) AS bin_start, count(*) AS count FROM p GROUP BY bin")
@@ -251,9 +245,9 @@ def histogram(spark, sf_dir):
 
 @check("histogram_by_split", f"WITH {split_sql('events', 'event_id', 'value')}, h AS (SELECT split, value AS v, min(value) OVER () AS lo, max(value) OVER () AS hi FROM split_rows), "
        "p AS (SELECT split, least(CAST(floor((v - lo) / ((hi - lo) / 40)) AS BIGINT), 39) AS bin, lo, (hi - lo) / 40 AS w FROM h) "
-       "SELECT split, bin, round(min(lo) + bin * min(w), 4) AS bin_start, count(*) AS count FROM p GROUP BY split, bin")
+       "SELECT split, bin, round(min(lo) + bin * min(w), 6) AS bin_start, count(*) AS count FROM p GROUP BY split, bin")
 def histogram_by_split(spark, sf_dir):
-    return longs(rounded(profiling.histogram_table(_split_events(spark, sf_dir), "value", 40, by=["split"]), digits=4), "bin")
+    return longs(rounded(profiling.histogram_table(_split_events(spark, sf_dir), "value", 40, by=["split"])), "bin")
 
 
 def _box_sql(source: str, value: str, by: str = "") -> str:
