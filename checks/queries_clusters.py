@@ -164,11 +164,7 @@ DISTANCE = "list_sum(list_transform(list_zip({0}, {1}), lambda z: (z[1] - z[2])
 
 
 def centers(spark, sf_dir):
-    means = clustering.cluster_means(points(spark, sf_dir))
-    found = clustering.collect_centers(means, "cluster_id", "center")
-    import numpy as np
-
-    return np.array([found[c] for c in sorted(found)])
+    return clustering.collect_centers(clustering.cluster_means(points(spark, sf_dir)), "cluster_id")[1]
 
 
 @check("l2_normalize", f"""{POINTS_SQL}, s AS (SELECT id, list_transform(x, lambda v: v * 3 + 0.1) AS x FROM pts)
@@ -250,7 +246,10 @@ def gate_enough_clusters(spark, sf_dir):
     return gates.enough_clusters(points(spark, sf_dir))
 
 
-@check("gate_features", """SELECT unnest(['rows_match', 'width', 'finite']) AS "check", CAST(0 AS BIGINT) AS failures, true AS passed""")
+@check("gate_features", """WITH c AS (SELECT 'rows_match' AS "check", count(*) FILTER (WHERE vec_id IS NULL) AS failures FROM embeddings
+  UNION ALL SELECT 'width', count(*) FILTER (WHERE len(embedding) <> 64) FROM embeddings
+  UNION ALL SELECT 'finite', count(*) FILTER (WHERE len(list_filter(embedding, lambda v: NOT isfinite(v))) > 0) FROM embeddings)
+SELECT "check", failures, failures = 0 AS passed FROM c""")
 def gate_features(spark, sf_dir):
     rows = points(spark, sf_dir)
     return gates.features_sound(rows, rows.select("id"), 64)
@@ -487,7 +486,7 @@ def model_info(spark, sf_dir):
 def train_and_score_flow(spark, sf_dir):
     """Train on one part of the postings and give the other part its clusters."""
     rows = score_plan.prepare_new(postings(spark, sf_dir)).withColumn(
-        "split", F.when(F.col("job_type") == "F", "test").otherwise(F.lit("train")))
+        "split", F.when(F.col("job_type") == "f", "test").otherwise(F.lit("train")))
     rows = stage(rows, "prepared")
     trained = train_plan.train(rows.where("split = 'train'"), SMALL)
     found = score_plan.assign_new(rows.where("split = 'test'"), trained.features, trained.model.centers)

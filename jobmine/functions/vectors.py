@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 
 def norm(col: Column) -> Column:
@@ -36,11 +36,16 @@ def squared_distances(points: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 def nearest(vector: Column, centers: np.ndarray) -> Column:
-    """Index of the nearest center; ties go to the lowest index. ``centers`` is k by width."""
-    @F.arrow_udf(IntegerType())
+    """Struct of the nearest center's ``index`` (ties: the lowest) and the ``squared`` distance to
+    it. ``centers`` is k by width."""
+    @F.arrow_udf(StructType([StructField("index", IntegerType()), StructField("squared", DoubleType())]))
     def find(vectors: pa.Array) -> pa.Array:
         points = matrix(vectors, centers.shape[1])
-        return pa.array(squared_distances(points, centers).argmin(axis=1), pa.int32())
+        index = squared_distances(points, centers).argmin(axis=1)
+        squared = ((points - centers[index]) ** 2).sum(axis=1)
+        return pa.StructArray.from_arrays(
+            [pa.array(index, pa.int32()), pa.array(squared)], names=["index", "squared"]
+        )
 
     return find(vector)
 

@@ -18,6 +18,9 @@ from jobmine.functions import vectors as V
 from jobmine.operators.ordered import sample_n
 
 MAX_CENTER_BYTES = 64 * 1024 * 1024
+MAX_CLUSTERS = 1_000
+# A batch counts as better when the smoothed mean distance falls by this share.
+_GAIN = 1e-4
 
 
 @dataclass(frozen=True)
@@ -55,12 +58,14 @@ class ClusterModel:
         )
 
 
-def collect_centers(centers: DataFrame, by: str, col: str) -> dict[int, np.ndarray]:
-    """Centers on the driver, after a check that they are as few as a model has."""
-    shape = centers.agg(F.count(F.lit(1)).alias("k"), F.max(F.size(col)).alias("width")).first()
-    if (shape["k"] or 0) * (shape["width"] or 0) * 8 > MAX_CENTER_BYTES:
-        raise ValueError(f"{shape['k']} centers of width {shape['width']} are too many to broadcast")
-    return {r[by]: np.array(r[col], dtype=float) for r in centers.orderBy(by).collect()}
+def collect_centers(means: DataFrame, by: str) -> tuple[list, np.ndarray, np.ndarray]:
+    """Labels, centers and sizes on the driver, after a check that they are as few as a model has."""
+    rows = means.select(by, "center", "size").take(MAX_CLUSTERS + 1)
+    if len(rows) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
+    rows.sort(key=lambda r: r[by])
+    centers = np.array([r["center"] for r in rows], dtype=float)
+    return [r[by] for r in rows], centers, np.array([r["size"] for r in rows])
 
 
 def cluster_means(df: DataFrame, by: str = "cluster_id", col: str = "features") -> DataFrame:
@@ -77,14 +82,13 @@ def assign_cluster(
     """Append the nearest center, for train, test or new rows. Narrow."""
     if centers.nbytes > MAX_CENTER_BYTES:
         raise ValueError("the centers are too large to broadcast")
-    return df.withColumn(out, V.nearest(F.col(col).cast("array<double>"), centers))
+    return df.withColumn(out, V.nearest(F.col(col).cast("array<double>"), centers)["index"])
 
 
 def inertia(df: DataFrame, centers: np.ndarray, col: str = "features") -> DataFrame:
     """Sum of squared distances to the nearest center."""
-    vector = F.col(col).cast("array<double>")
-    placed = df.select(vector.alias("_x"), V.nearest(vector, centers).alias("_c"))
-    return placed.agg(F.sum(V.squared_distance_to(F.col("_x"), F.col("_c"), centers)).alias("inertia"))
+    found = df.select(V.nearest(F.col(col).cast("array<double>"), centers).alias("found"))
+    return found.agg(F.sum("found.squared").alias("inertia"))
 
 
 def renumbered(model: ClusterModel, df: DataFrame, col: str = "features") -> ClusterModel:
@@ -135,7 +139,7 @@ def minibatch_kmeans_fit(
     vector = F.col(col).cast("array<double>")
     drawn = drawn.select(
         vector.alias("features"), F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(batches)).alias("batch")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    ).repartition(batches, "batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         first = drawn.where(F.col("batch") == 0)
         centers = kmeans_fit(first, k, restarts, 1, seed).centers.copy()
@@ -145,10 +149,10 @@ def minibatch_kmeans_fit(
         smoothed, best, waited = None, None, 0
         for step in range(max_batches):
             batch = drawn.where(F.col("batch") == step % batches)
-            placed = batch.select("features", V.nearest(F.col("features"), centers).alias("c"))
-            found = placed.groupBy("c").agg(
+            placed = batch.select("features", V.nearest(F.col("features"), centers).alias("at"))
+            found = placed.groupBy(F.col("at.index").alias("c")).agg(
                 Summarizer.sum(array_to_vector("features")).alias("s"), F.count(F.lit(1)).alias("n"),
-                F.sum(V.squared_distance_to(F.col("features"), F.col("c"), centers)).alias("d"),
+                F.sum("at.squared").alias("d"),
             ).collect()  # k rows
             rows = sum(r["n"] for r in found)
             for r in found:
@@ -157,7 +161,7 @@ def minibatch_kmeans_fit(
             mean = sum(r["d"] for r in found) / max(rows, 1)
             weight = min(1.0, 2.0 * rows / (total + 1))
             smoothed = mean if smoothed is None else smoothed * (1 - weight) + mean * weight
-            if best is None or smoothed < best:
+            if best is None or smoothed < best * (1 - _GAIN):
                 best, waited = smoothed, 0
             else:
                 waited += 1

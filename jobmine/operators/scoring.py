@@ -28,11 +28,10 @@ def silhouette(sample: DataFrame, by: str = "cluster_id", col: str = "features")
     distances per cluster, so no pair of rows is ever a row. A lone member of a cluster scores 0.
     """
     points = sample.select(F.col(by).alias("c"), F.col(col).cast("array<double>").alias("x"))
-    shape = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("width")).first()
-    rows, width = shape["n"] or 0, shape["width"] or 0
-    if rows > MAX_SILHOUETTE_ROWS or rows * width * 8 > MAX_SILHOUETTE_BYTES:
-        raise ValueError(f"{rows} rows of width {width}: draw a sample first")
-    held = points.collect()
+    held = points.limit(MAX_SILHOUETTE_ROWS + 1).collect()
+    width = len(held[0]["x"]) if held else 0
+    if len(held) > MAX_SILHOUETTE_ROWS or len(held) * width * 8 > MAX_SILHOUETTE_BYTES:
+        raise ValueError(f"more than {MAX_SILHOUETTE_ROWS} rows or too wide: draw a sample first")
     labels = sorted({r["c"] for r in held})
     if len(labels) < 2:
         raise ValueError("a silhouette needs two clusters")
@@ -67,51 +66,58 @@ def silhouette(sample: DataFrame, by: str = "cluster_id", col: str = "features")
     return points.select(score(F.col("c"), F.col("x")).alias("s")).agg(F.avg("s").alias("silhouette"))
 
 
-def _spreads(df: DataFrame, by: str, col: str) -> tuple[DataFrame, np.ndarray, np.ndarray, list]:
-    """Rows with their squared distance to the own center; centers, sizes and labels (k of each).
+def _geometry(df: DataFrame, by: str, col: str) -> tuple[DataFrame, list, np.ndarray, np.ndarray]:
+    """Per cluster its size, spread and squares; the labels, the distances between centers and
+    their squared distances to the overall mean.
 
     Centers are captured by the tasks instead of joined, so a large cluster is not one task.
     """
-    means = cluster_means(df, by, col)
-    found = collect_centers(means.select(by, "center"), by, "center")
-    counted = {r[by]: r["size"] for r in means.select(by, "size").collect()}
-    labels = list(found)
-    centers = np.array([found[c] for c in labels])
-    sizes = np.array([counted[c] for c in labels])
+    labels, centers, sizes = collect_centers(cluster_means(df, by, col), by)
     index = F.create_map(*[F.lit(x) for i, c in enumerate(labels) for x in (c, i)])[F.col(by)]
-    vector = F.col(col).cast("array<double>")
-    measured = df.select(F.col(by).alias("c"), V.squared_distance_to(vector, index.cast("int"), centers).alias("d2"))
-    return measured, centers, sizes, labels
+    squared = V.squared_distance_to(F.col(col).cast("array<double>"), index.cast("int"), centers)
+    measured = df.select(F.col(by).alias("c"), squared.alias("d2")).groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.sqrt("d2")).alias("spread"), F.sum("d2").alias("within")
+    )
+    gaps = np.sqrt(((centers[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2))
+    middle = (centers * sizes[:, None]).sum(axis=0) / sizes.sum()
+    return measured, labels, gaps, ((centers - middle) ** 2).sum(axis=1)
 
 
-def davies_bouldin(df: DataFrame, by: str = "cluster_id", col: str = "features") -> DataFrame:
-    """Mean over clusters of the worst ratio of spreads to center distance. Lower is better."""
-    measured, centers, _, labels = _spreads(df, by, col)
-    spreads = measured.groupBy("c").agg(F.avg(F.sqrt("d2")).alias("s"))
-    gaps = np.sqrt(((centers[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2))
+def _davies_bouldin(measured: DataFrame, labels: list, gaps: np.ndarray) -> DataFrame:
+    """From one row per cluster: all pairs of clusters come as a table, joined on both labels."""
     pairs = [
         (labels[i], labels[j], float(gaps[i, j]))
         for i in range(len(labels)) for j in range(len(labels)) if i != j
     ]
     key = dict(measured.dtypes)["c"]
-    between = df.sparkSession.createDataFrame(pairs, f"a {key}, b {key}, gap double")
+    between = measured.sparkSession.createDataFrame(pairs, f"a {key}, b {key}, gap double")
     worst = (
-        between.join(spreads.select(F.col("c").alias("a"), F.col("s").alias("sa")), "a")
-        .join(spreads.select(F.col("c").alias("b"), F.col("s").alias("sb")), "b")
+        between.join(measured.select(F.col("c").alias("a"), F.col("spread").alias("sa")), "a")
+        .join(measured.select(F.col("c").alias("b"), F.col("spread").alias("sb")), "b")
         .groupBy("a").agg(F.max((F.col("sa") + F.col("sb")) / F.col("gap")).alias("worst"))
     )
     return worst.agg(F.avg("worst").alias("davies_bouldin"))
 
 
+def _calinski_harabasz(measured: DataFrame, labels: list, apart: np.ndarray) -> DataFrame:
+    """From one row per cluster; ``apart`` is each center's squared distance to the overall mean."""
+    n, within, k = F.sum("n"), F.sum("within"), len(labels)
+    distance = F.create_map(*[F.lit(x) for c, d in zip(labels, apart, strict=True) for x in (c, float(d))])
+    between = F.sum(F.col("n") * distance[F.col("c")])
+    ratio = (between / (k - 1)) / (within / (n - k))
+    return measured.agg(F.when(within == 0, 1.0).otherwise(ratio).alias("calinski_harabasz"))
+
+
+def davies_bouldin(df: DataFrame, by: str = "cluster_id", col: str = "features") -> DataFrame:
+    """Mean over clusters of the worst ratio of spreads to center distance. Lower is better."""
+    measured, labels, gaps, _ = _geometry(df, by, col)
+    return _davies_bouldin(measured, labels, gaps)
+
+
 def calinski_harabasz(df: DataFrame, by: str = "cluster_id", col: str = "features") -> DataFrame:
     """Dispersion between clusters over dispersion within. Higher is better."""
-    measured, centers, sizes, labels = _spreads(df, by, col)
-    n, k = int(sizes.sum()), len(labels)
-    middle = (centers * sizes[:, None]).sum(axis=0) / n
-    between = float((sizes * ((centers - middle) ** 2).sum(axis=1)).sum())
-    within = F.sum("d2")
-    ratio = (F.lit(between) / (k - 1)) / (within / (n - k))
-    return measured.agg(F.when(within == 0, 1.0).otherwise(ratio).alias("calinski_harabasz"))
+    measured, labels, _, apart = _geometry(df, by, col)
+    return _calinski_harabasz(measured, labels, apart)
 
 
 def cluster_balance(df: DataFrame, by: str = "cluster_id") -> DataFrame:
@@ -130,12 +136,15 @@ def evaluate_clusters(
     """One row with all scores: quality on a fixed sample, balance on all rows."""
     sample = sample_n(labelled.select(id_col, by, col), sample_size, id_col, seed).persist()
     gates.require(gates.enough_clusters(sample, by))
+    measured, labels, gaps, apart = _geometry(sample, by, col)
+    measured = measured.persist()
     row = {}
     for table in (
-        silhouette(sample, by, col), davies_bouldin(sample, by, col),
-        calinski_harabasz(sample, by, col), cluster_balance(labelled, by),
+        silhouette(sample, by, col), _davies_bouldin(measured, labels, gaps),
+        _calinski_harabasz(measured, labels, apart), cluster_balance(labelled, by),
     ):
         row.update(table.first().asDict())
+    measured.unpersist()
     sample.unpersist()
     return labelled.sparkSession.createDataFrame([tuple(row.values())], list(row))
 
