@@ -130,6 +130,7 @@ class Settings:
     restarts: int = 10
     max_iter: int = 300
     minibatch_size: int = 4_096
+    minibatch_steps: int = 100
 
     @property
     def usd_to_million_vnd(self) -> float:

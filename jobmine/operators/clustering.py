@@ -186,13 +186,15 @@ def fit_on_sample(
     return replace(model, fit_note=f"fit_on_sample_{limit}", fit_rows=limit)
 
 
-def grid_specs(fit_sample: int | None, restarts: int, max_iter: int, batch: int, seed: int):
+def grid_specs(
+    fit_sample: int | None, restarts: int, max_iter: int, batch: int, seed: int, max_batches: int = 100
+):
     """The three (model, space) pairs that are compared."""
     def full(df: DataFrame, k: int) -> ClusterModel:
         return kmeans_fit(df, k, restarts, max_iter, seed)
 
     def mini(df: DataFrame, k: int) -> ClusterModel:
-        return minibatch_kmeans_fit(df, k, batch, seed=seed)
+        return minibatch_kmeans_fit(df, k, batch, max_batches, seed=seed)
 
     return (
         ("KMeans", "svd", full, fit_sample),

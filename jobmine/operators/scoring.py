@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from jobmine.functions import vectors as V
+from jobmine.functions.vectors import matrix, squared_distance_to, squared_distances
 from jobmine.operators import gates
 from jobmine.operators.clustering import cluster_means, collect_centers
 from jobmine.operators.ordered import sample_n
@@ -46,11 +46,11 @@ def silhouette(sample: DataFrame, by: str = "cluster_id", col: str = "features")
     @F.arrow_udf(DoubleType())
     def score(own: pa.Array, vectors: pa.Array) -> pa.Array:
         mine = np.array([position[c] for c in own.to_pylist()])
-        batch = V.matrix(vectors, width)
+        batch = matrix(vectors, width)
         result = np.zeros(len(mine))
         for a in range(0, len(mine), _BLOCK):
             part = mine[a:a + _BLOCK]
-            gaps = np.sqrt(V.squared_distances(batch[a:a + _BLOCK], shared.value))
+            gaps = np.sqrt(squared_distances(batch[a:a + _BLOCK], shared.value))
             per_cluster = np.add.reduceat(gaps, starts, axis=1)
             at = np.arange(len(part))
             alone = sizes[part] == 1
@@ -74,7 +74,7 @@ def _geometry(df: DataFrame, by: str, col: str) -> tuple[DataFrame, list, np.nda
     """
     labels, centers, sizes = collect_centers(cluster_means(df, by, col), by)
     index = F.create_map(*[F.lit(x) for i, c in enumerate(labels) for x in (c, i)])[F.col(by)]
-    squared = V.squared_distance_to(F.col(col).cast("array<double>"), index.cast("int"), centers)
+    squared = squared_distance_to(F.col(col).cast("array<double>"), index.cast("int"), centers)
     measured = df.select(F.col(by).alias("c"), squared.alias("d2")).groupBy("c").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.sqrt("d2")).alias("spread"), F.sum("d2").alias("within")
     )

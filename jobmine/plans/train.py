@@ -88,7 +88,8 @@ def train(
     model, weights, svd = fit_features(rows, settings)
     low = stage(model.low(svd), "low")
     specs = clustering.grid_specs(
-        settings.fit_sample, settings.restarts, settings.max_iter, settings.minibatch_size, settings.seed
+        settings.fit_sample, settings.restarts, settings.max_iter, settings.minibatch_size,
+        settings.seed, settings.minibatch_steps,
     )
     metrics, _ = clustering.run_grid(
         {"svd": svd, "svd10_l2": low}, settings.k_values, specs,
