@@ -100,7 +100,9 @@ def _digits() -> tuple[str, str]:
 
 @F.arrow_udf(StringType())
 def _normalize_nfkc(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFKC")
+    return pa.array(
+        [t if t is None else unicodedata.normalize("NFKC", t) for t in text.to_pylist()], pa.string()
+    )
 
 
 @F.arrow_udf(StringType())
