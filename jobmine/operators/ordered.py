@@ -40,7 +40,7 @@ def _bounds(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame | list[fl
     there are more groups than a driver should hold.
     """
     shares = [i / BUCKETS for i in range(1, BUCKETS)]
-    found = df.where(F.col(value).isNotNull()).groupBy(*by).agg(
+    found = df.where(F.col(value).isNotNull()).groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
         F.percentile_approx(value, shares, 10_000).alias("_bounds")
     )
     if not by:
@@ -83,10 +83,9 @@ def running_totals(
         )
     bounds = _bounds(df, value, by)
     if by:
-        match = [values[c].eqNullSafe(bounds[c]) for c in by]
+        match = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
         located = values.join(bounds, match, "left").select(
-            *[values[c] for c in (*by, value, *sums)],
-            _bucket(values[value], bounds["_bounds"]).alias("_bucket"),
+            *by, value, *sums, _bucket(F.col(value), F.col("_bounds")).alias("_bucket")
         )
     else:
         cuts = F.expr(f"array({', '.join(f'{float(b)!r}D' for b in bounds)})")
