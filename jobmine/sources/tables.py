@@ -38,7 +38,7 @@ def read_csv_table(
     spark: SparkSession, path: str, schema: StructType | str, limit: int | None = None,
     order: str | None = None,
 ) -> DataFrame:
-    """CSV with a header, as ``write_csv`` makes it."""
+    """CSV with a header, as ``write_csv`` makes it; a blank cell is null."""
     df = spark.read.options(**CSV).csv(path, schema=schema, multiLine=True, mode="FAILFAST")
     return _head(df, limit, order)
 
