@@ -206,13 +206,14 @@ def grid_specs(
 def run_grid(
     spaces: dict[str, DataFrame], k_values: Sequence[int], specs, score, seed: int = 42
 ) -> tuple[DataFrame, dict[tuple[str, str, int], ClusterModel]]:
-    """Fit every (model, space, k) and score it; the loop runs over the few models only.
+    """Fit every (model, space, k) and score it; the loop runs over the few models only. The
+    spaces should be stored tables, as they are read once per model.
 
     ``score(labelled)`` returns a one-row DataFrame for the labelled table of a model.
     """
     models, tables = {}, []
     for name, space, fit, limit in specs:
-        data = spaces[space].persist(StorageLevel.MEMORY_AND_DISK)
+        data = spaces[space]
         for k in k_values:
             model = fit_on_sample(data, lambda df, k=k, fit=fit: fit(df, k), limit, seed)
             models[name, space, k] = model
@@ -221,7 +222,6 @@ def run_grid(
                 name, space, k, model.seconds, model.inertia, *[row[c] for c in SCORES],
                 model.fit_note, model.fit_rows,
             ))
-        data.unpersist()
     spark = next(iter(spaces.values())).sparkSession
     schema = (
         "model string, feature_space string, k int, train_time_sec double, inertia double, "

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobmine.session import stage, staging_dir
+
 BUCKETS = 256
 _STEP = 16  # bounds are searched in two steps of 16
 MAX_LOCAL_GROUPS = 1_000
@@ -47,8 +49,6 @@ def _bounds(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame | list[fl
         return found.first()["_bounds"] or []
     rows = found.take(MAX_LOCAL_GROUPS + 1)
     if len(rows) > MAX_LOCAL_GROUPS:
-        from jobmine.session import staging_dir
-
         staging_dir(df.sparkSession)
         return found.checkpoint()
     return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
@@ -209,10 +209,18 @@ def mark_drawn(
     )
 
 
+def first_n(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
+    """The n smallest rows by unique keys, in order. Only keys are ranked; whole rows stay where
+    they are until n are left."""
+    key = F.struct(*[k.alias(f"_k{i}") for i, k in enumerate(keys)])
+    last = df.select(key.alias("_key")).orderBy("_key").limit(n).agg(F.max("_key")).scalar()
+    return df.where(key <= last).orderBy(*keys)
+
+
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, the same ones in any partitioning. Ids must be unique."""
-    if n <= 100:  # a few rows per task
-        return df.orderBy(hash_key(id_col, seed), id_col).limit(n)
+    if n <= 100:  # a few keys per task
+        return first_n(df, n, [hash_key(id_col, seed), F.col(id_col)])
     total = df.count()
     if total <= n:
         return df
@@ -240,7 +248,9 @@ def attach_by_key(
     A key with more than a thousandth of all counted rows is looked up by broadcast (there are
     fewer than a thousand of those) and its rows are spread over many shuffle partitions by a hash
     of ``spread_by``, which must tell rows of a key apart and not change between task attempts.
+    ``found`` is written once, because its total, its hot and its other keys are read separately.
     """
+    found = stage(found, "by-key")
     payload = [c for c in found.columns if c != key]
     total = found.agg(F.sum(size)).scalar()
     is_hot = F.col(size) * HOT_SHARE > total

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jobmine.config import AMBIGUOUS_KEYWORDS, LENGTH_COLUMNS, LONG_TEXT_COLUMNS, NEAR_DUPLICATE_KEY
 from jobmine.functions import text as T
-from jobmine.operators.ordered import quantiles
+from jobmine.operators.ordered import first_n, quantiles
 from jobmine.operators.rows import row_digest
 from jobmine.operators.salary import salary_length_flags, salary_patterns
 
@@ -104,11 +104,16 @@ def with_ratio(counts: DataFrame, count: str = "count") -> DataFrame:
     return counts.withColumn("ratio", F.col(count) / counts.agg(F.sum(count)).scalar())
 
 
-def salary_pattern_summary(df: DataFrame, col: str = "salary") -> DataFrame:
-    found = salary_patterns(df.select(col), col).groupBy("salary_pattern").count()
+def pattern_counts(patterned: DataFrame) -> DataFrame:
+    """Counts and shares of the patterns of a table that has them."""
+    found = patterned.groupBy("salary_pattern").count()
     return with_ratio(found).orderBy(F.desc("count"), "salary_pattern")
 
 
+def salary_pattern_summary(df: DataFrame, col: str = "salary") -> DataFrame:
+    return pattern_counts(salary_patterns(df.select(col), col))
+
+
 def duplicate_summary(
     df: DataFrame, id_col: str = "id", near_key: Sequence[str] = NEAR_DUPLICATE_KEY
 ) -> DataFrame:
@@ -172,37 +177,44 @@ def salary_mention_ratio(
     )
 
 
+def oddest(flagged: DataFrame, id_col: str = "id", n: int = 200) -> DataFrame:
+    """Two currencies first, then the longest."""
+    return flagged.orderBy(
+        F.desc("salary_has_multiple_currencies"), F.desc("salary_length"), id_col
+    ).limit(n)
+
+
 def salary_outlier_examples(
     df: DataFrame, id_col: str = "id", col: str = "salary", n: int = 200
 ) -> DataFrame:
-    """The n oddest pay texts: two currencies first, then the longest."""
-    return (
-        salary_length_flags(df.select(id_col, col), col)
-        .orderBy(F.desc("salary_has_multiple_currencies"), F.desc("salary_length"), id_col)
-        .limit(n)
-    )
+    """The n oddest pay texts."""
+    return oddest(salary_length_flags(df.select(id_col, col), col), id_col, n)
 
 
-def rule_candidates(
-    df: DataFrame, columns: Sequence[str] = LONG_TEXT_COLUMNS, col: str = "salary"
-) -> DataFrame:
-    """Candidate cleaning rules: mention columns by ratio, the ten commonest pay patterns and the
-    fixed keyword list, as (rule, rank, value, ratio) rows."""
-    mentions = salary_mention_ratio(df, columns, "ratio").withColumnRenamed("column", "value")
-    patterns = salary_pattern_summary(df, col).select(
-        F.col("salary_pattern").alias("value"), "ratio"
+def rules_from(mentions: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Candidate cleaning rules as (rule, rank, value, ratio) rows, from the two small reports."""
+    columns = mentions.select(
+        F.lit("high_salary_mention_columns").alias("rule"), F.col("column").alias("value"),
+        F.col("salary_mention_ratio").alias("ratio"),
+    )
+    commonest = patterns.select(
+        F.lit("top_salary_patterns").alias("rule"), F.col("salary_pattern").alias("value"), "ratio"
     )
     # Both tables have at most a dozen rows here.
     order = Window.partitionBy("rule").orderBy(F.desc("ratio"), "value")
-    found = mentions.withColumn("rule", F.lit("high_salary_mention_columns")).unionByName(
-        patterns.withColumn("rule", F.lit("top_salary_patterns"))
-    ).withColumn("rank", F.row_number().over(order)).where("rank <= 10")
-    spark = df.sparkSession
-    keywords = spark.createDataFrame(
+    found = columns.unionByName(commonest).withColumn("rank", F.row_number().over(order))
+    keywords = mentions.sparkSession.createDataFrame(
         [("remove_ambiguous_salary_keywords", i + 1, k, None) for i, k in enumerate(AMBIGUOUS_KEYWORDS)],
         "rule string, rank int, value string, ratio double",
     )
-    return found.select("rule", "rank", "value", "ratio").unionByName(keywords)
+    return found.where("rank <= 10").select("rule", "rank", "value", "ratio").unionByName(keywords)
+
+
+def rule_candidates(
+    df: DataFrame, columns: Sequence[str] = LONG_TEXT_COLUMNS, col: str = "salary"
+) -> DataFrame:
+    """Mention columns by ratio, the ten commonest pay patterns and the fixed keyword list."""
+    return rules_from(salary_mention_ratio(df, columns), salary_pattern_summary(df, col))
 
 
 def parse_audit(parsed: DataFrame) -> DataFrame:
@@ -410,7 +422,7 @@ def outlier_examples(
 ) -> DataFrame:
     """The first n flagged rows, train before test."""
     rank = F.when(F.col("split") == "train", 0).otherwise(1)
-    return df.where(F.col(flag)).orderBy(rank, id_col).limit(n)
+    return first_n(df.where(F.col(flag)), n, [rank, F.col(id_col)])
 
 
 def data_dictionary(spark: SparkSession) -> DataFrame:

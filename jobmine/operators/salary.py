@@ -122,16 +122,17 @@ def salary_patterns(df: DataFrame, col: str = "salary") -> DataFrame:
     )
 
 
+def flag_normal_form(df: DataFrame, col: str = "salary_raw_normalized") -> DataFrame:
+    """Length, words, two currencies, no digit of a normal form."""
+    text = F.col(col)
+    return df.withColumns({
+        "salary_length": F.length(text),
+        "salary_word_count": F.when(text == "", 0).otherwise(F.size(F.split(text, " "))),
+        "salary_has_multiple_currencies": text.rlike(S.TWO_CURRENCIES),
+        "salary_has_no_digits": ~S.has_number(text),
+    })
+
+
 def salary_length_flags(df: DataFrame, col: str = "salary") -> DataFrame:
-    """Length, words, two currencies, no digit: all on the normal form."""
-    text = F.col("_text")
-    return (
-        with_normal_form(df, col, "_text")
-        .withColumns({
-            "salary_length": F.length(text),
-            "salary_word_count": F.when(text == "", 0).otherwise(F.size(F.split(text, " "))),
-            "salary_has_multiple_currencies": text.rlike(S.TWO_CURRENCIES),
-            "salary_has_no_digits": ~S.has_number(text),
-        })
-        .drop("_text")
-    )
+    """The flags of a pay text, taken on its normal form."""
+    return flag_normal_form(with_normal_form(df, col, "_text"), "_text").drop("_text")

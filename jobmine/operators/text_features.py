@@ -203,9 +203,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], factor: np.ndarray):
 def _gram_times(weights: DataFrame, basis: np.ndarray) -> np.ndarray:
     """``A'A basis`` for the document-term matrix ``A``, in one pass over the documents.
 
-    Each task adds up its rows; blocks of term rows are summed by Spark, partial sums first.
+    Each task adds up its rows; blocks of term rows are summed by Spark, partial sums first. Tasks
+    take several input splits each, so that there are few partial results for many documents.
     """
     context = weights.sparkSession.sparkContext
+    tasks = 2 * context.defaultParallelism
     shared = context.broadcast(basis)
     n_terms, width = basis.shape
 
@@ -231,7 +233,8 @@ def _gram_times(weights: DataFrame, basis: np.ndarray) -> np.ndarray:
                     "values": pa.array([block], pa.list_(pa.float64())),
                 })
 
-    blocks = weights.select("term_idx", "weight").mapInArrow(partial, "block int, values array<double>")
+    rows = weights.select("term_idx", "weight").coalesce(tasks)
+    blocks = rows.mapInArrow(partial, "block int, values array<double>")
     summed = blocks.groupBy("block").agg(Summarizer.sum(array_to_vector("values")).alias("values"))
     result = np.zeros((n_terms, width))
     for row in summed.collect():  # n_terms * width numbers, checked by the caller

@@ -27,8 +27,8 @@ class Prepared:
 def prepare(df: DataFrame, settings: Settings = Settings()) -> Prepared:
     """Parse, filter, flag, deduplicate, split and clean.
 
-    The parsed rows and the deduplicated rows are each written once, because several reports and
-    the split read them; everything in between is narrow or moves keys and counts only.
+    The parsed, the deduplicated and the cleaned rows are each written once, because several
+    reports and steps read them; everything in between is narrow or moves keys and counts only.
     """
     contract = require_contract(df.sparkSession, settings)
     numbered = df.withColumn(ORDER, F.monotonically_increasing_id())
@@ -45,7 +45,7 @@ def prepare(df: DataFrame, settings: Settings = Settings()) -> Prepared:
     binned = preparation.stratify_bins(unique, n_bins=settings.n_bins)
     raw = preparation.stratified_split(binned, "id", "stratum", settings.test_share, settings.seed)
     raw = raw.drop("stratum", ORDER)
-    filled = cleaning.fill_unknowns(raw)
+    filled = stage(cleaning.fill_unknowns(raw), "filled")
     clean = filled
     if settings.remove_salary_mentions:
         clean = cleaning.strip_salary_mentions(filled)

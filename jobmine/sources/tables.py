@@ -60,6 +60,8 @@ def spread(df: DataFrame, path: str) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= 2 * cores:
+        return df
     files = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
     return df.repartition(cores) if files < cores * 32 * MB else df
 
