@@ -11,7 +11,7 @@ from jobmine.config import NEAR_DUPLICATE_KEY
 from jobmine.operators.ordered import (
     attach_by_key, largest_remainder, mark_drawn, quantiles, sample_n,
 )
-from jobmine.operators.rows import row_digest
+from jobmine.operators.rows import row_digest, with_row
 
 EXPECTED = "salary_expected_million_vnd"
 OUTLIER_COLUMNS = ("q1", "q3", "p1", "p99", "iqr", "lower_iqr", "upper_iqr")
@@ -56,14 +56,16 @@ def outlier_bounds(df: DataFrame, col: str = EXPECTED, status: str | None = "sal
 
 def flag_outliers(df: DataFrame, bounds: DataFrame, col: str = EXPECTED) -> DataFrame:
     """Append the flag and its reasons, given the one-row table of ``outlier_bounds``."""
-    b = bounds.select(F.struct(*OUTLIER_COLUMNS)).scalar()
-    value = F.col(col)
+    value, b = F.col(col), F.col("_bounds")
     fence = F.when(value < F.greatest(F.lit(0.0), b["lower_iqr"]), "below_iqr_lower").when(
         value > b["upper_iqr"], "above_iqr_upper"
     )
     tail = F.when(value < b["p1"], "below_p1").when(value > b["p99"], "above_p99")
-    return df.withColumn("outlier_reason", F.concat_ws("|", fence, tail)).withColumn(
-        "is_salary_outlier", F.col("outlier_reason") != ""
+    return (
+        with_row(df, "_bounds", bounds.select(*OUTLIER_COLUMNS))
+        .withColumn("outlier_reason", F.concat_ws("|", fence, tail))
+        .withColumn("is_salary_outlier", F.col("outlier_reason") != "")
+        .drop("_bounds")
     )
 
 
@@ -74,12 +76,12 @@ def outlier_summary(flagged: DataFrame, bounds: DataFrame) -> DataFrame:
 
 def flag_outliers_iqr(df: DataFrame, col: str = EXPECTED, min_rows: int = 5) -> DataFrame:
     """Fences only, and no flag at all in a table of fewer than ``min_rows``."""
-    b = outlier_bounds(df, col, status=None).select(F.struct("n", "lower_iqr", "upper_iqr")).scalar()
-    value = F.col(col)
+    bounds = outlier_bounds(df, col, status=None).select("n", "lower_iqr", "upper_iqr")
+    value, b = F.col(col), F.col("_bounds")
     outside = (value < F.greatest(F.lit(0.0), b["lower_iqr"])) | (value > b["upper_iqr"])
-    return df.withColumn(
+    return with_row(df, "_bounds", bounds).withColumn(
         "is_salary_outlier", F.coalesce((b["n"] >= min_rows) & outside, F.lit(False))
-    )
+    ).drop("_bounds")
 
 
 def scoring_flags(df: DataFrame) -> DataFrame:
@@ -133,14 +135,14 @@ def stratify_bins(
     if few < 2:
         return df.withColumn(out, F.lit(None).cast("int"))
     bins = min(n_bins, few)
-    edges = quantiles(df, col, [i / bins for i in range(bins + 1)]).select(
-        F.array_distinct("q")
-    ).scalar()
-    below = sum(
-        (F.when(F.get(edges, F.lit(i)) < value, 1).otherwise(0) for i in range(bins + 1)), F.lit(0)
+    found = quantiles(df, col, [i / bins for i in range(bins + 1)]).first()["q"]
+    edges = sorted(set(found))  # at most n_bins + 1 numbers
+    if len(edges) < 3:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    below = sum((F.when(value > e, 1).otherwise(0) for e in edges), F.lit(0))
+    return df.withColumn(
+        out, F.when(value.isNotNull(), F.greatest(below, F.lit(1)) - 1).cast("int")
     )
-    placed = F.when(value.isNotNull() & (F.size(edges) > 2), F.greatest(below, F.lit(1)) - 1)
-    return df.withColumn(out, placed.cast("int"))
 
 
 def stratified_split(

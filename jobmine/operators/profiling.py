@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobmine.config import AMBIGUOUS_KEYWORDS, LENGTH_COLUMNS, LONG_TEXT_COLUMNS, NEAR_DUPLICATE_KEY
 from jobmine.functions import text as T
 from jobmine.operators.ordered import first_n, quantiles
-from jobmine.operators.rows import row_digest
+from jobmine.operators.rows import row_digest, with_row
 from jobmine.operators.salary import salary_length_flags, salary_patterns
 
 # What each prepared column is for.
@@ -335,16 +335,16 @@ def histogram_table(
     if clip is not None:
         value = F.least(value, F.lit(clip) if isinstance(clip, (int, float)) else clip)
     clipped = df.where(F.col(col).isNotNull()).select(*by, value.alias("_v"))
-    ends = clipped.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi")).select(
-        F.struct("lo", "hi")
-    ).scalar()
-    width = (ends["hi"] - ends["lo"]) / bins
-    place = F.when(width > 0, F.floor((F.col("_v") - ends["lo"]) / width)).otherwise(F.lit(0))
-    return (
-        clipped.groupBy(*by, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .select(*by, "bin", (ends["lo"] + F.col("bin") * width).alias("bin_start"), "count")
+    ends = clipped.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    low = F.col("_ends.lo")
+    width = (F.col("_ends.hi") - low) / bins
+    place = F.when(width > 0, F.floor((F.col("_v") - low) / width)).otherwise(F.lit(0))
+    placed = with_row(clipped, "_ends", ends).select(
+        *by, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"), low.alias("_lo"), width.alias("_w")
     )
+    return placed.groupBy(*by, "bin").agg(
+        F.count(F.lit(1)).alias("count"), (F.min("_lo") + F.col("bin") * F.min("_w")).alias("bin_start")
+    ).select(*by, "bin", "bin_start", "count")
 
 
 def boxplot_table(
@@ -373,16 +373,14 @@ def boxplot_table(
     if by:
         fenced = rows.join(boxes, by)
     else:
-        ends = boxes.select(F.struct("_low", "_high")).scalar()
-        fenced = rows.withColumns({"_low": ends["_low"], "_high": ends["_high"]})
+        fenced = with_row(rows, "_box", boxes.select("_low", "_high")).select("_v", "_box.*")
     whiskers = fenced.where(F.col("_v").between(F.col("_low"), F.col("_high"))).groupBy(*keys).agg(
         F.min("_v").alias("whisker_low"), F.max("_v").alias("whisker_high")
     )
     if by:
         result = boxes.join(whiskers, by, "left")
     else:
-        w = whiskers.select(F.struct("whisker_low", "whisker_high")).scalar()
-        result = boxes.withColumns({"whisker_low": w["whisker_low"], "whisker_high": w["whisker_high"]})
+        result = with_row(boxes, "_w", whiskers).select("*", "_w.*").drop("_w")
     return result.drop("_low", "_high")
 
 

@@ -21,3 +21,8 @@ def row_digest(columns: list[str]) -> Column:
     """A 128-bit key of several columns; null differs from any value and equals null."""
     packed = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     return F.md5(packed)
+
+
+def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:
+    """Append the only row of a table as a struct, computed once as a scalar subquery."""
+    return df.withColumn(name, row.select(F.struct(*row.columns)).scalar())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from jobmine.functions.text import value_or_unknown
 from jobmine.operators.ordered import quantiles, running_totals
 from jobmine.operators.profiling import _long, ranked_values
+from jobmine.operators.rows import with_row
 
 KS_TERMS = 100
 
@@ -68,13 +69,13 @@ def category_shift(df: DataFrame, columns: Sequence[str], n: int = 12) -> DataFr
     )
     sizes = df.agg(
         F.count(F.when(in_train, 1)).alias("train"), F.count(F.when(~in_train, 1)).alias("test")
-    ).select(F.struct("train", "test")).scalar()
-    top = ranked_values(df.where(in_train), columns, n).select("column", "value")
-    ratios = {s: F.coalesce(F.col(s) / sizes[s], F.lit(0.0)) for s in ("train", "test")}
-    return counts.join(F.broadcast(top), ["column", "value"]).select(
-        "column", "value", ratios["train"].alias("train_ratio"), ratios["test"].alias("test_ratio"),
-        F.abs(ratios["train"] - ratios["test"]).alias("abs_diff"),
     )
+    top = ranked_values(df.where(in_train), columns, n).select("column", "value")
+    found = with_row(counts.join(F.broadcast(top), ["column", "value"]), "_sizes", sizes)
+    ratios = found.select("column", "value", *[
+        F.coalesce(F.col(s) / F.col(f"_sizes.{s}"), F.lit(0.0)).alias(f"{s}_ratio") for s in ("train", "test")
+    ])
+    return ratios.withColumn("abs_diff", F.abs(F.col("train_ratio") - F.col("test_ratio")))
 
 
 def clip_at_train_quantile(
@@ -86,10 +87,11 @@ def clip_at_train_quantile(
     tops = quantiles(cells, "value", (share,), by=["column"])
     limits = tops.groupBy().agg(
         *[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in columns]
-    ).select(F.struct(*columns)).scalar()
-    return df.withColumns({
-        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), limits[c])) for c in columns
-    })
+    )
+    return with_row(df, "_limits", limits).withColumns({
+        c: F.when(F.col(c).isNotNull(), F.least(F.col(c).cast("double"), F.col(f"_limits.{c}")))
+        for c in columns
+    }).drop("_limits")
 
 
 def shift_verdict(
