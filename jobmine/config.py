@@ -131,7 +131,3 @@ class Settings:
     max_iter: int = 300
     minibatch_size: int = 4_096
     minibatch_steps: int = 100
-
-    @property
-    def usd_to_million_vnd(self) -> float:
-        return self.usd_to_vnd / 1_000_000.0

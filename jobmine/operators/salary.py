@@ -71,11 +71,12 @@ def parse_salary(df: DataFrame, col: str = "salary", settings: Settings = Settin
         _high=F.when(bounded, F.greatest(first, second)).otherwise(first),
     )
     valid = F.col("salary_parse_status") == "valid"
-    million = lambda v: S.to_million_vnd(v, unit, scale, settings.usd_to_million_vnd)
+    rate = settings.usd_to_vnd / 1e6
+    low, high = (S.to_million_vnd(F.col(c), unit, scale, rate) for c in ("_low", "_high"))
     read = read.withColumns({
         "salary_currency": F.when(valid, unit),
-        "salary_min": F.when(valid, million(F.col("_low"))),
-        "salary_max": F.when(valid, million(F.col("_high"))),
+        "salary_min": F.when(valid, low),
+        "salary_max": F.when(valid, high),
     }).withColumn(
         "salary_expected_million_vnd", (F.col("salary_min") + F.col("salary_max")) / 2.0
     )

@@ -13,12 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from jobmine.config import STOP_PHRASES, Settings
 from jobmine.functions import vectors as V
@@ -176,28 +178,25 @@ def matrix_density(weights: DataFrame, n_terms: int) -> DataFrame:
     ).withColumn("columns", F.lit(n_terms).cast("long")).withColumn("density", F.col("nnz") / cells)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], factor: np.ndarray):
-    """Batches as (batch, term indices, weights, row numbers, row vectors times ``factor``)."""
-    for batch in batches:
-        lists = batch.column("term_idx")
-        sizes = np.diff(lists.offsets.to_numpy())
-        terms = lists.flatten().to_numpy(zero_copy_only=False)
-        weights = batch.column("weight").flatten().to_numpy(zero_copy_only=False)
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        product = np.zeros((len(sizes), factor.shape[1]))
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        low = 0
-        while low < len(sizes):  # some rows at a time, to bound the gathered copies
-            high = low + 1
-            while high < len(sizes) and starts[high + 1] - starts[low] <= _CHUNK:
-                high += 1
-            a, b = starts[low], starts[high]
-            filled = low + np.flatnonzero(sizes[low:high])
-            if len(filled):
-                gathered = factor[terms[a:b]] * weights[a:b, None]
-                product[filled] = np.add.reduceat(gathered, starts[filled] - a, axis=0)
-            low = high
-        yield batch, terms, weights, rows, product
+def _row_products(lists: pa.ListArray, values: pa.ListArray, factor: np.ndarray):
+    """(term indices, weights, row numbers, sparse rows times ``factor``) of a batch of rows."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    terms = lists.flatten().to_numpy(zero_copy_only=False)
+    weights = values.flatten().to_numpy(zero_copy_only=False)
+    product = np.zeros((len(sizes), factor.shape[1]))
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    low = 0
+    while low < len(sizes):  # some rows at a time, to bound the gathered copies
+        high = low + 1
+        while high < len(sizes) and starts[high + 1] - starts[low] <= _CHUNK:
+            high += 1
+        a, b = starts[low], starts[high]
+        filled = low + np.flatnonzero(sizes[low:high])
+        if len(filled):
+            gathered = factor[terms[a:b]] * weights[a:b, None]
+            product[filled] = np.add.reduceat(gathered, starts[filled] - a, axis=0)
+        low = high
+    return terms, weights, np.repeat(np.arange(len(sizes)), sizes), product
 
 
 def _gram_times(weights: DataFrame, basis: np.ndarray) -> np.ndarray:
@@ -215,8 +214,11 @@ def _gram_times(weights: DataFrame, basis: np.ndarray) -> np.ndarray:
         factor = shared.value
         total = np.zeros((n_terms, width))
         touched = False
-        for _, terms, values, rows, product in _chunks(batches, factor):
+        for batch in batches:
             touched = True
+            terms, values, rows, product = _row_products(
+                batch.column("term_idx"), batch.column("weight"), factor
+            )
             order = np.argsort(terms, kind="stable")
             for a in range(0, len(order), _CHUNK):
                 part = order[a:a + _CHUNK]
@@ -268,25 +270,20 @@ def svd_fit(
     return factor * np.sign(factor[strongest, np.arange(k)])
 
 
-def svd_transform(
-    weights: DataFrame, factor: np.ndarray, keep: Sequence[str] = ("id",), out: str = "features"
-) -> DataFrame:
-    """Project term weights on the components. Narrow; the factor is broadcast."""
+def svd_transform(weights: DataFrame, factor: np.ndarray, out: str = "features") -> DataFrame:
+    """Replace the term weights by their projection on the components. Narrow; the factor is
+    broadcast and only the two weight arrays are sent to Python."""
     if factor.nbytes > MAX_FACTOR_BYTES:
         raise ValueError("the factor is too large to broadcast")
     shared = weights.sparkSession.sparkContext.broadcast(factor)
-    rows = weights.select(*keep, "term_idx", "weight")
-    fields = ", ".join(f"`{c}` {t}" for c, t in rows.select(*keep).dtypes)
-
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, _, _, product in _chunks(batches, shared.value):
-            offsets = np.arange(0, product.size + 1, product.shape[1], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(product.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], lists], names=[*keep, out]
-            )
 
-    return rows.mapInArrow(project, f"{fields}, `{out}` array<double>")
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def project(lists: pa.Array, values: pa.Array) -> pa.Array:
+        product = _row_products(lists, values, shared.value)[3]
+        offsets = np.arange(0, product.size + 1, product.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(product.ravel()))
+
+    return weights.withColumn(out, project("term_idx", "weight")).drop("term_idx", "weight")
 
 
 def factor_table(spark: SparkSession, factor: np.ndarray) -> DataFrame:

@@ -23,11 +23,13 @@ def prepare_new(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def assign_new(prepared: DataFrame, features: FeatureModel, centers: np.ndarray) -> DataFrame:
     """Append ``cluster_id`` using the stored vocabulary, factor and centers only. Narrow.
 
-    The vectors are computed beside all other columns, so no row has to be joined back.
+    The vectors are computed beside all other columns, so no row has to be joined back, and the
+    texts themselves stay in the JVM.
     """
-    keep = prepared.columns
-    weights = X.tfidf_transform(features.grams(prepared), features.tfidf, "grams", keep)
-    vectors = features.low(X.svd_transform(weights, features.factor, keep))
+    weights = X.tfidf_transform(
+        features.grams(prepared), features.tfidf, "grams", prepared.columns
+    )
+    vectors = features.low(X.svd_transform(weights, features.factor))
     return clustering.assign_cluster(vectors, centers).drop("features")
 
 
