@@ -18,8 +18,8 @@ from jobmine.sources import tables as sources
 
 STOP = X.stop_tokens()
 SMALL = Settings(
-    svd_components=20, k_values=(3, 4), final_k=4, restarts=2, max_iter=20,
-    minibatch_size=256, minibatch_steps=20,
+    svd_components=20, k_values=(3,), final_k=4, restarts=2, max_iter=20,
+    minibatch_size=256, minibatch_steps=10,
 )
 
 
@@ -471,7 +471,7 @@ def fit_on_sample(spark, sf_dir):
 @check("run_grid")
 def run_grid(spark, sf_dir):
     rows = points(spark, sf_dir).drop("cluster_id")
-    specs = clustering.grid_specs(400, 1, 20, 256, 42, 20)
+    specs = clustering.grid_specs(400, 1, 20, 256, 42, 10)
     spaces = {"svd": rows, "svd10_l2": X.low_dimensional(rows, 10)}
     table, _ = clustering.run_grid(spaces, (3, 4), specs, scoring.evaluate_clusters)
     return rounded(scoring.rank_models(table).drop("train_time_sec"), digits=4)

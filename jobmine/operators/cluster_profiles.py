@@ -11,6 +11,7 @@ from jobmine.config import DEMO_COLUMNS, PROFILE_COLUMNS
 from jobmine.functions import text as T
 from jobmine.operators.ordered import quantiles, sample_n
 from jobmine.operators.profiling import ranked_values
+from jobmine.operators.rows import small_side
 
 
 def _named(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -147,7 +148,7 @@ def attach_labels(
     chosen = F.when(T.strip(manual) != "", manual).otherwise(
         F.coalesce("suggested_cluster_label", F.lit(""))
     )
-    return df.join(F.broadcast(template.select(by, chosen.alias(out))), by, "left")
+    return df.join(small_side(template.select(by, chosen.alias(out))), by, "left")
 
 
 def label_map(spark: SparkSession, labels: dict[int, str], by: str = "cluster_id") -> DataFrame:
@@ -158,9 +159,8 @@ def apply_label_map(
     df: DataFrame, labels: DataFrame, by: str = "cluster_id", out: str = "cluster_label"
 ) -> DataFrame:
     """Overwrite a label column from one map; ids outside the map get null."""
-    return df.drop(out).join(
-        F.broadcast(labels.select(by, F.col("cluster_label").alias(out))), by, "left"
-    )
+    named = labels.select(by, F.col("cluster_label").alias(out))
+    return df.drop(out).join(small_side(named), by, "left")
 
 
 def demo_rows(

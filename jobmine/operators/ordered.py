@@ -15,11 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobmine.operators.rows import small_side
 from jobmine.session import stage, staging_dir
 
 BUCKETS = 256
 _STEP = 16  # bounds are searched in two steps of 16
-MAX_LOCAL_GROUPS = 1_000
 # So many narrow rows may be ordered by one task.
 KEYS_PER_TASK = 1_000_000
 HEX_DIGITS = 3
@@ -47,11 +47,11 @@ def _bounds(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame | list[fl
     )
     if not by:
         return found.first()["_bounds"] or []
-    rows = found.take(MAX_LOCAL_GROUPS + 1)
-    if len(rows) > MAX_LOCAL_GROUPS:
+    near = small_side(found)
+    if near is found:
         staging_dir(df.sparkSession)
         return found.checkpoint()
-    return F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
+    return near
 
 
 def _fits_one_task(df: DataFrame, value: str, by: Sequence[str]) -> bool:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobmine.config import AMBIGUOUS_KEYWORDS, LENGTH_COLUMNS, LONG_TEXT_COLUMNS, NEAR_DUPLICATE_KEY
 from jobmine.functions import text as T
 from jobmine.operators.ordered import first_n, quantiles
-from jobmine.operators.rows import row_digest, with_row
+from jobmine.operators.rows import row_digest, small_side, with_row
 from jobmine.operators.salary import salary_length_flags, salary_patterns
 
 # What each prepared column is for.
@@ -371,6 +371,7 @@ def boxplot_table(
         (q[0] - 1.5 * (q[2] - q[0])).alias("_low"), (q[2] + 1.5 * (q[2] - q[0])).alias("_high"),
     )
     if by:
+        boxes = small_side(boxes)
         fenced = rows.join(boxes, by)
     else:
         fenced = with_row(rows, "_box", boxes.select("_low", "_high")).select("_v", "_box.*")

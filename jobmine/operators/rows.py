@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MAX_LOCAL_ROWS = 1_000
+
 
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Append columns that later steps may use often without computing them again.
@@ -26,3 +28,12 @@ def row_digest(columns: list[str]) -> Column:
 def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:
     """Append the only row of a table as a struct, computed once as a scalar subquery."""
     return df.withColumn(name, row.select(F.struct(*row.columns)).scalar())
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """The side of a join that should have a row per group: computed once and broadcast when it
+    has at most a thousand rows, else left to an ordinary join."""
+    rows = df.take(MAX_LOCAL_ROWS + 1)
+    if len(rows) > MAX_LOCAL_ROWS:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

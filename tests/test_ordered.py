@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jobmine.operators import ordered, preparation
+from jobmine.operators import ordered, preparation, rows
 
 SHARES = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
 
@@ -37,19 +37,19 @@ def test_quantiles_equal_numpy(skewed, limit):
 
 
 def test_group_quantiles_equal_numpy(skewed, limit):
-    rows = skewed.collect()
+    held = skewed.collect()
     for found in ordered.quantiles(skewed, "v", SHARES, ["g"]).collect():
-        values = [r["v"] for r in rows if r["g"] == found["g"]]
+        values = [r["v"] for r in held if r["g"] == found["g"]]
         assert found["n"] == len(values)
         assert list(found["q"]) == pytest.approx(list(np.quantile(values, SHARES)))
 
 
 def test_many_groups_use_a_checkpoint(skewed, monkeypatch):
     monkeypatch.setattr(ordered, "KEYS_PER_TASK", 10)
-    monkeypatch.setattr(ordered, "MAX_LOCAL_GROUPS", 1)
-    rows = skewed.collect()
+    monkeypatch.setattr(rows, "MAX_LOCAL_ROWS", 1)
+    held = skewed.collect()
     for found in ordered.quantiles(skewed, "v", [0.5], ["g"]).collect():
-        assert found["q"][0] == pytest.approx(np.median([r["v"] for r in rows if r["g"] == found["g"]]))
+        assert found["q"][0] == pytest.approx(np.median([r["v"] for r in held if r["g"] == found["g"]]))
 
 
 def test_running_totals(skewed, limit):
@@ -78,11 +78,11 @@ def test_small_and_oversized_samples(skewed):
 def test_split_is_exact_proportional_and_independent_of_partitions(skewed, limit):
     drawn = []
     for parts in (1, 7):
-        rows = preparation.stratified_split(preparation.stratify_bins(skewed.repartition(parts), "v"))
-        drawn.append(sorted((r["id"], r["stratum"]) for r in rows.where("split = 'test'").collect()))
-        assert rows.count() == 9_000
+        split = preparation.stratified_split(preparation.stratify_bins(skewed.repartition(parts), "v"))
+        drawn.append(sorted((r["id"], r["stratum"]) for r in split.where("split = 'test'").collect()))
+        assert split.count() == 9_000
     assert drawn[0] == drawn[1] and len(drawn[0]) == 900
-    sizes = {r["stratum"]: r["count"] for r in rows.groupBy("stratum").count().collect()}
+    sizes = {r["stratum"]: r["count"] for r in split.groupBy("stratum").count().collect()}
     for stratum, size in sizes.items():
         assert abs(sum(s == stratum for _, s in drawn[0]) - size / 10) < 1
 
@@ -93,9 +93,9 @@ def test_quotas_add_up():
 
 
 def test_hot_key_rows_are_spread(spark):
-    rows = spark.range(3_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    found = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    joined = ordered.attach_by_key(rows, found, "k", "n", "id")
+    table = spark.range(3_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    found = table.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    joined = ordered.attach_by_key(table, found, "k", "n", "id")
     assert joined.count() == 3_000
     assert {r["n"] for r in joined.where("k = 'hot'").collect()} == {1_000}
     assert {r["n"] for r in joined.where("k <> 'hot'").collect()} == {1}
