@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.queries_salary import split_sql
 from checks.registry import check, longs, rounded
-from checks.sql_text import SP, clean, clean_salary, filled, mentions, squeeze_spaces, strip_mentions
+from checks.sql_text import clean, clean_salary, filled, mentions, squeeze_spaces, strip_mentions
 from checks.tables import POSTINGS_SQL, load, postings
 from jobmine.functions import text as T
 from jobmine.operators import cleaning, preparation, profiling, shift

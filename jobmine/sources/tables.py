@@ -1,10 +1,9 @@
-"""Reading and writing tables, records, features and models."""
+"""Reading and writing tables, records and features. Models are tables too: see their ``table``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -121,11 +120,3 @@ def load_feature_set(
     metadata = spark.read.parquet(metadata_path)
     gates.require(gates.features_sound(features, metadata, width, id_col))
     return metadata.join(features, id_col)
-
-
-def save_kmeans(model: KMeansModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_kmeans(path: str) -> KMeansModel:
-    return KMeansModel.load(path)
