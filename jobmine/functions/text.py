@@ -130,8 +130,9 @@ def fold_accents(col: Column) -> Column:
 
 def fold_accents_all_scripts(col: Column) -> Column:
     """As ``fold_accents``, also for characters that decompose to several letters (Hangul)."""
-    rest = _folding()[2]
-    return F.coalesce(_fold_any(F.when(col.rlike(f"[{rest}]"), col)), fold_accents(col))
+    rest = _folding()[2]  # all above the Latin and Cyrillic letters, so most text fails at once
+    odd = F.when(col.rlike(rf"[[^\x00-\x{{9ca}}]&&[{rest}]]"), col)
+    return F.coalesce(_fold_any(odd), fold_accents(col))
 
 
 def ascii_digits(col: Column) -> Column:
