@@ -7,10 +7,12 @@ value of an earlier round wins, the smaller hash within a round. Two sketches ag
 with the probability of the sets' similarity, concentrated around it, whatever the size of the sets.
 
 Documents with equal sets are one node. Nodes that agree in a whole band meet in a bucket. To avoid
-all pairs of a large group, rounds compare bucket members with one hub per bucket (a different one
-in each band), verify the pairs on the full sets, join what is linked, and go on with buckets in
-which several components remain; the last round compares all members of different components, so no
-pair that ever met in a band and could still change the outcome is left out. A pair at the threshold
+all pairs of a large group, rounds compare bucket members with one hub per bucket (first the most
+central member, then one drawn by hash, a different one in each band), verify the pairs on the full
+sets, join what is linked, and go on with buckets in which several components remain; the last round
+compares all members of different components, so no pair that ever met in a band and could still
+change the outcome is left out. A lower bound on the difference of two sets, from parities of their
+items' hashes, rules most pairs out inside that join; it never rules out a pair that is similar. A pair at the threshold
 0.8 meets in one of 40 bands of 5 rows with probability 1 - 1.2e-7; pairs above it surely enough.
 
 Defined cases: null, empty and wordless texts have empty sets and link with nothing; a text with
@@ -35,6 +37,7 @@ from jobmine.session import stage
 
 BANDS, ROWS = 40, 5
 FIRST_BANDS = 6
+PARITY_WORDS = 32
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 _BROADCAST_ROWS = 200_000
@@ -92,8 +95,16 @@ def band_keys(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
+def parity(items: np.ndarray) -> np.ndarray:
+    """Whether an odd number of items falls into each of some bins, as bits of 64-bit integers. Two
+    sets differ in at least as many items as these bits differ."""
+    bins = 64 * PARITY_WORDS
+    odd = np.bincount((mix(items + _U(0x632BE59BD9B4E019)) & _U(bins - 1)).astype(np.int64), minlength=bins) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, set_key, bands; ``docs`` has doc_id, text and text_key."""
+    """doc_id, text_key, n_shingles, set_key, parity, bands; ``docs`` has doc_id, text and text_key."""
 
     def sign(batches):
         for batch in batches:
@@ -106,11 +117,14 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(counts),
                     pa.array([hashlib.md5(s.tobytes()).digest() for s in sets], pa.binary()),
-                    list_column(keys.ravel(), ends)], ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
+                    list_column(np.concatenate([parity(s) for s in sets]), np.arange(len(sets) + 1) * PARITY_WORDS),
+                    list_column(keys.ravel(), ends)],
+                    ["doc_id", "text_key", "n_shingles", "set_key", "parity", "bands"])
 
     schema = T.StructType([
         docs.schema["doc_id"], T.StructField("text_key", T.BinaryType()), T.StructField("n_shingles", T.LongType()),
-        T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+        T.StructField("set_key", T.BinaryType()), T.StructField("parity", T.ArrayType(T.LongType())),
+        T.StructField("bands", T.ArrayType(T.LongType()))])
     return docs.select("doc_id", "text", "text_key").mapInArrow(sign, schema)
 
 
@@ -129,13 +143,22 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(gather, "node bigint, items array<bigint>")
 
 
+def _facts(nodes: DataFrame, side: str) -> DataFrame:
+    return nodes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("parity").alias(f"p{side}"))
+
+
+def _possible(percent: int):
+    """Whether sets a and b may be similar enough, by their sizes and a lower bound on their difference."""
+    differ = F.lit(0)
+    for i in range(PARITY_WORDS):
+        differ = differ + F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i))))
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    return sizes & (differ * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
+
+
 def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough, written to the shared folder."""
-    sizes = nodes.select("node", "n_shingles")
-    fit = (pairs.join(sizes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na")), "a")
-           .join(sizes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb")), "b")
-           .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
-    pairs = stage(fit, "pairs")
+    """Those of ``pairs`` (a, b, na, nb) whose full sets are similar enough, written to the shared folder."""
+    pairs = stage(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stage(nodes.join(wanted, "node", "left_semi").select(
         "node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "wanted")
@@ -151,17 +174,23 @@ def _linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, p
     return stage(near.select("a", "b"), "links")
 
 
-def _open_buckets(members: DataFrame) -> DataFrame:
-    """Members (bucket, node, comp) of buckets that hold several components, with the bucket's hub."""
+def _open_buckets(members: DataFrame, central: DataFrame | None = None) -> DataFrame:
+    """Members (bucket, node, comp) of buckets that hold several components, with the bucket's hub:
+    the most central member by ``central`` (node, score) if given, else one drawn by hash."""
+    if central is None:
+        hub = F.min(F.col("node").bitwiseXOR(F.col("bucket"))).bitwiseXOR(F.col("bucket"))
+    else:
+        members, hub = members.join(central, "node"), F.max_by("node", "score")
     mixed = members.groupBy("bucket").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-        F.min(F.col("node").bitwiseXOR(F.col("bucket"))).alias("hub")).where("lo <> hi")
-    mixed = mixed.select("bucket", F.col("hub").bitwiseXOR(F.col("bucket")).alias("hub"))
-    return members.join(mixed, "bucket")
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub.alias("hub")).where("lo <> hi")
+    return members.select("bucket", "node", "comp").join(mixed.select("bucket", "hub"), "bucket")
 
 
-def _pair(x, y):
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+def _centrality(members: DataFrame) -> DataFrame:
+    """node, score: how many nodes it meets, over all its buckets with company. The origin of a
+    group of edited copies shares more bands with the others than these do among themselves."""
+    company = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return members.join(company, "bucket").groupBy("node").agg(F.sum("n").alias("score"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
@@ -170,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = narrow(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
     signed = stage(signatures(source, shingle, bands, rows), "signatures")
     some = signed.where("n_shingles > 0")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n_shingles", "bands"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n_shingles", "parity", "bands"))
     nodes = some.groupBy("set_key").agg(first.alias("r")).select("set_key", "r.*").drop("none")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     comps = nodes.select("node", F.col("node").alias("comp"))
@@ -181,18 +210,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             entries = nodes.join(comps, "node").select("node", "comp", F.explode(keys).alias("bucket"))
         else:  # only buckets that held several components before can do so now
             entries = met.select("node", "bucket").join(comps, "node")
-        met = _open_buckets(entries)
+        met = _open_buckets(entries, _centrality(entries) if turn == 0 else None)
         if turn:
             met = stage(met, "open-buckets")
         if turn < 2:
             hubs = comps.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
             pairs = met.join(hubs, "hub").where("comp <> hub_comp")
-            pairs = pairs.select(*_pair(F.col("node"), F.col("hub")))
-        else:
-            other = met.select("bucket", F.col("node").alias("o"), F.col("comp").alias("oc"))
-            pairs = met.join(other, "bucket").where((F.col("node") < F.col("o")) & (F.col("comp") != F.col("oc")))
-            pairs = pairs.select(*_pair(F.col("node"), F.col("o")))
-        found = _linked(pairs.distinct(), nodes, source, shingle, percent)
+            pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+            pairs = pairs.join(_facts(nodes, "a"), "a").join(_facts(nodes, "b"), "b").where(_possible(percent))
+        else:  # what cannot be similar enough does not leave the join
+            left = met.select("bucket", F.col("node").alias("a"), F.col("comp").alias("ca")).join(_facts(nodes, "a"), "a")
+            right = met.select("bucket", F.col("node").alias("b"), F.col("comp").alias("cb")).join(_facts(nodes, "b"), "b")
+            same = left["bucket"] == right["bucket"]
+            pairs = left.join(right, same & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(percent))
+        pairs = pairs.select("a", "b", "na", "nb").distinct()
+        found = _linked(pairs, nodes, source, shingle, percent)
         links = found if links is None else links.union(found)
         if found.isEmpty():
             continue
@@ -202,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = nodes.join(comps, "node")
     smallest = ids.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     named = ids.join(smallest, "comp").select(F.col("set_key").alias("_set"), "component_id")
-    out = signed.drop("bands").join(named, signed["set_key"] == named["_set"], "left")
+    out = signed.drop("bands", "parity").join(named, signed["set_key"] == named["_set"], "left")
     own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "text_key", "n_shingles", own.alias("component_id"))
 

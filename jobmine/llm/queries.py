@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobmine.llm import decontamination, exact_dedup, language_id, near_dedup, packing
+from jobmine.llm import (
+    decontamination, exact_dedup, katz, language_id, license_scan, near_dedup, packing, quality, quote_links,
+)
 from jobmine.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +22,23 @@ def _decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op5(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op6(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def _quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_links.op4(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_katz_backoff": _over_documents(katz.op1),
     "op2_rank_profiles": _over_documents(language_id.op2),
     "op3_best_fit_packing": _over_documents(packing.op3),
+    "op4_quote_links": _quotes,
     "op5_spaced_seeds": _decontaminate,
+    "op6_quadratic_quality": _quality,
     "op7_exact_dedup": _over_documents(exact_dedup.op7),
+    "op8_license_diagonals": _over_documents(license_scan.op8),
     "op9_near_dedup": _over_documents(near_dedup.op9),
 }
 
