@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobmine.llm import (
     decontamination, exact_dedup, katz, language_id, license_scan, near_dedup, packing, quality, quote_links,
+    suffix_dedup,
 )
 from jobmine.llm.common import documents
 
@@ -40,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "op7_exact_dedup": _over_documents(exact_dedup.op7),
     "op8_license_diagonals": _over_documents(license_scan.op8),
     "op9_near_dedup": _over_documents(near_dedup.op9),
+    "op10_suffix_levels": _over_documents(suffix_dedup.op10),
 }
 
 SQL: dict[str, str] = {"op7_exact_dedup": exact_dedup.OP7_SQL}
