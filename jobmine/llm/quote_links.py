@@ -26,7 +26,7 @@ _MARKS = "^[ \\t]*(>[ \\t]*)*"
 
 
 def _normal(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(text), "\\s+", " "))
+    return F.btrim(F.regexp_replace(F.lower(F.upper(text)), "\\s+", " "))  # as German sharp s folds
 
 
 def passages(messages: DataFrame) -> DataFrame:
