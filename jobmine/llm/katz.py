@@ -48,15 +48,18 @@ _START = int(mix(np.full(1, 0x6A09E667, np.uint64))[0])
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Numbers as one compressed block."""
+    """Numbers as one compressed block, first bytes first, so that the empty high bytes shrink."""
     raw = np.ascontiguousarray(values)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+    planes = raw.view(np.uint8).reshape(len(raw), -1).T if len(raw) else raw
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(planes.tobytes(), asbytes=True)
 
 
 def unpack(block: bytes, kind) -> np.ndarray:
-    size = int.from_bytes(block[:8], "little")
-    kind = np.dtype(kind)
-    return np.frombuffer(pa.decompress(block[8:], size * kind.itemsize, codec="zstd", asbytes=True), kind)
+    size, kind = int.from_bytes(block[:8], "little"), np.dtype(kind)
+    raw = pa.Codec("zstd").decompress(block[8:], size * kind.itemsize, asbytes=True)
+    if not size:
+        return np.zeros(0, kind)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(kind.itemsize, size).T).view(kind).ravel()
 
 
 def pack_sorted(values: np.ndarray) -> bytes:
@@ -178,7 +181,7 @@ def _count_words(group: pd.DataFrame) -> pd.DataFrame:
     at = 0
     for chunk, keys in zip(group["chunk"], asked, strict=True):
         mine = place[at:at + len(keys)]
-        rows.append(("answer", chunk, bucket, pack(mine.astype(np.int64)), pack(total[mine]), None, None, [len(known)]))
+        rows.append(("answer", chunk, bucket, pack_sorted(mine.astype(np.uint64)), pack(total[mine]), None, None, [len(known)]))
         at += len(keys)
     return _frame(rows, _ANSWER_NAMES)
 
@@ -189,7 +192,7 @@ def _numbered(c: Chunk, answers: pd.DataFrame, buckets: int) -> tuple[np.ndarray
     at = _bucket_bounds(c.vocab, buckets)
     for r in answers.itertuples():
         here = slice(at[r.bucket], at[r.bucket + 1])
-        number[here] = unpack(r.a, np.int64).astype(np.uint64) * _U(buckets) + _U(r.bucket)
+        number[here] = unpack_sorted(r.a) * _U(buckets) + _U(r.bucket)
         count[here] = unpack(r.b, np.int64)
     return number, count
 
@@ -329,6 +332,10 @@ def _history_sums(levels: Levels, word_buckets: int):
     return add
 
 
+def _places(answer) -> np.ndarray:
+    return unpack_sorted(answer.a).astype(np.int64)
+
+
 def _backoff(sums: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     """For each chunk's words in this bucket: the backoff weight and the scale of its seen pairs."""
     if not len(asked):
@@ -340,10 +347,11 @@ def _backoff(sums: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         high[place] += unpack(s.high, np.float64)
         low[place] += unpack(s.low, np.float64)
     for r in asked.itertuples():
-        total[unpack(r.a, np.int64)] = unpack(r.b, np.int64)
+        total[_places(r)] = unpack(r.b, np.int64)
     scale = np.where((high > 1 - 1e-9) & (total > 0), total / (total + 1), 1.0)
     weight = np.where(total > 0, (1 - high * scale) / np.maximum(1 - low, 1e-300), 1.0)
-    rows = [(r.chunk, r.bucket, pack(weight[unpack(r.a, np.int64)]), pack(scale[unpack(r.a, np.int64)])) for r in asked.itertuples()]
+    weight = weight.astype(np.float32)
+    rows = [(r.chunk, r.bucket, pack(weight[_places(r)]), pack(scale[_places(r)])) for r in asked.itertuples()]
     return _frame(rows, ["chunk", "bucket", "a", "b"])
 
 
@@ -359,7 +367,7 @@ def _score(levels: Levels, shape: Shape):
         at = _bucket_bounds(c.vocab, shape.word_buckets)
         for r in answers[answers["kind"] == "backoff"].itertuples():
             here = slice(at[r.bucket], at[r.bucket + 1])
-            weight[here], scale[here] = unpack(r.a, np.float64), unpack(r.b, np.float64)
+            weight[here], scale[here] = unpack(r.a, np.float32), unpack(r.b, np.float64)
         pairs, of, history, word, bucket = _pairs(c, number, count, shape)
         seen = np.zeros(len(pairs), np.int64)
         order = np.argsort(bucket, kind="stable")
