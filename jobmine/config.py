@@ -124,7 +124,7 @@ class Settings:
     svd_components: int = 300
     low_dim: int = 10
     eval_sample: int = 10_000
-    fit_sample: int | None = 150_000
+    fit_sample: int | None = None
     k_values: tuple[int, ...] = (10, 12, 13, 14)
     final_k: int = 13
     restarts: int = 10

@@ -129,15 +129,16 @@ def minibatch_kmeans_fit(
 ) -> ClusterModel:
     """Centers moved by one batch after the other, each by its share of all rows seen so far.
 
-    All batches are drawn in one pass, by hash, and kept, so that a batch does not scan the table
-    again. Stops early when the mean distance has not improved for ``patience`` batches.
+    Every row is dealt by hash to one of at most ``max_batches`` batches, which hold more than
+    ``batch_size`` rows if the table is larger; they are kept, so that a batch does not scan the
+    table again. After all of them, stops early when the mean distance has not improved for
+    ``patience`` batches.
     """
     start = time.perf_counter()
     total = df.count()
     batches = max(1, min(max_batches, -(-total // batch_size)))
-    drawn = sample_n(df.select(id_col, col), batches * batch_size, id_col, seed)
     vector = F.col(col).cast("array<double>")
-    drawn = drawn.select(
+    drawn = df.select(
         vector.alias("features"), F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(batches)).alias("batch")
     ).repartition(batches, "batch").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -165,7 +166,7 @@ def minibatch_kmeans_fit(
                 best, waited = smoothed, 0
             else:
                 waited += 1
-                if waited >= patience:
+                if waited >= patience and step + 1 >= batches:
                     break
     finally:
         drawn.unpersist()

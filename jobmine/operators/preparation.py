@@ -96,7 +96,7 @@ def near_duplicates(
 
     ``order`` is a column that tells the rows of one key apart.
     """
-    keyed = df.withColumn("_key", row_digest(list(key)))
+    keyed = df.withColumn("_key", row_digest(df, list(key)))
     sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"))
     marked = attach_by_key(keyed, sizes.where("_size > 1"), "_key", "_size", order)
     return marked.withColumn("is_near_duplicate", F.col("_size").isNotNull()).drop("_key", "_size")
@@ -114,7 +114,7 @@ def dedup(df: DataFrame, id_cols: Sequence[str], order: str) -> DataFrame:
     Only ids that occur more than once are looked up, so a table with few duplicates moves counts
     and no rows. Rows that are alike in every column share their id, so one pass removes them too.
     """
-    keyed = df.withColumn("_key", row_digest(list(id_cols)))
+    keyed = df.withColumn("_key", row_digest(df, list(id_cols)))
     repeated = keyed.groupBy("_key").agg(
         F.count(F.lit(1)).alias("_size"), F.min(order).alias("_first")
     ).where("_size > 1")

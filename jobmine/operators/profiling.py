@@ -127,7 +127,7 @@ def duplicate_summary(
         "duplicate_near_key": list(near_key),
     }
     keys = df.select(F.inline(F.array(*[
-        F.struct(F.lit(name).alias("check"), row_digest(columns).alias("key"))
+        F.struct(F.lit(name).alias("check"), row_digest(df, columns).alias("key"))
         for name, columns in checks.items()
     ])))
     sizes = keys.groupBy("check", "key").agg(F.count(F.lit(1)).alias("size"))

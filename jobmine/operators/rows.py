@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_LOCAL_ROWS = 1_000
 
@@ -19,10 +20,23 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*fields))))
 
 
-def row_digest(columns: list[str]) -> Column:
-    """A 128-bit key of several columns; null differs from any value and equals null."""
-    packed = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return F.md5(packed)
+def row_digest(df: DataFrame, columns: list[str]) -> Column:
+    """A 128-bit key of several columns; null differs from any value and equals null.
+
+    Timestamps count to the microsecond, and -0.0 equals 0.0; nested values are taken as JSON.
+    """
+    exact = []
+    for c in columns:
+        kind, value = df.schema[c].dataType, F.col(c)
+        if isinstance(kind, T.TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, (T.TimestampNTZType, T.BinaryType)):
+            value = value.cast("string") if isinstance(kind, T.TimestampNTZType) else F.hex(value)
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = F.when(value == 0, F.lit(0.0).cast(kind)).otherwise(value)
+        exact.append(value.alias(c))
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    return F.md5(F.to_json(F.struct(*exact), options))
 
 
 def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from jobmine.config import Settings
 from jobmine.operators import cleaning, preparation, profiling
+from jobmine.operators.rows import row_digest
 from jobmine.operators.salary import parse_salary, require_contract, salary_range_width
 from jobmine.session import stage
 
@@ -31,7 +32,9 @@ def prepare(df: DataFrame, settings: Settings = Settings()) -> Prepared:
     reports and steps read them; everything in between is narrow or moves keys and counts only.
     """
     contract = require_contract(df.sparkSession, settings)
-    numbered = df.withColumn(ORDER, F.monotonically_increasing_id())
+    # By content, so that the row that stays does not depend on partitions; alike rows by number.
+    place = F.concat(row_digest(df, df.columns), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+    numbered = df.withColumn(ORDER, place)
     parsed = salary_range_width(parse_salary(numbered, "salary", settings))
     parsed = stage(preparation.mark_valid(parsed), "parsed")
 
