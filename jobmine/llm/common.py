@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,21 @@ def matching(docs: DataFrame, decided: DataFrame, how: str, id_col: str = "doc_i
     return docs.join(marked, same, how)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
+    """Arrow batches of at most ``size`` bytes for the jobs run inside; long texts need less memory."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def only_row(df: DataFrame) -> dict:
     """The single row of an aggregate without groups."""
     return df.first().asDict()

@@ -35,13 +35,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobmine.llm.arrow_text import mix, slices, span_hashes
-from jobmine.llm.common import narrow
+from jobmine.llm.common import narrow, small_batches
 from jobmine.llm.katz import pack, pack_sorted, unpack, unpack_sorted
 from jobmine.session import stage
 
 LENGTH, LEAD = 100, 32
-CHUNK_BYTES = 8 << 20
-BLOCK_BYTES = 1 << 20
+CHUNK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 18
 BATCHES = 3
 BUCKET_ITEMS = 1 << 20
 BUCKET_WINDOWS = 1 << 21
@@ -336,7 +336,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = stage(copies.select("doc", "doc_id", "n_bytes"), "copies")
     gone = copies.select("doc").distinct()
     gone = F.broadcast(gone) if copies.count() <= _BROADCAST_ROWS else gone
-    chunked = stage(chunks(texts.join(gone, "doc", "left_anti"), chunk_bytes), "suffix-chunks")
+    with small_batches(docs.sparkSession):
+        chunked = stage(chunks(texts.join(gone, "doc", "left_anti"), chunk_bytes), "suffix-chunks")
     total = int(chunked.agg(F.sum("n_bytes")).first()[0] or 0)
     buckets = max(1, -(-total // (30 * bucket_items)))
     family, reports = IndexFamily(), None
