@@ -26,7 +26,8 @@ _MARKS = "^[ \\t]*(>[ \\t]*)*"
 
 
 def _normal(text: Column) -> Column:
-    return F.btrim(F.regexp_replace(F.lower(F.upper(text)), "\\s+", " "))  # as German sharp s folds
+    folded = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))  # as upper-casing has it
+    return F.btrim(F.regexp_replace(folded, "\\s+", " "))
 
 
 def passages(messages: DataFrame) -> DataFrame:
