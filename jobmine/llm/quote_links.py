@@ -50,17 +50,19 @@ def _hashed(found: DataFrame) -> DataFrame:
 
 def _roots(parents: DataFrame) -> DataFrame:
     """msg, root and depth from msg and parent (null at a root), by pointer doubling."""
-    # up: the message reached so far; a root reaches itself with no steps.
-    ways = stage(parents.select("msg", F.coalesce("parent", "msg").alias("up"),
-                                F.col("parent").isNotNull().cast("long").alias("steps")), "ways")
-    while True:
-        further = ways.select(F.col("msg").alias("_up"), F.col("up").alias("_far"), F.col("steps").alias("_more"))
-        after = ways.join(further, ways["up"] == further["_up"]).select(
-            "msg", F.col("_far").alias("up"), (F.col("steps") + F.col("_more")).alias("steps"), F.col("_more").alias("moved"))
-        after = stage(after, "ways")
-        if after.where("moved > 0").isEmpty():
-            return after.select("msg", F.col("up").alias("root"), F.col("steps").alias("depth"))
-        ways = after.drop("moved")
+    # up: the message reached so far; a root reaches itself with no steps and is settled at once.
+    ways = stage(parents.select(
+        "msg", F.coalesce("parent", "msg").alias("up"), F.col("parent").isNotNull().cast("long").alias("steps"),
+        F.col("parent").isNull().alias("settled")), "ways")
+    settled, moving = ways.where("settled"), ways.where("NOT settled")
+    while not moving.isEmpty():  # only messages that have not reached their root are joined again
+        further = settled.unionByName(moving).select(
+            F.col("msg").alias("_up"), F.col("up").alias("_far"), F.col("steps").alias("_more"), F.col("settled").alias("_settled"))
+        after = stage(moving.join(further, moving["up"] == further["_up"]).select(
+            "msg", F.col("_far").alias("up"), (F.col("steps") + F.col("_more")).alias("steps"),
+            F.col("_settled").alias("settled")), "ways")
+        settled, moving = settled.unionByName(after.where("settled")), after.where("NOT settled")
+    return settled.select("msg", F.col("up").alias("root"), F.col("steps").alias("depth"))
 
 
 def link(messages: DataFrame, scope: str, order: str, role: str, body: str) -> DataFrame:
