@@ -45,6 +45,7 @@ BLOCK_BYTES = 1 << 18
 BATCHES = 3
 BUCKET_ITEMS = 1 << 20
 BUCKET_WINDOWS = 1 << 21
+BLOCK_WINDOWS = 1 << 18
 _PLACE_BITS = 28
 _BROADCAST_ROWS = 200_000
 _U = np.uint64
@@ -128,18 +129,24 @@ def _suffix_arrays(buckets: int, length: int, lead: int):
     """Per chunk and bucket: sorted fingerprints, and whether each occurs more than once in the chunk."""
     def sort(frames):
         for frame in frames:
-            rows = []
-            for row in frame.itertuples():
+            for row in frame.itertuples():  # one chunk's rows at a time
                 _, bounds, data = _opened(row)
                 keys, n = np.unique(sampled(data, bounds, length, lead)[0], return_counts=True)
                 at = _by_bucket(keys, buckets)
-                rows += [(k, row.chunk, pack_sorted(keys[at[k]:at[k + 1]]), pack((n[at[k]:at[k + 1]] > 1).astype(np.uint8)))
-                         for k in range(buckets) if at[k] < at[k + 1]]
-            yield pd.DataFrame(rows, columns=["bucket", "chunk", "keys", "more"])
+                rows = [(k, row.chunk, pack_sorted(keys[at[k]:at[k + 1]]), pack((n[at[k]:at[k + 1]] > 1).astype(np.uint8)))
+                        for k in range(buckets) if at[k] < at[k + 1]]
+                yield pd.DataFrame(rows, columns=["bucket", "chunk", "keys", "more"])
 
     return sort
 
 
+def _runs(values: np.ndarray):
+    """(value, first, end) of each run of equal values."""
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    edges = [0, *cuts.tolist(), len(values)]
+    return [(int(values[a]), a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
+
+
 def _scan(batch: pd.DataFrame, levels: pd.DataFrame) -> pd.DataFrame:
     """Merge one bucket of a batch with the levels: reported suffixes per chunk, and the batch's level."""
     rows, keys, chunk, twice = [], [], [], []
@@ -167,8 +174,8 @@ def _scan(batch: pd.DataFrame, levels: pd.DataFrame) -> pd.DataFrame:
     hit, holder = (np.concatenate(x) for x in zip(*reported, strict=True))
     order = np.lexsort((hit, holder))
     hit, holder = hit[order], holder[order]
-    for c in np.unique(holder):
-        rows.append(("report", bucket, int(c), pack_sorted(np.unique(hit[holder == c])), None))
+    for c, a, b in _runs(holder):
+        rows.append(("report", bucket, c, pack_sorted(np.unique(hit[a:b])), None))
     first = np.concatenate([[True], ~same])
     rows.append(("level", bucket, -1, pack_sorted(keys[first]), pack(chunk[first])))
     return pd.DataFrame(rows, columns=["part", "bucket", "chunk", "keys", "more"])
@@ -250,6 +257,19 @@ def _surroundings(buckets: int, length: int, lead: int):
 
 def _compare(length: int):
     """Marks (runs of window starts) of windows that an equal one precedes, for one bucket of suffixes."""
+    def repeats(keys, docs, inside, sizes, data):
+        """(item, window in it) of the windows of some items that an equal one of the same suffix precedes."""
+        windows = sizes - length + 1
+        of = np.repeat(np.arange(len(keys)), windows)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at = np.repeat(np.cumsum(sizes) - sizes, windows) + step
+        content = span_hashes(data, at, at + length)
+        order = np.lexsort((inside[of] + step, docs[of], keys[of], content))
+        again = np.zeros(len(of), bool)
+        again[1:] = (content[order][1:] == content[order][:-1]) & (keys[of[order]][1:] == keys[of[order]][:-1])
+        marked = np.sort(order[again])
+        return of[marked], step[marked]
+
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         keys, docs, chunk, first, inside, sizes, data = [], [], [], [], [], [], []
         for r in group.itertuples():
@@ -262,24 +282,32 @@ def _compare(length: int):
             sizes.append(unpack(r.sizes, np.int64))
             data.append(unpack(r.data, np.uint8))
         keys, docs, chunk, first, inside, sizes, data = map(np.concatenate, (keys, docs, chunk, first, inside, sizes, data))
-        windows = sizes - length + 1
-        of = np.repeat(np.arange(len(keys)), windows)
-        step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-        start = np.repeat(np.cumsum(sizes) - sizes, windows) + step
-        content = span_hashes(data, start, start + length)
-        place = inside[of] + step
-        order = np.lexsort((place, docs[of], keys[of], content))
-        again = np.zeros(len(of), bool)
-        again[1:] = (content[order][1:] == content[order][:-1]) & (keys[of[order]][1:] == keys[of[order]][:-1])
-        marked = np.sort(order[again])
-        if not len(marked):
+        begin = np.cumsum(sizes) - sizes
+        order = np.argsort(keys, kind="stable")
+        fresh = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
+        # Blocks of whole suffixes, of about so many windows, bound the memory of the comparison.
+        block = np.maximum.accumulate(np.where(fresh, (np.cumsum(sizes[order] - length + 1) - 1) // BLOCK_WINDOWS, 0))
+        homes, lows, highs = [], [], []
+        for _, a, b in _runs(block):
+            mine = order[a:b]
+            size = sizes[mine]
+            place = np.repeat(begin[mine] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            item, step = repeats(keys[mine], docs[mine], inside[mine], size, data[place])
+            if not len(item):
+                continue
+            start = np.ones(len(item), bool)
+            start[1:] = (item[1:] != item[:-1]) | (step[1:] != step[:-1] + 1)
+            lo = np.flatnonzero(start)
+            hi = np.append(lo[1:], len(item)) - 1
+            homes.append(chunk[mine[item[lo]]])
+            lows.append(first[mine[item[lo]]] + step[lo])
+            highs.append(first[mine[item[hi]]] + step[hi])
+        if not homes:
             return pd.DataFrame([], columns=["chunk", "first", "sizes"])
-        fresh = np.ones(len(marked), bool)
-        fresh[1:] = (of[marked][1:] != of[marked][:-1]) | (marked[1:] != marked[:-1] + 1)
-        a = np.flatnonzero(fresh)
-        b = np.append(a[1:], len(marked)) - 1
-        lo, hi, home = first[of[marked[a]]] + step[marked[a]], first[of[marked[b]]] + step[marked[b]], chunk[of[marked[a]]]
-        rows = [(int(c), pack(lo[home == c]), pack(hi[home == c])) for c in np.unique(home)]
+        home, low, high = map(np.concatenate, (homes, lows, highs))
+        by = np.argsort(home, kind="stable")
+        home, low, high = home[by], low[by], high[by]
+        rows = [(c, pack(low[a:b]), pack(high[a:b])) for c, a, b in _runs(home)]
         return pd.DataFrame(rows, columns=["chunk", "first", "sizes"])
 
     return compare
@@ -336,23 +364,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = stage(copies.select("doc", "doc_id", "n_bytes"), "copies")
     gone = copies.select("doc").distinct()
     gone = F.broadcast(gone) if copies.count() <= _BROADCAST_ROWS else gone
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession):  # of every job here, as chunks are long rows
         chunked = stage(chunks(texts.join(gone, "doc", "left_anti"), chunk_bytes), "suffix-chunks")
-    total = int(chunked.agg(F.sum("n_bytes")).first()[0] or 0)
-    buckets = max(1, -(-total // (30 * bucket_items)))
-    family, reports = IndexFamily(), None
-    for k in range(batches):
-        batch = chunked.where(F.pmod(F.xxhash64("chunk"), F.lit(batches)) == k)
-        arrays = batch.mapInPandas(_suffix_arrays(buckets, length, lead), "bucket int, chunk bigint, keys binary, more binary")
-        found = family.scan(arrays)
-        reports = found if reports is None else reports.unionByName(found)
-    reported = chunked.groupBy("chunk").cogroup(reports.groupBy("chunk"))
-    spread = max(1, -(-total // BUCKET_WINDOWS))
-    found = stage(reported.applyInPandas(_surroundings(spread, length, lead), _FOUND_SCHEMA), "surroundings")
-    marks = found.where("part = 'text'").groupBy("bucket").applyInPandas(_compare(length), "chunk bigint, first binary, sizes binary")
-    marks = marks.unionByName(found.where("part = 'mark'").select("chunk", "first", "sizes"))
-    told = chunked.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInPandas(
-        _removed(length), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+        total = int(chunked.agg(F.sum("n_bytes")).first()[0] or 0)
+        buckets = max(1, -(-total // (30 * bucket_items)))
+        family, reports = IndexFamily(), None
+        for k in range(batches):
+            batch = chunked.where(F.pmod(F.xxhash64("chunk"), F.lit(batches)) == k)
+            arrays = batch.mapInPandas(_suffix_arrays(buckets, length, lead), "bucket int, chunk bigint, keys binary, more binary")
+            found = family.scan(arrays)
+            reports = found if reports is None else reports.unionByName(found)
+        reported = chunked.groupBy("chunk").cogroup(reports.groupBy("chunk"))
+        spread = max(1, -(-total // BUCKET_WINDOWS))
+        found = stage(reported.applyInPandas(_surroundings(spread, length, lead), _FOUND_SCHEMA), "surroundings")
+        marks = found.where("part = 'text'").groupBy("bucket").applyInPandas(_compare(length), "chunk bigint, first binary, sizes binary")
+        marks = marks.unionByName(found.where("part = 'mark'").select("chunk", "first", "sizes"))
+        told = stage(chunked.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInPandas(
+            _removed(length), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"), "told")
     nothing = hashlib.sha256(b"").hexdigest()
     whole = copies.select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"),
                           F.lit(1).cast("long").alias("n_spans"), F.lit(nothing).alias("kept_sha256"))
