@@ -44,18 +44,23 @@ def matching(docs: DataFrame, decided: DataFrame, how: str, id_col: str = "doc_i
 
 
 @contextmanager
-def small_batches(spark: SparkSession, size: int = 4 << 20) -> Iterator[None]:
-    """Arrow batches of at most ``size`` bytes for the jobs run inside; long texts need less memory."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(size))
+def small_batches(spark: SparkSession, size: int = 4 << 20, rows: int | None = None) -> Iterator[None]:
+    """Arrow batches of at most ``size`` bytes for the jobs run inside, and if given at most ``rows``
+    rows decoded at once by the parquet reader; long rows need less memory."""
+    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
+    if rows is not None:
+        wanted["spark.sql.parquet.columnarReaderBatchSize"] = str(rows)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def only_row(df: DataFrame) -> dict:

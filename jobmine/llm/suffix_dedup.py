@@ -40,12 +40,13 @@ from jobmine.llm.katz import pack, pack_sorted, unpack, unpack_sorted
 from jobmine.session import stage
 
 LENGTH, LEAD = 100, 32
-CHUNK_BYTES = 2 << 20
-BLOCK_BYTES = 1 << 18
+CHUNK_BYTES = 1 << 20
+READ_ROWS = 32
+BLOCK_BYTES = 1 << 17
 BATCHES = 3
-BUCKET_ITEMS = 1 << 20
+BUCKET_ITEMS = 1 << 19
 BUCKET_WINDOWS = 1 << 21
-BLOCK_WINDOWS = 1 << 18
+BLOCK_WINDOWS = 1 << 17
 _PLACE_BITS = 28
 _BROADCAST_ROWS = 200_000
 _U = np.uint64
@@ -203,7 +204,7 @@ class IndexFamily:
             for _, level in self.levels[1:]:
                 known = known.unionByName(level)
         else:
-            known = arrays.sparkSession.createDataFrame([], level_schema)
+            known = arrays.select("bucket", "keys", "more").limit(0)
         out = arrays.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(
             _scan, "part string, bucket int, chunk bigint, keys binary, more binary")
         out = stage(out, "suffix-scan")
@@ -364,7 +365,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies = stage(copies.select("doc", "doc_id", "n_bytes"), "copies")
     gone = copies.select("doc").distinct()
     gone = F.broadcast(gone) if copies.count() <= _BROADCAST_ROWS else gone
-    with small_batches(docs.sparkSession):  # of every job here, as chunks are long rows
+    with small_batches(docs.sparkSession, rows=READ_ROWS):  # of every job here, as chunks are long rows
         chunked = stage(chunks(texts.join(gone, "doc", "left_anti"), chunk_bytes), "suffix-chunks")
         total = int(chunked.agg(F.sum("n_bytes")).first()[0] or 0)
         buckets = max(1, -(-total // (30 * bucket_items)))
