@@ -81,7 +81,8 @@ def sampled(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, lead: in
         fresh[1:] = (place[1:] != place[:-1]) | (window[1:] != window[:-1] + 1)
         first = np.flatnonzero(fresh)
         last = np.append(first[1:], len(window)) - 1
-        out.append((prints[place[first]], window[first] + at, window[last] + at))
+        # Mixed, because least values crowd at the low end and buckets are ranges of fingerprints.
+        out.append((mix(prints[place[first]]), window[first] + at, window[last] + at))
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
