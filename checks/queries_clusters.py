@@ -471,7 +471,7 @@ def fit_on_sample(spark, sf_dir):
 @check("run_grid")
 def run_grid(spark, sf_dir):
     rows = points(spark, sf_dir).drop("cluster_id")
-    specs = clustering.grid_specs(400, 1, 20, 256, 42, 10)
+    specs = clustering.grid_specs(None, 1, 20, 256, 42, 10)
     spaces = {"svd": rows, "svd10_l2": X.low_dimensional(rows, 10)}
     table, _ = clustering.run_grid(spaces, (3, 4), specs, scoring.evaluate_clusters)
     return rounded(scoring.rank_models(table).drop("train_time_sec"), digits=4)

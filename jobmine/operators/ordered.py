@@ -132,7 +132,9 @@ def quantiles(
     def between(i: int) -> Column:
         position = F.lit(float(shares[i])) * (F.col("n") - 1)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        return low + (high - low) * (position - F.floor(position))
+        # As ``percentile`` weighs them, so that both ways agree to the last digit.
+        weighed = (F.ceil(position) - position) * low + (position - F.floor(position)) * high
+        return F.when(low == high, low).otherwise(weighed)
 
     return found.select(*by, "n", F.array(*[between(i) for i in range(len(shares))]).alias("q"))
 

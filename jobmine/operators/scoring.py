@@ -131,21 +131,27 @@ def cluster_balance(df: DataFrame, by: str = "cluster_id") -> DataFrame:
 
 def evaluate_clusters(
     labelled: DataFrame, sample_size: int = 10_000, seed: int = 42, id_col: str = "id",
-    by: str = "cluster_id", col: str = "features",
+    by: str = "cluster_id", col: str = "features", all_on_sample: bool = False,
 ) -> DataFrame:
-    """One row with all scores: quality on a fixed sample, balance on all rows."""
+    """One row with all scores: the silhouette on a fixed sample, the others on all rows.
+
+    ``all_on_sample`` takes the two ratios of spreads and distances on the sample, too.
+    """
     sample = sample_n(labelled.select(id_col, by, col), sample_size, id_col, seed).persist()
-    gates.require(gates.enough_clusters(sample, by))
-    measured, labels, gaps, apart = _geometry(sample, by, col)
-    measured = measured.persist()
-    row = {}
-    for table in (
-        silhouette(sample, by, col), _davies_bouldin(measured, labels, gaps),
-        _calinski_harabasz(measured, labels, apart), cluster_balance(labelled, by),
-    ):
-        row.update(table.first().asDict())
-    measured.unpersist()
-    sample.unpersist()
+    measured, row = None, {}
+    try:
+        gates.require(gates.enough_clusters(sample, by))
+        measured, labels, gaps, apart = _geometry(sample if all_on_sample else labelled, by, col)
+        measured = measured.persist()
+        for table in (
+            silhouette(sample, by, col), _davies_bouldin(measured, labels, gaps),
+            _calinski_harabasz(measured, labels, apart), cluster_balance(labelled, by),
+        ):
+            row.update(table.first().asDict())
+    finally:
+        if measured is not None:
+            measured.unpersist()
+        sample.unpersist()
     return labelled.sparkSession.createDataFrame([tuple(row.values())], list(row))
 
 

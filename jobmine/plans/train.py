@@ -104,10 +104,9 @@ def train(
     scores = scoring.evaluate_clusters(assigned, settings.eval_sample, settings.seed)
     metadata = rows.select(*[c for c in METADATA_COLUMNS if c in rows.columns])
     named = cluster_profiles.label_map(spark, labels)
-    clustered = stage(
-        cluster_profiles.apply_label_map(metadata.join(assigned.select("id", "cluster_id"), "id"), named),
-        "clustered",
-    )
+    own = assigned.select(F.col("id").alias("_id"), "cluster_id")  # ``prepare`` may keep a row without an id
+    placed = metadata.join(own, metadata["id"].eqNullSafe(own["_id"])).drop("_id")
+    clustered = stage(cluster_profiles.apply_label_map(placed, named), "clustered")
     gates.require(gates.row_count(clustered, final.fit_rows, "clustered_rows"))
     keywords = cluster_profiles.top_keywords(
         weights, clustered.select("id", "cluster_id"), model.tfidf.table(spark)

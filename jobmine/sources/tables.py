@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from jobmine.config import TEXT_COLUMNS
 from jobmine.functions.text import UNKNOWN
 from jobmine.operators import gates
+from jobmine.session import stage
 
 MB = 1 << 20
 # Long texts hold line breaks, quotes, commas and blanks at their ends; all are kept.
@@ -78,9 +79,13 @@ def ensure_base_columns(
     if "id" in df.columns:
         return result
     ordered = result.sort(*order) if order else result
-    numbered = ordered.rdd.zipWithIndex().map(lambda pair: (*pair[0], pair[1] + 1))
-    schema = StructType(list(result.schema.fields)).add("id", "long", False)
-    return result.sparkSession.createDataFrame(numbered, schema)
+    placed = stage(ordered.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    part, within = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
+    numbered = placed.join(F.broadcast(offsets), part == F.col("_part"))
+    return numbered.select(*result.columns, (F.col("_offset") + within + 1).alias("id"))
 
 
 def write_split(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -91,15 +96,19 @@ def write_split(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """One split of ``write_split``; only its folder is scanned."""
+def read_split(
+    spark: SparkSession, path: str, split: str, fmt: str = "parquet", schema: StructType | str | None = None
+) -> DataFrame:
+    """One split of ``write_split``; only its folder is scanned. CSV needs the schema of the rows."""
+    if fmt == "csv":
+        return read_csv_table(spark, f"{path}/split={split}", schema)
     return spark.read.parquet(path).where(F.col("split") == split).drop("split")
 
 
 def write_audit(tables: dict[str, DataFrame], path: str) -> None:
-    """Each small report table as one CSV file."""
+    """Each report table as CSV, in as many files as it has partitions: some list every flagged row."""
     for name, table in tables.items():
-        write_csv(table.coalesce(1), f"{path}/{name}")
+        write_csv(table, f"{path}/{name}")
 
 
 def write_json_record(df: DataFrame, path: str) -> None:

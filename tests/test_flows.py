@@ -123,7 +123,8 @@ def test_split_folders(spark, tmp_path):
         tables.write_split(df, str(tmp_path / fmt), fmt)
     read = tables.read_split(spark, str(tmp_path / "parquet"), "test")
     assert read.count() == 2 and read.columns == ["id"]
-    assert (tmp_path / "csv" / "split=train").exists()
+    read = tables.read_split(spark, str(tmp_path / "csv"), "test", "csv", "id long")
+    assert sorted(r["id"] for r in read.collect()) == [0, 1]
 
 
 def test_base_columns(spark):
@@ -131,6 +132,9 @@ def test_base_columns(spark):
     based = tables.ensure_base_columns(df, order=["job_title"])
     assert [(r["id"], r["job_title"], r["salary"]) for r in based.orderBy("id").collect()] == [(1, "a", "unknown"), (2, "b", "unknown")]
     assert tables.ensure_base_columns(spark.range(2)).count() == 2
+    many = spark.range(1000).selectExpr("id AS n").repartition(7)
+    numbered = tables.ensure_base_columns(many, [], ["n"]).collect()
+    assert all(r["id"] == r["n"] + 1 for r in numbered) and len(numbered) == 1000
 
 
 def test_feature_set_must_match_its_metadata(spark, tmp_path):

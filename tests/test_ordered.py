@@ -44,6 +44,13 @@ def test_group_quantiles_equal_numpy(skewed, limit):
         assert list(found["q"]) == pytest.approx(list(np.quantile(values, SHARES)))
 
 
+def test_both_ways_agree_to_the_last_digit(skewed, monkeypatch):
+    shares = [0.01, 0.1, 0.25, 0.37, 0.5, 0.9, 0.99]
+    built_in = ordered.quantiles(skewed, "v", shares).first()["q"]
+    monkeypatch.setattr(ordered, "KEYS_PER_TASK", 10)
+    assert ordered.quantiles(skewed, "v", shares).first()["q"] == built_in
+
+
 def test_many_groups_use_a_checkpoint(skewed, monkeypatch):
     monkeypatch.setattr(ordered, "KEYS_PER_TASK", 10)
     monkeypatch.setattr(rows, "MAX_LOCAL_ROWS", 1)
