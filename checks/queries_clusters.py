@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, longs, rounded
+from checks.registry import SQL, check, longs, rounded
 from checks.sql_text import grams_sql
 from checks.tables import load, postings, scratch
 from jobmine.config import Settings
@@ -477,12 +477,61 @@ def run_grid(spark, sf_dir):
     return rounded(scoring.rank_models(table).drop("train_time_sec"), digits=4)
 
 
-@check("model_info")
+_SCORES_SQL = [SQL[name] for name in ("silhouette", "davies_bouldin", "calinski_harabasz", "cluster_balance")]
+
+
+@check("model_info", f"""SELECT round(silhouette, 4) AS silhouette, round(davies_bouldin, 4) AS davies_bouldin,
+  round(calinski_harabasz, 4) AS calinski_harabasz, min_cluster_size, max_cluster_size,
+  round(cluster_size_std, 4) AS cluster_size_std, round(cluster_size_cv, 4) AS cluster_size_cv,
+  (SELECT least(count(*), 10000) FROM embeddings) AS eval_rows, 'KMeans' AS model_name, 'svd' AS feature_space
+FROM {', '.join(f'({sql}) AS s{i}' for i, sql in enumerate(_SCORES_SQL))}""")
 def model_info(spark, sf_dir):
     scores = scoring.evaluate_clusters(points(spark, sf_dir))
     return rounded(P.model_info(scores, {"model_name": "KMeans", "feature_space": "svd"}), digits=4)
 
 
+# Customers around five points that lie far apart, so that SQL knows the clusters.
+PLANTED = {"g": "c_nationkey % 5", "x": "CAST(1000 * (c_nationkey % 5) AS DOUBLE)",
+           "y": "CAST(500 * (c_nationkey * 2 % 5) AS DOUBLE)", "z": "CAST(c_acctbal AS DOUBLE) / 1000"}
+PLANTED_SQL = f"""planted AS (SELECT {', '.join(f'{e} AS {n}' for n, e in PLANTED.items())} FROM customer),
+means AS (SELECT g, x, y, avg(z) AS middle, count(*) AS size FROM planted GROUP BY 1, 2, 3)"""
+
+
+def planted(spark, sf_dir):
+    return load(spark, sf_dir, "customer").selectExpr("c_custkey AS id", f"array({', '.join(PLANTED[c] for c in 'xyz')}) AS features")
+
+
+def _placed(model: clustering.ClusterModel, rows):
+    """Size and first two coordinates of each center, and what the model says of its fit."""
+    near = rows.sparkSession.createDataFrame(
+        [(i, float(c[0]), float(c[1])) for i, c in enumerate(model.centers)], "cluster_id int, x double, y double")
+    described = _described(model, rows).join(F.broadcast(near), "cluster_id").drop("cluster_id", "inertia")
+    return rounded(described.withColumn("fit_rows", F.col("fit_rows").cast("long")), digits=3)
+
+
+@check("kmeans_planted", f"""WITH {PLANTED_SQL}, total AS (SELECT sum((z - middle) * (z - middle)) AS inertia, count(*) AS n FROM planted JOIN means USING (g))
+SELECT x, y, round(middle, 4) AS z, size, round(inertia, 2) AS inertia, n AS fit_rows FROM means, total""")
+def kmeans_planted(spark, sf_dir):
+    rows = planted(spark, sf_dir)
+    model = clustering.kmeans_fit(rows, 5, restarts=5, max_iter=50)
+    means = clustering.cluster_means(clustering.assign_cluster(rows, model.centers))
+    cells = means.select(*[F.round(F.col("center")[i], 4).alias(c) for i, c in enumerate("xyz")], "size")
+    return cells.withColumns({"inertia": F.round(F.lit(model.inertia), 2), "fit_rows": F.lit(model.fit_rows).cast("long")})
+
+
+@check("minibatch_planted", f"""WITH {PLANTED_SQL} SELECT x, y, size, 'MiniBatchKMeans' AS model, 'fit_full_train' AS fit_note,
+  (SELECT count(*) FROM customer) AS fit_rows FROM means""")
+def minibatch_planted(spark, sf_dir):
+    rows = planted(spark, sf_dir)
+    return _placed(clustering.minibatch_kmeans_fit(rows, 5, 128, max_batches=20, restarts=5), rows)
+
+
+@check("sample_fit_planted", f"""WITH {PLANTED_SQL} SELECT x, y, size, 'KMeans' AS model, 'fit_on_sample_100' AS fit_note, CAST(100 AS BIGINT) AS fit_rows FROM means""")
+def sample_fit_planted(spark, sf_dir):
+    rows = planted(spark, sf_dir)
+    return _placed(clustering.fit_on_sample(rows, lambda df: clustering.kmeans_fit(df, 5, 5, 20), 100), rows)
+
+
 @check("train_and_score_flow")
 def train_and_score_flow(spark, sf_dir):
     """Train on one part of the postings and give the other part its clusters."""

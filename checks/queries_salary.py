@@ -364,6 +364,16 @@ def gate_columns_and_schema(spark, sf_dir):
     return checks.withColumn("rows", rows.agg(F.count(F.lit(1))).scalar())
 
 
+@check("gate_row_count", """SELECT 'orders_per_customer' AS "check", abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM customer)) AS failures,
+  (SELECT count(*) FROM orders) = (SELECT count(*) FROM customer) AS passed
+UNION ALL SELECT 'all_orders', 0, true""")
+def gate_row_count(spark, sf_dir):
+    """A count that fails and one that holds."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey")
+    failing = gates.row_count(orders, load(spark, sf_dir, "customer").count(), "orders_per_customer")
+    return failing.unionByName(gates.row_count(orders, orders.count(), "all_orders"))
+
+
 @check("split_written_and_read", f"""WITH {split_sql('orders', 'o_orderkey', 'o_totalprice')}
 SELECT o_orderkey, o_totalprice, o_orderstatus FROM split_rows WHERE split = 'test'""")
 def split_written_and_read(spark, sf_dir):

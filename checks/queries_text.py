@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.queries_salary import split_sql
-from checks.registry import check, longs, rounded
+from checks.registry import SQL, check, longs, rounded
 from checks.sql_text import clean, clean_salary, filled, mentions, squeeze_spaces, strip_mentions
 from checks.tables import POSTINGS_SQL, load, postings
 from jobmine.functions import text as T
 from jobmine.operators import cleaning, preparation, profiling, shift
+from jobmine.plans.feature_report import feature_report
 
 DOCS_LABELS = "(SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 
@@ -349,6 +350,13 @@ def shift_verdict(spark, sf_dir):
         shift.ks_shift(rows, _KS_COLUMNS), shift.category_shift(rows, ["event_type", "user_id"], 12)))
 
 
+@check("feature_report", SQL["shift_verdict"])
+def report_of_features(spark, sf_dir):
+    """The verdict that the whole report ends with."""
+    rows = _split_events(spark, sf_dir).withColumn("is_salary_outlier", F.col("value") > 100)
+    return rounded(feature_report(rows, _KS_COLUMNS, ["event_type", "user_id"])["shift_verdict"])
+
+
 @check("clip_quantile", f"""WITH {split_sql('events', 'event_id', 'value')}, u AS (SELECT quantile_cont(value, 0.99) AS v,
   quantile_cont(CAST(user_id AS DOUBLE), 0.99) AS i FROM split_rows WHERE split = 'train')
 SELECT event_id, split, round(least(value, v), 6) AS value, round(least(CAST(user_id AS DOUBLE), i), 6) AS user_id FROM split_rows, u""")

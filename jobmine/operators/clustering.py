@@ -221,19 +221,19 @@ def run_grid(
             row = score(assign_cluster(data, model.centers)).first().asDict()
             tables.append((
                 name, space, k, model.seconds, model.inertia, *[row[c] for c in SCORES],
-                model.fit_note, model.fit_rows,
+                model.fit_note, model.fit_rows, None if model.fit_note == "fit_full_train" else limit,
             ))
     spark = next(iter(spaces.values())).sparkSession
     schema = (
         "model string, feature_space string, k int, train_time_sec double, inertia double, "
         "silhouette double, davies_bouldin double, calinski_harabasz double, min_cluster_size long, "
-        "max_cluster_size long, cluster_size_std double, cluster_size_cv double, fit_note string, "
-        "fit_rows long"
+        "max_cluster_size long, cluster_size_std double, cluster_size_cv double, eval_rows long, fit_note string, "
+        "fit_rows long, fit_sample_rows long"
     )
     return spark.createDataFrame(tables, schema), models
 
 
 SCORES = (
     "silhouette", "davies_bouldin", "calinski_harabasz", "min_cluster_size", "max_cluster_size",
-    "cluster_size_std", "cluster_size_cv",
+    "cluster_size_std", "cluster_size_cv", "eval_rows",
 )

@@ -109,9 +109,9 @@ def running_totals(
 def quantiles(
     df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles: per group ``n`` and the array ``q``."""
+    """Exact linearly interpolated quantiles: per group ``n`` and the array ``q``; NaN is null."""
     by = list(by)
-    numeric = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    numeric = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     if _fits_one_task(numeric, "_v", by):
         return numeric.groupBy(*by).agg(
             F.count(F.lit(1)).alias("n"), F.percentile("_v", [float(s) for s in shares]).alias("q")

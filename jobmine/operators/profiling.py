@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobmine.config import AMBIGUOUS_KEYWORDS, LENGTH_COLUMNS, LONG_TEXT_COLUMNS, NEAR_DUPLICATE_KEY
 from jobmine.functions import text as T
 from jobmine.operators.ordered import first_n, quantiles
-from jobmine.operators.rows import row_digest, small_side, with_row
+from jobmine.operators.rows import row_digest, small_side, with_row, without_nan
 from jobmine.operators.salary import salary_length_flags, salary_patterns
 
 # What each prepared column is for.
@@ -34,9 +34,9 @@ DATA_DICTIONARY = (
 
 
 def _long(df: DataFrame, columns: Sequence[str], expression, *keep: str) -> DataFrame:
-    """One (column, value) row per cell, with one expression for every column."""
+    """One (column, value) row per cell, with one expression for every column; NaN is null."""
     cells = [
-        F.struct(F.lit(c).alias("column"), expression(F.col(c)).alias("value")) for c in columns
+        F.struct(F.lit(c).alias("column"), expression(without_nan(df, c)).alias("value")) for c in columns
     ]
     return df.select(*keep, F.inline(F.array(*cells)))
 
@@ -86,7 +86,7 @@ def missing_summary(df: DataFrame) -> DataFrame:
     """Null count and ratio per column, most missing first; one aggregate without a shuffle of rows."""
     counts = df.agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count(F.col(c)).alias(c) for c in df.columns],
+        *[F.count(without_nan(df, c)).alias(c) for c in df.columns],
     )
     return (
         unpivot(counts, ["_rows"], df.columns, "column", "present")
@@ -309,7 +309,7 @@ def categorical_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def dataset_overview(df: DataFrame, outlier: str = "is_salary_outlier") -> DataFrame:
     """Per split: rows, columns, null cells and their share, outlier share."""
     columns = [c for c in df.columns if c != "split"]
-    nulls = sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in columns), F.lit(0))
+    nulls = sum((F.when(without_nan(df, c).isNull(), 1).otherwise(0) for c in columns), F.lit(0))
     return df.groupBy("split").agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(len(columns)).alias("features_per_sample"),

@@ -39,6 +39,14 @@ def row_digest(df: DataFrame, columns: list[str]) -> Column:
     return F.md5(F.to_json(F.struct(*exact), options))
 
 
+def without_nan(df: DataFrame, column: str) -> Column:
+    """The column with NaN taken as null; only floating columns can hold one."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(column), F.lit(None).cast(kind))
+    return F.col(column)
+
+
 def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:
     """Append the only row of a table as a struct, computed once as a scalar subquery."""
     return df.withColumn(name, row.select(F.struct(*row.columns)).scalar())

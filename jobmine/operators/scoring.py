@@ -84,19 +84,12 @@ def _geometry(df: DataFrame, by: str, col: str) -> tuple[DataFrame, list, np.nda
 
 
 def _davies_bouldin(measured: DataFrame, labels: list, gaps: np.ndarray) -> DataFrame:
-    """From one row per cluster: all pairs of clusters come as a table, joined on both labels."""
-    pairs = [
-        (labels[i], labels[j], float(gaps[i, j]))
-        for i in range(len(labels)) for j in range(len(labels)) if i != j
-    ]
-    key = dict(measured.dtypes)["c"]
-    between = measured.sparkSession.createDataFrame(pairs, f"a {key}, b {key}, gap double")
-    worst = (
-        between.join(measured.select(F.col("c").alias("a"), F.col("spread").alias("sa")), "a")
-        .join(measured.select(F.col("c").alias("b"), F.col("spread").alias("sb")), "b")
-        .groupBy("a").agg(F.max((F.col("sa") + F.col("sb")) / F.col("gap")).alias("worst"))
-    )
-    return worst.agg(F.avg("worst").alias("davies_bouldin"))
+    """From one row per cluster, as few as a model has; coincident centers do not count as close."""
+    found = {r["c"]: r["spread"] for r in measured.select("c", "spread").collect()}
+    spread = np.array([found[c] for c in labels])
+    worst = ((spread[:, None] + spread[None, :]) / np.where(gaps == 0, np.inf, gaps)).max(axis=1)
+    value = float(worst.mean()) if len(labels) > 1 else None
+    return measured.sparkSession.createDataFrame([(value,)], "davies_bouldin double")
 
 
 def _calinski_harabasz(measured: DataFrame, labels: list, apart: np.ndarray) -> DataFrame:
@@ -148,6 +141,7 @@ def evaluate_clusters(
             _calinski_harabasz(measured, labels, apart), cluster_balance(labelled, by),
         ):
             row.update(table.first().asDict())
+        row["eval_rows"] = sample.count()
     finally:
         if measured is not None:
             measured.unpersist()

@@ -56,6 +56,8 @@ class Trained:
     features: FeatureModel
     model: clustering.ClusterModel
     metrics: DataFrame
+    best: DataFrame
+    gains: DataFrame
     clustered: DataFrame
     profiles: DataFrame
     summary: DataFrame
@@ -130,4 +132,6 @@ def train(
         "selection_rule": "total_rank = rank_silhouette + rank_davies_bouldin "
         "+ rank_calinski_harabasz + 0.5 * rank_cluster_balance",
     })
-    return Trained(model, final, ranked, clustered, profiles, summary, info)
+    best = scoring.pick_best(ranked)
+    gains = scoring.compare_to_baseline(scores, best)  # of the final model over the best of the grid
+    return Trained(model, final, ranked, best, gains, clustered, profiles, summary, info)

@@ -49,6 +49,13 @@ def test_scores_equal_brute_force(spark, blobs):
     assert scoring.davies_bouldin(rows).first()[0] == pytest.approx(np.mean(worst))
 
 
+def test_coincident_centers_and_one_cluster(spark, tiny):
+    rows = [(1, 1, [0.0]), (2, 1, [2.0]), (3, 2, [0.0]), (4, 2, [2.0]), (5, 3, [10.0])]
+    same = spark.createDataFrame(rows, "id long, cluster_id int, features array<double>")
+    assert scoring.davies_bouldin(same).first()[0] == pytest.approx(1 / 9)
+    assert scoring.davies_bouldin(tiny.where("cluster_id = 7")).first()[0] is None
+
+
 def test_silhouette_needs_a_sample_and_two_clusters(tiny, monkeypatch):
     with pytest.raises(ValueError, match="two clusters"):
         scoring.silhouette(tiny.where("cluster_id = 7"))
@@ -100,6 +107,9 @@ def test_grid_and_ranking(blobs):
     metrics, models = clustering.run_grid({"svd": blobs, "svd10_l2": blobs}, (2, 3), specs, scoring.evaluate_clusters)
     ranked = scoring.rank_models(metrics)
     assert ranked.count() == 6 and len(models) == 6
+    assert {(r["eval_rows"], r["fit_rows"], r["fit_sample_rows"]) for r in ranked.collect()} == {(100, 100, None)}
+    sampled, _ = clustering.run_grid({"svd": blobs}, (2,), clustering.grid_specs(50, 1, 5, 40, 42, 5)[:1], scoring.evaluate_clusters)
+    assert sampled.select("fit_rows", "fit_sample_rows", "eval_rows").first() == (50, 50, 100)
     assert scoring.pick_best(ranked).first()["total_rank"] == ranked.first()["total_rank"]
 
 

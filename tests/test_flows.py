@@ -5,6 +5,8 @@ from checks.tables import postings
 from jobmine.config import TEXT_COLUMNS, Settings
 from jobmine.operators import clustering, gates
 from jobmine.operators import text_features as X
+from jobmine.operators import cleaning
+from jobmine.plans.feature_report import feature_report
 from jobmine.plans.prepare import prepare
 from jobmine.plans.profile_raw import profile_raw
 from jobmine.plans.score import score
@@ -76,6 +78,18 @@ def test_train(trained, prepared):
     assert trained.info.first()["model_name"] == "KMeans"
 
 
+def test_feature_report(prepared):
+    report = feature_report(cleaning.engineer(prepared.clean))
+    assert {r["split"] for r in report["dataset_overview"].collect()} == {"train", "test"}
+    assert report["numeric_shift"].count() == report["numeric_describe"].count() == 4
+    assert report["shift_verdict"].count() == 10 and report["categorical_summary"].count() == 6
+
+
+def test_best_of_the_grid(trained):
+    assert trained.best.first()["total_rank"] == trained.metrics.first()["total_rank"]
+    assert trained.gains.count() == 3
+
+
 def test_models_are_saved_and_score_new_rows(spark, trained, raw, tmp_path):
     trained.features.save(spark, str(tmp_path / "features"))
     trained.model.table(spark).write.parquet(str(tmp_path / "centers"))

@@ -51,6 +51,16 @@ def test_numeric_describe(people):
     assert found["count"] == 4 and found["std"] == pytest.approx(4.0824829)
 
 
+def test_nan_is_null(spark):
+    rows = [(1, "train", 1.0, 1.0), (2, "train", 2.0, float("nan")), (3, "test", float("nan"), 2.0), (4, "test", 3.0, None)]
+    df = spark.createDataFrame(rows, "id long, split string, v double, w float")
+    found = profiling.numeric_describe(df, ["v"]).first()
+    assert (found["count"], found["mean"], found["p50"], found["max"]) == (3, 2.0, 2.0, 3.0)
+    assert {r["column"]: r["missing_count"] for r in profiling.missing_summary(df).collect()} == {"id": 0, "split": 0, "v": 1, "w": 2}
+    assert by(profiling.schema_summary(df), "column")["w"]["missing_count"] == 2
+    assert shift.ks_shift(df, ["v"]).first()["test_mean"] == 3.0
+
+
 def test_histogram_clips(people):
     found = {r["bin"]: r["count"] for r in profiling.histogram_table(people, "v", 4, clip=5.0).collect()}
     assert found == {0: 1, 1: 1, 2: 1, 3: 1}
