@@ -3,7 +3,8 @@
 Every window of ``SPAN`` words is hashed under a few fixed masks that read some of its words only,
 so a substituted word under an ignored place does not hide the window. Test hashes are joined to the
 hashes of all document windows; each hit names a diagonal (document position minus item position),
-whose whole overlap with the X
+whose whole overlap with the item is then compared word by word, under the item's length and around
+the hit.
 
 Windows are made and looked up within one stage: the test side is broadcast in blocks of a fixed
 number of hashes, one pass over the documents per block, so any size of the benchmark works and only
