@@ -111,6 +111,29 @@ def test_decontamination(spark):
     assert decontamination.op5(docs.limit(0), bench).count() == 0 and decontamination.op5(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_every_share(spark):
+    draw = np.random.default_rng(5)
+    items, docs, wanted = [], [], set()
+
+    def copy(n, replaced):
+        doc = len(docs)
+        body = [f"r{doc}x{i}" if i in replaced else f"i{n}w{i}" for i in range(n)]
+        docs.append((doc, " ".join([f"b{doc}"] * int(draw.integers(0, 4)) + body + [f"e{doc}", f"f{doc}"])))
+        return doc
+
+    for n in [*range(1, 46), 56, 100]:
+        items.append((n, " ".join(f"i{n}w{i}" for i in range(n))))
+        spare = n - int(np.ceil(n * 0.7))
+        for _ in range(6):
+            wanted.add((copy(n, set(draw.choice(n, spare, replace=False).tolist())), n))
+        wanted.add((copy(n, set(range(3, n, 4)) if n // 4 <= spare else set()), n))
+        if n <= 12:  # too short for NEAR equal words
+            copy(n, set(draw.choice(n, spare + 1, replace=False).tolist()))
+    found = decontamination.op5(frame(spark, docs).repartition(3), frame(spark, items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == wanted
+    assert all(r["share"] >= 0.7 for r in found)
+
+
 def test_license_scan(spark):
     mit = license_scan.TEMPLATES[0][0]
     edited = mit.replace("without restriction", "with no further restriction")
