@@ -6,12 +6,16 @@ document, template and diagonal, neighbouring diagonals are merged (words added
 a passage shift it), and a merged span is verified: it must cover enough of the template's words.
 Phrases are templates that must stand whole, word by word.
 
+Notices that differ in few words cover each other's templates, so words that tell them apart decide:
+a template of a variant counts only if the variant's mark stands in the passage, and the plain notice
+gives way to an overlapping passage of a variant unless its own mark stands there too.
+
 The template side is a fixed list and is broadcast; windows are made and looked up in one stage and
 only hits are shuffled, added up per place first.
 
 Defined cases: null or empty texts have no words (n_words 0, no labels, score 0); equal rows get
-equal results; a place that several templates share counts for each of them; a phrase counts at
-every place, overlapping ones too. Other columns may have any names.
+equal results; a place that several templates share counts for each of them, but for variants
+of a notice as above; a phrase counts at every place, overlapping ones too. Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -59,6 +63,15 @@ TEMPLATES = (
     ("all rights reserved no part of this publication may be reproduced", "proprietary"),
 )
 
+# Label, the plain notice it is a variant of (or is), and its marks of one or two words.
+MARKS = (
+    ("gpl", "gpl", ("gnu general",)),
+    ("lgpl", "gpl", ("lesser", "library general")),
+    ("cc-by", "cc-by", ("attribution 1", "attribution 2", "attribution 3", "attribution 4")),
+    ("cc-by-nc", "cc-by", ("noncommercial", "non commercial")),
+    ("cc-by-sa", "cc-by", ("sharealike", "share alike")),
+)
+
 
 def word_list(text: Column) -> Column:
     return F.array_remove(F.split(lowered(text), _BETWEEN), "")
@@ -69,16 +82,20 @@ def _grams(words: Column, at: Column) -> Column:
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """template, label, phrase (whether it must stand whole), words, tpos, hash: a row per k-gram."""
-    rows = [(i, label, i < len(PHRASES), text.split()) for i, (text, label) in enumerate(PHRASES + TEMPLATES)]
-    table = spark.createDataFrame(rows, "template int, label string, phrase boolean, twords array<string>")
+    """template, label, phrase (whether it must stand whole), words, plain notice, marks, tpos, hash:
+    a row per k-gram."""
+    marks = {label: (plain, list(words)) for label, plain, words in MARKS}
+    rows = [(i, label, i < len(PHRASES), text.split(), *((None, []) if i < len(PHRASES) else marks.get(label, (None, []))))
+            for i, (text, label) in enumerate(PHRASES + TEMPLATES)]
+    table = spark.createDataFrame(
+        rows, "template int, label string, phrase boolean, twords array<string>, plain string, marks array<string>")
     place = F.explode(F.sequence(F.lit(0), F.size("twords") - K)).alias("tpos")
     return table.select("*", place).select("*", _grams(F.col("twords"), F.col("tpos")).alias("thash"))
 
 
 def votes(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, template, label, phrase, n_twords, diagonal, tpos: one row per k-gram that
-    agrees with a template word by word."""
+    """doc_id, text_key, template, label, phrase, plain, n_twords, diagonal, tpos, marked: one row per
+    k-gram that agrees with a template word by word, with the places of the label's marks around it."""
     source = narrow(docs).select("doc_id", text_key(F.col("text")).alias("text_key"), word_list(F.col("text")).alias("words"))
     place = F.explode(F.sequence(F.lit(0), F.size("words") - K)).alias("pos")
     keyed = source.where(F.size("words") >= K).select("*", place).select(
@@ -88,8 +105,17 @@ def votes(docs: DataFrame) -> DataFrame:
     for i in range(K):
         same = same & (F.get("words", F.col("pos") + F.lit(i)) == F.get("twords", F.col("tpos") + F.lit(i)))
     hits = keyed.join(F.broadcast(known), keyed["hash"] == known["thash"]).where(same)
-    return hits.select("doc_id", "text_key", "template", "label", "phrase", F.size("twords").alias("n_twords"),
-                       (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos").distinct()
+    around = F.sequence(F.greatest(F.col("pos") - F.size("twords"), F.lit(0)),
+                        F.least(F.col("pos") + F.size("twords") + F.lit(K), F.size("words") - 1))
+
+    def is_mark(p: Column) -> Column:
+        word = F.get("words", p)
+        pair = F.concat_ws(" ", word, F.get("words", p + F.lit(1)))
+        return F.array_contains("marks", word) | F.array_contains("marks", pair)
+
+    marked = F.when(F.size("marks") > 0, F.filter(around, is_mark)).otherwise(F.array().cast("array<int>"))
+    return hits.select("doc_id", "text_key", "template", "label", "phrase", "plain", F.size("twords").alias("n_twords"),
+                       (F.col("pos") - F.col("tpos")).alias("diagonal"), "tpos", marked.alias("marked")).distinct()
 
 
 def spans(docs: DataFrame) -> DataFrame:
@@ -99,10 +125,12 @@ def spans(docs: DataFrame) -> DataFrame:
     continues the passage, in text and in the template, after a gap of at most the template's length.
     """
     each = ["doc_id", "text_key", "template"]
-    voted = votes(docs).groupBy(*each, "label", "phrase", "n_twords", "diagonal").agg(
-        F.collect_set("tpos").alias("hit"))  # at most the template's length
+    kind = ["label", "phrase", "plain", "n_twords"]
+    voted = votes(docs).groupBy(*each, *kind, "diagonal").agg(
+        F.collect_set("tpos").alias("hit"),  # at most the template's length
+        F.array_distinct(F.flatten(F.collect_list("marked"))).alias("marked"))
     lines = voted.select(
-        *each, "label", "phrase", "n_twords", "diagonal", "hit",
+        *each, *kind, "diagonal", "hit", "marked",
         (F.array_min("hit") + F.col("diagonal")).alias("lo"), (F.array_max("hit") + F.col("diagonal") + K - 1).alias("hi"))
     order = Window.partitionBy(*each).orderBy("lo", "diagonal")
     before = F.lag("hi").over(order)
@@ -110,12 +138,24 @@ def spans(docs: DataFrame) -> DataFrame:
         F.col("lo") - before <= F.col("n_twords")) & (F.array_min("hit") >= F.lag(F.array_min("hit")).over(order))
     fresh = F.when(F.col("phrase") | ~F.coalesce(near, F.lit(False)), 1).otherwise(0)
     chained = lines.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order))
-    merged = chained.groupBy(*each, "label", "phrase", "n_twords", "run").agg(
-        F.flatten(F.collect_list("hit")).alias("hit"), F.min("lo").alias("first"), F.max("hi").alias("last"))
+    merged = chained.groupBy(*each, *kind, "run").agg(
+        F.flatten(F.collect_list("hit")).alias("hit"), F.flatten(F.collect_list("marked")).alias("marked"),
+        F.min("lo").alias("first"), F.max("hi").alias("last"))
     grams = F.size(F.array_distinct("hit"))
     cover = grams / (F.col("n_twords") - (K - 1))
     whole = F.when(F.col("phrase"), cover >= 1).otherwise(cover >= MIN_COVER)
-    return merged.withColumn("cover", cover).where(whole).select(
+    marked = F.exists("marked", lambda p: (p >= F.col("first")) & (p <= F.col("last")))
+    variant = F.coalesce(F.col("plain") != F.col("label"), F.lit(False))
+    verified = merged.select(
+        *each, "label", "phrase", "plain", "first", "last", cover.alias("cover"), marked.alias("own"),
+        variant.alias("variant"), whole.alias("whole")).where(F.col("whole") & (~F.col("variant") | F.col("own")))
+    # The last end of variants that begin before or with a passage, the first begin of those after it.
+    place = Window.partitionBy("doc_id", "text_key", "plain").orderBy("first")
+    ends = F.max(F.when(F.col("variant"), F.col("last"))).over(place.rangeBetween(Window.unboundedPreceding, 0))
+    begins = F.min(F.when(F.col("variant"), F.col("first"))).over(place.rangeBetween(0, Window.unboundedFollowing))
+    meets = F.coalesce(ends >= F.col("first"), F.lit(False)) | F.coalesce(begins <= F.col("last"), F.lit(False))
+    gives_way = F.col("plain").isNotNull() & ~F.col("variant") & ~F.col("own") & F.col("meets")
+    return verified.withColumn("meets", meets).where(~gives_way).select(
         "doc_id", "text_key", "label", "phrase", "first", "last", "cover")
 
 

@@ -154,6 +154,28 @@ def test_license_scan(spark):
     assert license_scan.op8(docs.limit(0)).count() == 0
 
 
+def test_license_variants(spark):
+    texts = [(text, label) for text, label in license_scan.TEMPLATES]
+    texts += [(f"{WORDS} {text} {WORDS}", label) for text, label in license_scan.TEMPLATES]
+    cc = "This work is licensed under a Creative Commons {} International License."
+    gnu = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General "
+           "Public License as published by the Free Software Foundation; ")
+    texts += [
+        (cc.format("Attribution 4.0"), "cc-by"), (cc.format("Attribution 3.0"), "cc-by"),
+        (cc.format("Attribution-Non-Commercial 4.0"), "cc-by-nc"), (cc.format("Attribution-ShareAlike 3.0"), "cc-by-sa"),
+        (cc.format("Attribution-NonCommercial-ShareAlike 4.0"), "cc-by-nc,cc-by-sa"),
+        (cc.format("Attribution 4.0") + " " + cc.format("Attribution-ShareAlike 4.0"), "cc-by,cc-by-sa"),
+        (gnu.format("program", ""), "gpl"), (gnu.format("library", ""), "gpl"),
+        (gnu.format("program", "Lesser "), "lgpl"), (gnu.format("library", "Library "), "lgpl"),
+        (gnu.format("library", "Lesser ") + WORDS + " " + gnu.format("program", ""), "gpl,lgpl"),
+        (gnu.format("program", "") + gnu.format("library", "Lesser "), "gpl,lgpl"),
+        (gnu.format("program", "General or GNU Lesser "), "gpl,lgpl"),
+    ]
+    found = license_scan.op8(frame(spark, [(i, t) for i, (t, _) in enumerate(texts)]).repartition(3)).collect()
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in found}
+    assert [(t, found[i]) for i, (t, _) in enumerate(texts)] == [(t, set(wanted.split(","))) for t, wanted in texts]
+
+
 def test_quote_links(spark):
     rows = [
         ("a", 0, "u", "Hello there.\nHow are you?"),
