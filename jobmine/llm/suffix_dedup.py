@@ -13,6 +13,8 @@ About one suffix in 35 bytes is sampled.
   are never more levels than the logarithm of the number of batches.
 - Reported suffixes are compared in full: the windows around them meet by suffix, equal windows are
   found, and all but the earliest mark their bytes. Equal surroundings within a chunk are sent once.
+- Suffixes with many different surroundings are counted first. Their windows are dealt singly, by
+  the hash of their bytes, equal ones within a chunk once, so no task gets all of one suffix.
 
 Texts that equal the text of an earlier document are found by digest first and removed whole, so
 large groups of copies are not indexed. Strings are compared by two 64-bit hashes.
@@ -47,6 +49,10 @@ BATCHES = 3
 BUCKET_ITEMS = 1 << 19
 BUCKET_WINDOWS = 1 << 21
 BLOCK_WINDOWS = 1 << 17
+# A cell of suffixes with more windows is dealt window by window, to groups of about DEALT_WINDOWS.
+HOT_WINDOWS = 1 << 17
+DEALT_WINDOWS = 1 << 20
+CELLS = 64
 _PLACE_BITS = 28
 _BROADCAST_ROWS = 200_000
 _U = np.uint64
@@ -257,14 +263,91 @@ def _surroundings(buckets: int, length: int, lead: int):
     return cut
 
 
+def _cells(keys: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """The cell of each suffix of a bucket; a bucket has ``CELLS`` of them."""
+    return bucket * CELLS + (mix(keys) // _U(buckets) % _U(CELLS)).astype(np.int64)
+
+
+def _cell_sizes(buckets: int, length: int):
+    """Windows per cell of the surroundings of each row."""
+    def count(frames):
+        for frame in frames:
+            for r in frame.itertuples():
+                cells, at = np.unique(_cells(unpack(r.keys, np.uint64), r.bucket, buckets), return_inverse=True)
+                windows = np.bincount(at, unpack(r.sizes, np.int64) - length + 1).astype(np.int64)
+                yield pd.DataFrame({"cell": cells, "windows": windows})
+
+    return count
+
+
+def _windows(sizes: np.ndarray, length: int):
+    """(item, window in it, place of the window in the bytes of all items)."""
+    windows = sizes - length + 1
+    of = np.repeat(np.arange(len(sizes)), windows)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+    return of, step, np.repeat(np.cumsum(sizes) - sizes, windows) + step
+
+
+def _deal(hot: np.ndarray, buckets: int, groups: int, length: int):
+    """Rows of surroundings without hot cells; the windows of those, dealt to groups by their content,
+    and marks of windows that an equal one in the chunk precedes. ``hot`` is sorted."""
+    def split(frames):
+        for frame in frames:
+            for r in frame.itertuples():  # one row's windows at a time
+                keys, docs, sizes = unpack(r.keys, np.uint64), unpack(r.docs, np.int64), unpack(r.sizes, np.int64)
+                both, data = unpack(r.first, np.int64).reshape(2, -1), unpack(r.data, np.uint8)
+                is_hot = np.isin(_cells(keys, r.bucket, buckets), hot)
+                of_byte = np.repeat(is_hot, sizes)
+                rows = []
+                cold = ~is_hot
+                if cold.any():
+                    rows.append(("text", r.bucket, r.chunk, pack(keys[cold]), pack(docs[cold]), pack(both[:, cold].ravel()),
+                                 pack(sizes[cold]), pack(data[~of_byte])))
+                if is_hot.any():
+                    keys, docs, sizes, both, data = keys[is_hot], docs[is_hot], sizes[is_hot], both[:, is_hot], data[of_byte]
+                    of, step, at = _windows(sizes, length)
+                    content = span_hashes(data, at, at + length)
+                    keys, docs, start, inside = keys[of], docs[of], both[0][of] + step, both[1][of] + step
+                    order = np.lexsort((inside, docs, content, keys))
+                    again = np.zeros(len(order), bool)
+                    again[1:] = (content[order][1:] == content[order][:-1]) & (keys[order][1:] == keys[order][:-1])
+                    later, sent = start[order[again]], order[~again]
+                    if len(later):
+                        rows.append(("mark", -1, r.chunk, None, None, pack(later), pack(later), None))
+                    group = (mix(content[sent]) % _U(groups)).astype(np.int64)
+                    sent = sent[np.argsort(group, kind="stable")]
+                    for g, a, b in _runs(np.sort(group)):
+                        mine = sent[a:b]
+                        rows.append(("window", g, r.chunk, pack(keys[mine]), pack(docs[mine]), pack(start[mine]),
+                                     pack(inside[mine]), pack(content[mine])))
+                yield pd.DataFrame(rows, columns=_FOUND)
+
+    return split
+
+
+def _marks(home: np.ndarray, low: np.ndarray, high: np.ndarray) -> pd.DataFrame:
+    by = np.argsort(home, kind="stable")
+    home, low, high = home[by], low[by], high[by]
+    rows = [(c, pack(low[a:b]), pack(high[a:b])) for c, a, b in _runs(home)]
+    return pd.DataFrame(rows, columns=["chunk", "first", "sizes"])
+
+
+def _compare_windows(group: pd.DataFrame) -> pd.DataFrame:
+    """Marks of windows that an equal one precedes, for one group of dealt windows."""
+    kinds = {"keys": np.uint64, "docs": np.int64, "first": np.int64, "sizes": np.int64, "data": np.uint64}
+    keys, docs, start, inside, content = (
+        np.concatenate([unpack(v, kind) for v in group[name]]) for name, kind in kinds.items())
+    chunk = np.repeat(group["chunk"].to_numpy(), [len(unpack(v, np.int64)) for v in group["first"]])
+    order = np.lexsort((inside, docs, content, keys))
+    again = order[1:][(content[order][1:] == content[order][:-1]) & (keys[order][1:] == keys[order][:-1])]
+    return _marks(chunk[again], start[again], start[again])
+
+
 def _compare(length: int):
     """Marks (runs of window starts) of windows that an equal one precedes, for one bucket of suffixes."""
     def repeats(keys, docs, inside, sizes, data):
         """(item, window in it) of the windows of some items that an equal one of the same suffix precedes."""
-        windows = sizes - length + 1
-        of = np.repeat(np.arange(len(keys)), windows)
-        step = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-        at = np.repeat(np.cumsum(sizes) - sizes, windows) + step
+        of, step, at = _windows(sizes, length)
         content = span_hashes(data, at, at + length)
         order = np.lexsort((inside[of] + step, docs[of], keys[of], content))
         again = np.zeros(len(of), bool)
@@ -306,11 +389,7 @@ def _compare(length: int):
             highs.append(first[mine[item[hi]]] + step[hi])
         if not homes:
             return pd.DataFrame([], columns=["chunk", "first", "sizes"])
-        home, low, high = map(np.concatenate, (homes, lows, highs))
-        by = np.argsort(home, kind="stable")
-        home, low, high = home[by], low[by], high[by]
-        rows = [(c, pack(low[a:b]), pack(high[a:b])) for c, a, b in _runs(home)]
-        return pd.DataFrame(rows, columns=["chunk", "first", "sizes"])
+        return _marks(*map(np.concatenate, (homes, lows, highs)))
 
     return compare
 
@@ -357,7 +436,8 @@ def _ordered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, lead: int = LEAD,
-                   batches: int = BATCHES, chunk_bytes: int = CHUNK_BYTES, bucket_items: int = BUCKET_ITEMS) -> DataFrame:
+                   batches: int = BATCHES, chunk_bytes: int = CHUNK_BYTES, bucket_items: int = BUCKET_ITEMS,
+                   hot_windows: int = HOT_WINDOWS, dealt_windows: int = DEALT_WINDOWS) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     rows, texts = _ordered(narrow(docs, id_col, text_col))
     firsts = rows.where(F.col("n_bytes") >= length).groupBy("digest").agg(
@@ -379,8 +459,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         reported = chunked.groupBy("chunk").cogroup(reports.groupBy("chunk"))
         spread = max(1, -(-total // BUCKET_WINDOWS))
         found = stage(reported.applyInPandas(_surroundings(spread, length, lead), _FOUND_SCHEMA), "surroundings")
-        marks = found.where("part = 'text'").groupBy("bucket").applyInPandas(_compare(length), "chunk bigint, first binary, sizes binary")
-        marks = marks.unionByName(found.where("part = 'mark'").select("chunk", "first", "sizes"))
+        texts = found.where("part = 'text'")
+        mark_schema = "chunk bigint, first binary, sizes binary"
+        cells = texts.select("bucket", "keys", "sizes").mapInPandas(_cell_sizes(spread, length), "cell bigint, windows bigint")
+        cells = cells.groupBy("cell").agg(F.sum("windows").alias("windows")).where(F.col("windows") > hot_windows).collect()
+        marks = found.where("part = 'mark'").select("chunk", "first", "sizes")
+        if cells:
+            groups = -(-sum(r["windows"] for r in cells) // dealt_windows)
+            hot = np.sort(np.array([r["cell"] for r in cells], np.int64))
+            held = F.broadcast(docs.sparkSession.createDataFrame([(int(b),) for b in np.unique(hot // CELLS)], "bucket int"))
+            dealt = stage(texts.join(held, "bucket", "left_semi").select(*_FOUND).mapInPandas(
+                _deal(hot, spread, groups, length), _FOUND_SCHEMA), "dealt-windows")
+            texts = texts.join(held, "bucket", "left_anti").select(*_FOUND).unionByName(dealt.where("part = 'text'"))
+            marks = marks.unionByName(dealt.where("part = 'mark'").select("chunk", "first", "sizes"))
+            marks = marks.unionByName(dealt.where("part = 'window'").groupBy("bucket").applyInPandas(_compare_windows, mark_schema))
+        marks = marks.unionByName(texts.groupBy("bucket").applyInPandas(_compare(length), mark_schema))
         told = stage(chunked.groupBy("chunk").cogroup(marks.groupBy("chunk")).applyInPandas(
             _removed(length), "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"), "told")
     nothing = hashlib.sha256(b"").hexdigest()

@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+from collections import Counter
 
+from jobmine.llm import suffix_dedup
 from jobmine.llm.suffix_dedup import op10, remove_repeats
 
 
@@ -57,3 +59,35 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     lost = brute([(0, "other " * 30)])[0][1]
     assert found == sorted([(-1, 0, 0), (-1, len(text), kept), (4, len(text), len(text)), (4, len(text), len(text)), (4, 180, lost)])
     assert op10(docs.limit(0)).count() == 0
+
+
+def test_hot_suffix_is_dealt_over_groups(spark, monkeypatch):
+    draw = random.Random(8)
+    passage = "".join(draw.choices("abcdefgh ", k=150))
+
+    def around(n):
+        return "".join(draw.choices("abcdefgh ", k=n))
+
+    rows = [(i, around(90) + passage + around(90)) for i in range(120)]
+    rows += [(120 + i, around(40) + rows[i][1][30:260]) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    limits = dict(chunk_bytes=1500, hot_windows=400, dealt_windows=300)
+    assert result(remove_repeats(docs, **limits)) == brute(rows)
+
+    def bounded(length):
+        compare = whole(length)
+
+        def checked(group):
+            of_key = Counter()
+            for r in group.itertuples():
+                windows = suffix_dedup.unpack(r.sizes, "int64") - length + 1
+                for key, n in zip(suffix_dedup.unpack(r.keys, "uint64").tolist(), windows.tolist(), strict=True):
+                    of_key[key] += n
+            assert max(of_key.values()) <= 400
+            return compare(group)
+
+        return checked
+
+    whole = suffix_dedup._compare
+    monkeypatch.setattr(suffix_dedup, "_compare", bounded)
+    assert result(remove_repeats(docs, **limits)) == brute(rows)
