@@ -112,3 +112,10 @@ def test_null_id_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
     assert [r["held_out"] for r in op1(docs).collect()] == [False, False]
     assert op1(docs.limit(0)).count() == 0
+
+
+def test_backoff_weights_are_not_rounded(spark):
+    rows = rows_of(80, 9)
+    model = Model([text for doc, text in rows if not held(doc)])
+    found = {r["doc_id"]: r["score"] for r in op1(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert max(abs(found[doc] - model.score(text)) for doc, text in rows) < 1e-10
