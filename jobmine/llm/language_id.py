@@ -10,6 +10,13 @@ Defined cases: texts that are null or without a letter get ``und`` and 0, as do
 could be learned; ties go to the language that comes first by name; rows without a language teach
 nothing; repeated rows count as often as they occur. Whole texts are read, about a megabyte at a time
 (a longer text alone). The table of profiles has a fixed number of rows per language and is checked.
+
+``keep_known`` drops a row if its text has no letter, or if it scores far below what labelled texts of
+the predicted language score at its length. That bound is learned from every labelled row: a share of
+a low quantile of the scores per language and length class. Where fewer than a hundred rows teach a
+class the nearest taught ones give the bound, and a text shorter than all taught classes is kept, as
+is every text with a letter when no language was learned. Empty tables give empty results, very long
+texts belong to the longest class, and other columns may have any names.
 """
 
 from __future__ import annotations
@@ -20,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +37,10 @@ from jobmine.session import stage
 
 UNKNOWN = "und"
 PROFILE_SIZE = 400
-MIN_SCORE = 0.05
+LOW_SHARE = 0.01  # of a class's labelled texts
+BOUND_SHARE = 0.5  # of the score that share stays under
+CLASS_ROWS = 100
+SCORE_STEPS = 1_000
 MAX_LANGUAGES = 2_000
 MERGE_AT = 1 << 20
 _SEP = 1  # stands for any run of other characters
@@ -212,22 +222,70 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return source.mapInArrow(predict, out)
 
 
-def keep_known(docs: DataFrame, profiles: Profiles, min_score: float = MIN_SCORE, text_col: str = "text") -> DataFrame:
-    """The whole rows whose language is known with at least ``min_score``."""
-    text_at = docs.columns.index(text_col)
+def _length_class(text: Column) -> Column:
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)))).cast("int")
+
+
+def score_bounds(judged: DataFrame) -> dict[str, dict[int, float]]:
+    """Per language the bound of each taught length class. ``judged`` has lang, lang_pred, score and
+    class of labelled rows; scores are counted in a fixed number of steps, so few numbers per class
+    reach the driver."""
+    steps = F.floor(F.col("score") * SCORE_STEPS).cast("int")
+    counted = judged.where("lang = lang_pred").groupBy("lang", "class", steps.alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("lang", "class").orderBy("step")
+    all_rows = F.sum("n").over(Window.partitionBy("lang", "class"))
+    ranked = counted.withColumns({"upto": F.sum("n").over(upto), "rows": all_rows})
+    low = ranked.where((F.col("rows") >= CLASS_ROWS) & (F.col("upto") >= F.col("rows") * LOW_SHARE))
+    bounds: dict[str, dict[int, float]] = {}
+    for row in low.groupBy("lang", "class").agg(F.min("step").alias("step")).collect():
+        bounds.setdefault(row["lang"], {})[row["class"]] = BOUND_SHARE * row["step"] / SCORE_STEPS
+    return bounds
+
+
+def _bound(bounds: dict[int, float], at: int) -> float:
+    """The bound of a class, or the lower one of its nearest taught neighbours."""
+    below, above = [c for c in bounds if c <= at], [c for c in bounds if c >= at]
+    if not below:
+        return 0.0
+    return min(bounds[max(below)], bounds[min(above)] if above else 1.0)
+
+
+def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The whole rows whose text has a letter and scores as texts of its language do. Each text is
+    judged once; the rows are written with their scores, from which the bounds are learned."""
+    text = F.coalesce(docs[text_col], F.lit(""))
+    if not profiles.languages:
+        return docs.where(F.regexp_like(text, F.lit(r"\p{L}")))
+    row = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)])
+    found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    given = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    text_at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def judge(batches):
+        for batch, langs, scores in _judged(batches, profiles, text_at):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)],
+                                             [*batch.schema.names, "lang_pred", "score"])
+
+    judged = stage(given.mapInArrow(judge, T.StructType([*row.fields, *found])).withColumn(
+        "class", _length_class(F.coalesce(F.col(f"c{text_at}"), F.lit("")))), "judged")
+    bounds = score_bounds(judged.select(F.col(f"c{lang_at}").alias("lang"), "lang_pred", "score", "class"))
+    cells = [(lang, at, _bound(taught, at)) for lang, taught in bounds.items() for at in range(32)]
+    kept = judged.where(F.col("lang_pred") != UNKNOWN)
+    if cells:  # a number per language and power of two
+        table = docs.sparkSession.createDataFrame(cells, "lang_pred string, class int, bound double")
+        kept = kept.join(F.broadcast(table), ["lang_pred", "class"], "left").where("score >= coalesce(bound, 0)")
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
-    def keep(batches):
-        for batch, found, scores in _judged(batches, profiles, text_at):
-            yield batch.filter(pa.array((np.array(found, object) != UNKNOWN) & (scores >= min_score)))
 
-    return docs.mapInArrow(keep, docs.schema)
+def labelled(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Text and language of all rows, for a pipeline, which holds nothing out."""
+    return docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text"), docs[lang_col].alias("lang"))
 
 
 def training(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              parts: int = 3, held: int = 1) -> DataFrame:
     """Text and language of the rows outside the held-out fold."""
-    return docs.where(~fold(docs[id_col], parts, held)).select(
-        F.coalesce(docs[text_col], F.lit("")).alias("text"), docs[lang_col].alias("lang"))
+    return labelled(docs.where(~fold(docs[id_col], parts, held)), text_col, lang_col)
 
 
 def op2(docs: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """The pipeline stage by stage against brute force, and its edge cases."""
 
+import base64
+import random
 import re
 
 import pytest
@@ -56,3 +58,31 @@ def test_odd_rows(spark, name):
         assert name == "pack" or out.columns == docs.columns
         assert out.count() <= len(odd)
     assert function(spark, docs.where("doc_id = 2").limit(1), SF).count() == 1
+
+
+def test_language_stage_without_labels_keeps_every_text_with_a_letter(spark):
+    rows = [(i, f"plain words of text number {i}", None) for i in range(20)] + [(90, "12 !!", None), (91, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.language(spark, docs, SF).collect()) == list(range(20))
+
+
+def test_language_stage_drops_unlearned_text_and_keeps_short_clean_text(spark):
+    draw = random.Random(4)
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").select("text", "lang")
+    texts = [tuple(r) for r in given.collect()]
+    noise = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(n)) for n in (120, 200, 900)]
+    noise += [base64.b64encode(draw.randbytes(900)).decode(),
+              "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, obdarzeni rozumem i sumieniem. " * 5]
+    short = ["the and of", "of", " ".join(texts[0][0].split()[:4])]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([*texts, *((t, None) for t in noise), *((t, None) for t in short)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, SF).collect()}
+    first, last = len(texts), len(texts) + len(noise)
+    assert kept == set(range(first)) | set(range(last, last + len(short)))
+
+
+def test_language_stage_learns_from_rows_of_every_fold(spark):
+    rows = [(i, "der die das und nicht mit" if i % 2 else "the and of that with from", "de" if i % 2 else "en") for i in (2, 5, 8, 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for one in [docs, *[docs.where(f"doc_id = {i}") for i, _, _ in rows]]:
+        assert corpus_pipeline.language(spark, one, SF).count() == one.count()
