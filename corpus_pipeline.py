@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and works on all that its predecessor ke
 return the columns of ``documents``, each time whole rows. Near copies are taken on five-word
 shingles with a similarity of 0.8 or more. Rows are dropped for these reasons only:
 
-- ``language``: the text has no letter, or is unlike every learned language;
+- ``language``: the text has no letter, or scores far below what labelled texts of its length and
+  language do (all labelled rows teach; without any, every text with a letter stays);
 - ``exact_dedup``: an equal text with a larger id stays;
 - ``near_dedup``: a document of the same group with a smaller id stays;
 - ``decontaminate``: the text holds a benchmark item.
@@ -26,7 +27,7 @@ PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    profiles = language_id.learn(language_id.training(docs))
+    profiles = language_id.learn(language_id.labelled(docs))
     return language_id.keep_known(docs, profiles)
 
 
