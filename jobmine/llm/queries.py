@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from jobmine.llm import (
-    decontamination, exact_dedup, katz, language_id, license_scan, merkle, near_dedup, packing, quality,
-    quote_links, suffix_dedup,
+    decontamination, exact_dedup, fingerprints, katz, language_id, license_scan, merkle, near_dedup, packing,
+    quality, quote_links, suffix_dedup,
 )
 from jobmine.llm.common import documents
 
@@ -42,6 +42,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_diagonals": _over_documents(license_scan.op8),
     "op9_near_dedup": _over_documents(near_dedup.op9),
     "op10_suffix_levels": _over_documents(suffix_dedup.op10),
+    "op11_multiset_fingerprints": _over_documents(fingerprints.op11),
     "op13_merkle_manifest": _over_documents(merkle.op13),
 }
 
