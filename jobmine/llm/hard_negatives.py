@@ -47,9 +47,11 @@ SAMPLE = 8_192
 FANOUT = 16
 DEPTH = 3
 LEAF_SAMPLE = 24
+LEAF_ROWS = 2_048
 BLOCK = 8_192
 _ROWS = 4_096
 _ANCHORS = 512
+_OFFERS = 1 << 16
 _SLACK = 1e-6
 _KINDS = "anchor int, place int, score bigint, vec_id bigint"
 
@@ -92,12 +94,14 @@ def _split_points(rows: np.ndarray, draw: np.random.Generator) -> np.ndarray:
     return some[chosen]
 
 
-def plant(sample: np.ndarray, radius: float, seed: int = 42) -> Tree:
-    """The tree of a sample's rows; ranges are filled in by ``measure``."""
+def plant(sample: np.ndarray, radius: float, rows: int, leaf_rows: int = LEAF_ROWS, seed: int = 42) -> Tree:
+    """The tree of a sample of ``rows`` rows, split where more than ``leaf_rows`` of them are expected;
+    ranges are filled in by ``measure``."""
     tree, draw = Tree(radius), np.random.default_rng(seed)
+    least = max(LEAF_SAMPLE, leaf_rows * len(sample) / rows)
 
     def grow(rows: np.ndarray, route: list[tuple[int, int]]) -> int:
-        points = _split_points(rows, draw) if len(rows) > LEAF_SAMPLE and len(route) < DEPTH else rows[:0]
+        points = _split_points(rows, draw) if len(rows) > least and len(route) < DEPTH else rows[:0]
         if len(points) < 2:
             tree.routes.append(route)
             return -len(tree.routes)
@@ -164,16 +168,16 @@ class Index:
     sample: tuple[np.ndarray, np.ndarray, np.ndarray]  # ids, labels, vectors
 
 
-def build(rows: DataFrame, sample_rows: int = SAMPLE) -> Index | None:
+def build(rows: DataFrame, sample_rows: int = SAMPLE, leaf_rows: int = LEAF_ROWS) -> Index | None:
     """``rows`` has vec_id, label and v; None if there are none."""
     length = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    known = rows.agg(F.max(length).alias("radius"), F.max(F.size("v")).alias("width")).first()
+    known = rows.agg(F.max(length).alias("radius"), F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("rows")).first()
     if known["radius"] is None:
         return None
     width = max(known["width"], 1)
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toArrow()
     some = _matrix(drawn.column("v").combine_chunks(), width)
-    tree = plant(some, known["radius"])
+    tree = plant(some, known["radius"], known["rows"], leaf_rows)
 
     def assign(batches):
         for batch in batches:
@@ -223,9 +227,15 @@ class Reach:
         self.lengths = (anchors * anchors).sum(1)
         flat = np.hstack([anchors, np.zeros((len(anchors), 1))])  # an anchor as a query is not lifted
         self.apart = [_apart(flat, node.points) for node in tree.nodes]
+        self.last, self.found = None, None
 
     def scores(self, leaf: int) -> tuple[np.ndarray, np.ndarray]:
         """Least and largest score, a little too wide rather than too narrow."""
+        if self.last != leaf:
+            self.last, self.found = leaf, self._scores(leaf)
+        return self.found
+
+    def _scores(self, leaf: int) -> tuple[np.ndarray, np.ndarray]:
         near, far = np.zeros(len(self.lengths)), np.full(len(self.lengths), np.inf)
         for number, branch in self.tree.routes[leaf]:
             node, apart = self.tree.nodes[number], self.apart[number]
@@ -238,28 +248,38 @@ class Reach:
 
 
 class Best:
-    """The first few (by score, then smaller id) of each place, among what was offered so far."""
+    """The first few (by score, then smaller id) of each place, among what was offered so far. Offers
+    wait until there are ``_OFFERS`` of them; ``floor`` is the last kept score of a full place."""
 
-    def __init__(self, places: int, few: int):
-        self.few = few
-        self.place, self.score, self.ids = (np.zeros(0, np.int64) for _ in range(3))
-        self.floor = np.full(places, -np.inf)  # the last kept score of a full place
+    def __init__(self, floor: np.ndarray, few: int):
+        self.floor, self.few = floor, few
+        self.kept, self.waiting, self.size = tuple(np.zeros(0, np.int64) for _ in range(3)), [], 0
 
     def offer(self, place: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        place, score, ids = (np.concatenate(x) for x in ((self.place, place), (self.score, score), (self.ids, ids)))
+        if len(place):
+            self.waiting.append((place, score, ids))
+            self.size += len(place)
+            if self.size >= _OFFERS:
+                self.settle()
+
+    def settle(self) -> None:
+        place, score, ids = (np.concatenate(x) for x in zip(self.kept, *self.waiting, strict=True))
+        self.waiting, self.size = [], 0
         order = np.lexsort((ids, -score, place))
         place, score, ids = place[order], score[order], ids[order]
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else np.zeros(0, np.int64)
         rank = np.arange(len(place)) - np.repeat(first, np.diff(np.append(first, len(place))))
-        kept = rank < self.few
-        self.place, self.score, self.ids = place[kept], score[kept], ids[kept]
+        few = rank < self.few
+        self.kept = place[few], score[few], ids[few]
         full = rank == self.few - 1
         self.floor[place[full]] = np.maximum(self.floor[place[full]], score[full])
 
     def batch(self, few_per_anchor: int) -> pa.RecordBatch:
+        self.settle()
+        place, score, ids = self.kept
         return pa.RecordBatch.from_arrays([
-            pa.array(self.place // few_per_anchor, pa.int32()), pa.array(self.place % few_per_anchor, pa.int32()),
-            pa.array(self.score, pa.int64()), pa.array(self.ids, pa.int64())], ["anchor", "place", "score", "vec_id"])
+            pa.array(place // few_per_anchor, pa.int32()), pa.array(place % few_per_anchor, pa.int32()),
+            pa.array(score, pa.int64()), pa.array(ids, pa.int64())], ["anchor", "place", "score", "vec_id"])
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -299,8 +319,7 @@ def nearest_of_label(index: Index, ids: np.ndarray, labels: np.ndarray, anchors:
             floor[some] = -np.partition(-scores, few - 1, axis=1)[:, few - 1]
 
     def search(batches):
-        reach, best = Reach(tree, anchors), Best(len(ids), few)
-        best.floor = floor.copy()
+        reach, best = Reach(tree, anchors), Best(floor.copy(), few)
         for leaf, row_ids, row_labels, rows in _chunks(batches, width):
             alive = np.flatnonzero(reach.scores(leaf)[1] >= best.floor)
             for label in np.intersect1d(labels[alive], row_labels):
@@ -323,9 +342,7 @@ def below_positives(index: Index, ids: np.ndarray, labels: np.ndarray, anchors:
     high = np.where(positive >= 0, positive, -np.inf)
 
     def search(batches):
-        reach, best = Reach(tree, anchors), Best(positive.size, few)
-        best.floor = low.ravel().copy()
-        top = high.max(1)
+        reach, best, top = Reach(tree, anchors), Best(low.ravel().copy(), few), high.max(1)
         for leaf, row_ids, row_labels, rows in _chunks(batches, width):
             least, most = reach.scores(leaf)
             alive = np.flatnonzero((most >= best.floor.reshape(-1, places).min(1)) & (least <= top))
@@ -333,13 +350,11 @@ def below_positives(index: Index, ids: np.ndarray, labels: np.ndarray, anchors:
                 some = alive[a:a + _ANCHORS]
                 scores = _products(rows, anchors[some])
                 floors = best.floor.reshape(-1, places)
-                fits = (scores >= floors[some].min(1)) & (scores <= top[some]) & (row_labels[:, None] != labels[some])
-                r, c = np.nonzero(fits & (row_ids[:, None] != ids[some]))
-                score, owner = scores[r, c], some[c]
-                for place in range(places):
-                    inside = (score >= floors[owner, place]) & (score <= high[owner, place])
-                    best.offer(owner[inside] * places + place, score[inside], row_ids[r[inside]])
-                    floors = best.floor.reshape(-1, places)
+                r, c = np.nonzero((scores >= floors[some].min(1)) & (scores <= top[some]))
+                other = (row_labels[r] != labels[some[c]]) & (row_ids[r] != ids[some[c]])
+                r, owner, score = r[other], some[c[other]], scores[r[other], c[other]]
+                at, place = np.nonzero((score[:, None] >= floors[owner]) & (score[:, None] <= high[owner]))
+                best.offer(owner[at] * places + place, score[at], row_ids[r[at]])
         yield best.batch(places)
 
     return _merge(index.rows.mapInArrow(search, _KINDS), few)
@@ -365,11 +380,12 @@ def _block(spark: SparkSession, index: Index, anchors: pa.Table, positives: int,
 
 
 def mine(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-         positives: int = POSITIVES, negatives: int = NEGATIVES, block: int = BLOCK, sample_rows: int = SAMPLE) -> DataFrame:
+         positives: int = POSITIVES, negatives: int = NEGATIVES, block: int = BLOCK, sample_rows: int = SAMPLE,
+         leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """Per anchor and positive the first negatives within the window, ranked from 1."""
     spark = rows.sparkSession
     whole = stage(vectors(rows, id_col, vector_col, label_col), "whole-vectors")
-    index = build(whole, sample_rows)
+    index = build(whole, sample_rows, leaf_rows)
     if index is None:
         return spark.createDataFrame([], SCHEMA)
     alike = whole.where(F.col("vec_id") % ANCHOR_STEP == 0).distinct()

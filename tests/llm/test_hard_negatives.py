@@ -47,7 +47,7 @@ def test_against_brute_force(spark, sample_rows, block):
            (200_500, [], 3), (200_600, [0.9, -0.4], 1), (200_600, [0.9, -0.4], 1), (200_600, [0.9, 0.1], 2), (200_700, [1e30] + [0.0] * 11, 0),
            (200_701, [-1e30], 0), (200_702, [3e9], 2), (200_800, [-x for x in rows[0][1]], 77), (200_900, [0.0] * 12, 2), (201_000, [0.0] * 12, 3)]
     table = spark.createDataFrame(rows + odd, SCHEMA).selectExpr("*", "1 AS leaf", "2 AS v", "3 AS idx").repartition(5)
-    got = found(N.mine(table, block=block, sample_rows=sample_rows))
+    got = found(N.mine(table, block=block, sample_rows=sample_rows, leaf_rows=50))
     assert got == brute(rows + odd) and len(got) > 500
 
 
@@ -62,7 +62,7 @@ def test_subtrees_are_left_out_and_never_wrongly(spark):
     draw = np.random.default_rng(8)
     v = np.floor(256 * clustered(draw, 6_000, noise=0.05))
     table = spark.createDataFrame([(int(i), 1, [int(x) for x in v[i]]) for i in range(len(v))], "vec_id long, label int, v array<int>")
-    index = N.build(table, 1_000)
+    index = N.build(table, 1_000, 100)
     leaf = N._descend(index.tree, index.tree.lift(v))
     anchors = v[::100]
     reach, exact = N.Reach(index.tree, anchors), v @ anchors.T
