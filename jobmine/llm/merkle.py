@@ -29,6 +29,7 @@ from jobmine.session import stage
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 TAMPER_PARTS = 7
+JOINS_AT_ONCE = 6  # levels whose joins are planned together
 
 
 def _field(value: Column) -> Column:
@@ -112,6 +113,8 @@ def paths(forest: Forest, keep: Sequence[str], fanout: int = 2) -> DataFrame:
         path = F.when(F.col("_path").isNull(), step).otherwise(F.concat(step, F.col("_path")))
         known = level.withColumn("_up", F.expr(f"idx div {fanout}")).join(above, same, "left").select(
             "tree", "idx", *carried, path.alias("path"))
+        if at and at % JOINS_AT_ONCE == 0:
+            known = stage(known, "merkle-paths")
     empty = F.array().cast("array<struct<slot:int,others:array<binary>>>")
     alone = forest.alone.select("tree", *keep, empty.alias("path"))
     return alone if known is None else known.drop("idx").unionByName(alone)
