@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.registry import check, longs, rounded
@@ -234,6 +235,32 @@ def sample_n(spark, sf_dir):
     return preparation.sample_n(load(spark, sf_dir, "events").select("event_id", "event_type"), 500, "event_id")
 
 
+# Ids that occur often: users of events. Rows of one id are told apart by the digest of the row as JSON.
+_USERS_SQL = """SELECT user_id, event_id, event_type, md5(concat('42:', user_id)) AS h,
+  md5(concat('{"user_id":', user_id, ',"event_id":', event_id, ',"event_type":"', event_type, '"}')) AS d FROM events"""
+
+
+@check("sample_n_repeated_ids", f"SELECT user_id, event_id, event_type FROM ({_USERS_SQL}) ORDER BY h, d LIMIT 777")
+def sample_n_repeated_ids(spark, sf_dir):
+    return preparation.sample_n(load(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), 777, "user_id")
+
+
+@check("stratified_split_repeated_ids", f"""WITH rows AS ({_USERS_SQL}), sizes AS (
+  SELECT *, n * t / total AS exact FROM (SELECT event_type, count(*) AS n, sum(count(*)) OVER () AS total,
+    ceil(round(sum(count(*)) OVER () * 0.1, 9)) AS t FROM rows GROUP BY 1)),
+quotas AS (SELECT event_type, floor(exact) + CASE WHEN row_number() OVER (ORDER BY floor(exact) - exact, event_type)
+  <= t - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS quota FROM sizes),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY h, d) AS place FROM rows)
+SELECT user_id, event_id, event_type, CASE WHEN place <= quota THEN 'test' ELSE 'train' END AS split
+FROM ranked JOIN quotas USING (event_type)""")
+def stratified_split_repeated_ids(spark, sf_dir):
+    rows = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    kinds = F.dense_rank().over(Window.orderBy("event_type")) - 1  # five kinds
+    numbers = rows.select("event_type").distinct().withColumn("stratum", kinds)
+    drawn = preparation.stratified_split(rows.join(F.broadcast(numbers), "event_type").select(*rows.columns, "stratum"), "user_id")
+    return drawn.drop("stratum")
+
+
 @check("union_splits", """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 'test' ELSE 'train' END AS split FROM orders""")
 def union_splits(spark, sf_dir):
     rows = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobmine.operators.rows import small_side
+from jobmine.operators.rows import row_digest, small_side, with_row
 from jobmine.session import stage, staging_dir
 
 BUCKETS = 256
@@ -23,6 +23,8 @@ _STEP = 16  # bounds are searched in two steps of 16
 # So many narrow rows may be ordered by one task.
 KEYS_PER_TASK = 1_000_000
 HEX_DIGITS = 3
+KEY_DIGITS = 32
+_ROW_BITS = 33  # of a number by monotonically_increasing_id, below the partition's number
 HOT_SHARE = 1_000
 
 
@@ -145,70 +147,96 @@ def hash_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
-def _cut(
-    df: DataFrame, id_col: str, seed: int, need: DataFrame, by: list[str], largest: int
-) -> DataFrame:
-    """Per group the last (hash, id) that a draw of ``need`` rows takes.
+def _last_taken(keyed: DataFrame, need: dict, sizes: dict) -> dict:
+    """Where a draw of ``need`` rows of each group ends: (key, take, tied). It takes all rows with a
+    smaller key and ``take`` of the ``tied`` rows that have this one.
 
-    The hash space is narrowed by leading digits until one task can order what is left of a group;
-    only counts and narrow keys move.
+    ``keyed`` has ``_group`` (a few values) and ``_key`` (hexadecimal digits). Keys are counted by their
+    leading digits; the prefix that holds the last row is counted again with more digits, until the
+    rows left there, as counted, may be ordered by one task. Repeated keys are counts, never rows.
     """
-    alive = df.select(*by, F.col(id_col).alias("_id"), hash_key(id_col, seed).alias("_hash"))
-
-    def with_need(rows: DataFrame, needed: DataFrame) -> DataFrame:
-        if not by:
-            return rows.withColumn("_need", needed.select("_need").scalar())
-        return rows.join(F.broadcast(needed), by)
-
-    level = 0
-    while largest > KEYS_PER_TASK:
-        digits = F.substring("_hash", level * HEX_DIGITS + 1, HEX_DIGITS)
-        counts = alive.groupBy(*by, digits.alias("_digits")).count()
-        earlier = Window.partitionBy(*by).orderBy("_digits").rowsBetween(Window.unboundedPreceding, -1)
-        placed = with_need(
-            counts.withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0))), need
+    spark = keyed.sparkSession
+    group_type = keyed.schema["_group"].dataType.simpleString()
+    left = {g: ("", n, sizes[g]) for g, n in need.items()}  # prefix, rows still to take, rows there
+    digits = 0
+    while digits < KEY_DIGITS:
+        few = max(rows for _, _, rows in left.values()) <= KEYS_PER_TASK
+        cells = [(g, prefix, n) for g, (prefix, n, _) in left.items()]
+        wanted = spark.createDataFrame(cells, f"_of {group_type}, _prefix string, _need long")
+        inside = keyed.join(
+            F.broadcast(wanted), (F.col("_group") == F.col("_of")) & (F.substring("_key", 1, digits) == F.col("_prefix"))
         )
+        digits = KEY_DIGITS if few else min(KEY_DIGITS, digits + HEX_DIGITS)
+        counts = inside.groupBy("_of", "_need", F.substring("_key", 1, digits).alias("_digits")).count()
+        earlier = Window.partitionBy("_of").orderBy("_digits").rowsBetween(Window.unboundedPreceding, -1)
+        placed = counts.withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
         last = placed.where(
             (F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("count"))
-        ).select(*by, "_digits", (F.col("_need") - F.col("_before")).alias("_need"))
-        alive = alive.withColumn("_digits", digits).join(
-            F.broadcast(last.drop("_need")), [*by, "_digits"], "left_semi"
-        ).drop("_digits")
-        need = last.drop("_digits")
-        largest //= 16 ** HEX_DIGITS
-        level += 1
-    order = Window.partitionBy(*by).orderBy("_hash", "_id")
-    ranked = with_need(alive.withColumn("_rank", F.row_number().over(order)), need)
-    return ranked.where(F.col("_rank") == F.col("_need")).select(
-        *by, F.struct("_hash", "_id").alias("_cut")
-    )
+        ).collect()  # a row per group
+        left = {r["_of"]: (r["_digits"], r["_need"] - r["_before"], r["count"]) for r in last}
+    return left
+
+
+def _numbered_as_they_lie(rows: DataFrame, by: str, out: str) -> DataFrame:
+    """Append the number of each row within its group, from 0, in no particular order. The rows are
+    written first, so that a task that runs again numbers them alike."""
+    held = stage(rows.sortWithinPartitions(by).withColumn("_at", F.monotonically_increasing_id()), "alike")
+    part = F.shiftright("_at", _ROW_BITS)
+    runs = held.groupBy(F.col(by).alias("_in"), part.alias("_part")).agg(
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_in").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
+    starts = runs.select("_in", "_part", shift.alias("_shift"))  # a row per group and task
+    placed = held.join(starts, (F.col(by) == F.col("_in")) & (part == F.col("_part")))
+    return placed.select(*rows.columns, (F.col("_at") + F.col("_shift")).alias(out))
 
 
 def mark_drawn(
-    df: DataFrame, id_col: str, quotas: dict, by: str | None, sizes: dict, seed: int, out: str
+    df: DataFrame, id_col: str, quotas: dict, by: str | None, sizes: dict, seed: int, out: str,
+    told_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Append a flag: the row is among the ``quotas[group]`` smallest hashes of its group.
+    """Append a flag: the row is among the ``quotas[group]`` first rows of its group, by the hash of
+    the id, then by the digest of the whole row (or of the columns ``told_by``).
 
     ``quotas`` and ``sizes`` hold one number per group of ``by`` (a few bins), or one number under
-    the key None. Ids must be unique; rows never leave their partition.
+    the key None. Sizes are exact whatever the ids: rows of the id at the end of a draw are told
+    apart by their digests, rows alike in every column by number. Only those last ones are written;
+    all others stay where they are. ``df`` is read more than once.
     """
-    spark = df.sparkSession
-    own = F.struct(hash_key(id_col, seed).alias("_hash"), F.col(id_col).alias("_id"))
     asked = {g: min(q, sizes[g]) for g, q in quotas.items() if min(q, sizes[g]) > 0}
     if not asked:
         return df.withColumn(out, F.lit(False))
-    largest = max(sizes.values())
+    group = F.lit(0) if by is None else F.col(by)
     if by is None:
-        need = spark.range(1).select(F.lit(asked[None]).cast("long").alias("_need"))
-        cut = _cut(df, id_col, seed, need, [], largest).select("_cut").scalar()
-        return df.withColumn(out, own <= cut)
-    need = spark.createDataFrame(list(asked.items()), f"{by} int, _need long")
-    cuts = _cut(df, id_col, seed, need, [by], largest)
-    return (
-        df.join(F.broadcast(cuts), by, "left")
-        .withColumn(out, F.coalesce(own <= F.col("_cut"), F.lit(False)))
-        .drop("_cut")
-    )
+        asked, sizes = {0: asked[None]}, {0: sizes[None]}
+    own, digest = hash_key(id_col, seed), row_digest(df, list(told_by or df.columns))
+    last = _last_taken(df.select(group.alias("_group"), own.alias("_key")), asked, sizes)
+    cells = {g: (key, None, True, 0) for g, (key, take, tied) in last.items()}
+    shared = {g: cell for g, cell in last.items() if cell[1] < cell[2]}
+    spark, group_type = df.sparkSession, "int" if by is None else df.schema[by].dataType.simpleString()
+    if shared:
+        ends = spark.createDataFrame([(g, key) for g, (key, _, _) in shared.items()], f"_of {group_type}, _end string")
+        tied = df.select(group.alias("_group"), own.alias("_own"), digest.alias("_key")).join(
+            F.broadcast(ends), (F.col("_group") == F.col("_of")) & (F.col("_own") == F.col("_end"))).select("_group", "_key")
+        inner = _last_taken(tied, {g: take for g, (_, take, _) in shared.items()}, {g: n for g, (_, _, n) in shared.items()})
+        cells.update({g: (last[g][0], key, take == n, take) for g, (key, take, n) in inner.items()})
+    schema = f"_of {group_type}, _end string, _digest string, _whole boolean, _take long"
+    table = spark.createDataFrame([(g, *cell) for g, cell in cells.items()], schema)
+    if by is None:
+        joined = with_row(df, "_draw", table).select(*df.columns, "_draw.*")
+    else:
+        joined = df.join(F.broadcast(table), group == F.col("_of"), "left")
+    at_end = own == F.col("_end")
+    before = F.col("_digest").isNull() | (digest < F.col("_digest"))
+    level = F.col("_digest").isNotNull() & (digest == F.col("_digest"))
+    drawn = F.coalesce((own < F.col("_end")) | (at_end & (before | (level & F.col("_whole")))), F.lit(False))
+    marked = joined.withColumn(out, drawn)
+    if all(whole for _, _, whole, _ in cells.values()):
+        return marked.select(*df.columns, out)
+    alike = F.coalesce(at_end & level & ~F.col("_whole"), F.lit(False))
+    some = _numbered_as_they_lie(joined.where(alike).select(*df.columns, "_of", "_take"), "_of", "_place")
+    some = some.withColumn(out, F.col("_place") < F.col("_take")).select(*df.columns, out)
+    return marked.where(~alike).select(*df.columns, out).unionByName(some)
 
 
 def first_n(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
@@ -220,9 +248,12 @@ def first_n(df: DataFrame, n: int, keys: Sequence[Column]) -> DataFrame:
 
 
 def sample_n(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the same ones in any partitioning. Ids must be unique."""
+    """Exactly ``min(n, rows)`` rows, the same ones in any partitioning, by the hash of the id and then
+    the digest of the row. Ids may repeat or be null."""
     if n <= 100:  # a few keys per task
-        return first_n(df, n, [hash_key(id_col, seed), F.col(id_col)])
+        own = hash_key(id_col, seed)
+        last = df.select(own.alias("_own")).orderBy("_own").limit(n).agg(F.max("_own")).scalar()
+        return df.where(own <= last).orderBy(own, row_digest(df, df.columns)).limit(n)
     total = df.count()
     if total <= n:
         return df

@@ -150,15 +150,16 @@ def stratified_split(
 ) -> DataFrame:
     """Append ``split``: test rows are drawn by hash, in proportion, from each stratum.
 
-    The test part has ``ceil(rows * share)`` rows; strata are a few bins, so their sizes are the
-    only numbers that reach the driver.
+    The test part has ``ceil(rows * share)`` rows, also when ids repeat or are null; strata are a few
+    bins, so their sizes and ends are the only numbers that reach the driver.
     """
     filled = df.withColumn("_stratum", F.coalesce(F.col(stratum), F.lit(-1)))
     sizes = {r["_stratum"]: r["count"] for r in filled.groupBy("_stratum").count().collect()}
     if not sizes:
         return df.withColumn("split", F.lit(None).cast("string"))
     quotas = largest_remainder(sizes, share)
-    drawn = mark_drawn(filled, id_col, quotas, "_stratum", sizes, seed, "_drawn")
+    told_by = [c for c in df.columns if c != stratum]
+    drawn = mark_drawn(filled, id_col, quotas, "_stratum", sizes, seed, "_drawn", told_by)
     split = F.when(F.col("_drawn"), "test").otherwise(F.lit("train"))
     return drawn.select(*df.columns, split.alias("split"))
 

@@ -94,6 +94,41 @@ def test_split_is_exact_proportional_and_independent_of_partitions(skewed, limit
         assert abs(sum(s == stratum for _, s in drawn[0]) - size / 10) < 1
 
 
+REPEATED = {
+    "each id twice": "id div 2", "one id on a third of the rows": "IF(id % 3 = 0, 7, id)", "only one id": "1",
+    "null ids": "IF(id % 3 = 0, NULL, id div 4)",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(REPEATED))
+@pytest.mark.parametrize("told_apart", [True, False])
+def test_draws_are_exact_when_ids_repeat(spark, monkeypatch, kind, told_apart):
+    monkeypatch.setattr(ordered, "KEYS_PER_TASK", 200)
+    columns = ["id", "k", "CAST(stratum AS int) AS stratum", *(["nr"] if told_apart else [])]  # without nr rows are alike
+    table = spark.range(1_200).selectExpr(f"{REPEATED[kind]} AS id", "id % 2 AS k", "id AS nr", "id % 2 AS stratum").selectExpr(*columns)
+    drawn = []
+    for parts in (1, 7):
+        rows = table.repartition(parts)
+        split = preparation.stratified_split(rows, "id", "stratum", 0.1).collect()
+        sample = ordered.sample_n(rows, 317, "id").collect()
+        assert len(split) == 1_200 and len(sample) == 317
+        assert [sum(r["split"] == "test" and r["stratum"] == g for r in split) for g in (0, 1)] == [60, 60]
+        drawn.append((sorted(map(str, split)), sorted(map(str, sample))))
+    assert drawn[0] == drawn[1]
+    assert ordered.sample_n(table, 7, "id").count() == 7
+
+
+def test_levels_count_what_is_left(spark, monkeypatch):
+    """One id on a third of the rows: the digits that it shares with no other id run out at last."""
+    monkeypatch.setattr(ordered, "KEYS_PER_TASK", 5)
+    table = spark.range(3_000).selectExpr("IF(id % 3 = 0, -1, id) AS id", "id AS nr")
+    keyed = table.select(F.lit(0).alias("_group"), ordered.hash_key("id", 42).alias("_key"))
+    keys = sorted(r["_key"] for r in keyed.collect())
+    for n in (1, 999, 1_500, 3_000):
+        key, take, tied = ordered._last_taken(keyed, {0: n}, {0: 3_000})[0]
+        assert key == keys[n - 1] and tied == keys.count(key) and take == n - keys.index(key)
+
+
 def test_quotas_add_up():
     quotas = ordered.largest_remainder({0: 5, 1: 5, 2: 5, -1: 6}, 0.1)
     assert sum(quotas.values()) == 3 and quotas[-1] == 1
