@@ -274,16 +274,17 @@ def largest_remainder(sizes: dict, share: float) -> dict:
 
 
 def attach_by_key(
-    rows: DataFrame, found: DataFrame, key: str, size: str, spread_by: str
+    rows: DataFrame, found: DataFrame, key: str, size: str, spread_by: str, staged: bool = False
 ) -> DataFrame:
     """Left join of one-row-per-key results to the rows of each key, whatever the key sizes.
 
     A key with more than a thousandth of all counted rows is looked up by broadcast (there are
     fewer than a thousand of those) and its rows are spread over many shuffle partitions by a hash
     of ``spread_by``, which must tell rows of a key apart and not change between task attempts.
-    ``found`` is written once, because its total, its hot and its other keys are read separately.
+    ``found`` is written once (unless ``staged`` already), because its total, its hot and its other
+    keys are read separately.
     """
-    found = stage(found, "by-key")
+    found = found if staged else stage(found, "by-key")
     payload = [c for c in found.columns if c != key]
     total = found.agg(F.sum(size)).scalar()
     is_hot = F.col(size) * HOT_SHARE > total

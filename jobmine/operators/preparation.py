@@ -11,13 +11,15 @@ from jobmine.config import NEAR_DUPLICATE_KEY
 from jobmine.operators.ordered import (
     attach_by_key, largest_remainder, mark_drawn, quantiles, sample_n,
 )
-from jobmine.operators.rows import row_digest, with_row
+from jobmine.operators.rows import compute_once, row_digest, with_row
+from jobmine.operators.suspects import bloom_filter, may_hold
+from jobmine.session import stage
 
 EXPECTED = "salary_expected_million_vnd"
 OUTLIER_COLUMNS = ("q1", "q3", "p1", "p99", "iqr", "lower_iqr", "upper_iqr")
 
 __all__ = [
-    "dedup", "flag_outliers", "flag_outliers_iqr", "keep_valid", "mark_valid", "near_duplicates",
+    "dedup", "flag_outliers", "flag_outliers_iqr", "keep_valid", "mark_duplicates", "mark_valid", "near_duplicates",
     "near_duplicate_audit", "outlier_bounds", "outlier_summary", "sample_n", "scoring_flags",
     "stratified_split", "stratify_bins", "union_splits",
 ]
@@ -89,6 +91,25 @@ def scoring_flags(df: DataFrame) -> DataFrame:
     return df.withColumn("is_salary_outlier", F.lit(False))
 
 
+def _repeated(keyed: DataFrame, key: str, order: str) -> DataFrame:
+    """Keys of more than one row: their number of rows and the first one; written, as it is read often."""
+    return stage(keyed.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_size"), F.min(order).alias("_first")).where("_size > 1"), "repeated")
+
+
+def _with_repeats(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
+    """Append ``_size`` and ``_first`` of the rows that share the key with others, null for a row that is
+    alone. Only rows whose key a Bloom filter of repeated keys may hold are joined; the others are
+    passed on by the scan. ``order`` tells the rows of one key apart."""
+    keyed = compute_once(df, _key=row_digest(df, list(columns)))
+    repeated = _repeated(keyed.select("_key", order), "_key", order)
+    suspect = may_hold(*bloom_filter(repeated, "_key"), F.col("_key"))
+    kind = df.schema[order].dataType
+    alone = keyed.where(~suspect).withColumns({"_size": F.lit(None).cast("long"), "_first": F.lit(None).cast(kind)})
+    joined = attach_by_key(keyed.where(suspect), repeated, "_key", "_size", order, staged=True)
+    return alone.unionByName(joined).drop("_key")
+
+
 def near_duplicates(
     df: DataFrame, key: Sequence[str] = NEAR_DUPLICATE_KEY, order: str = "id"
 ) -> DataFrame:
@@ -96,10 +117,35 @@ def near_duplicates(
 
     ``order`` is a column that tells the rows of one key apart.
     """
-    keyed = df.withColumn("_key", row_digest(df, list(key)))
-    sizes = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_size"))
-    marked = attach_by_key(keyed, sizes.where("_size > 1"), "_key", "_size", order)
-    return marked.withColumn("is_near_duplicate", F.col("_size").isNotNull()).drop("_key", "_size")
+    marked = _with_repeats(df, key, order)
+    return marked.withColumn("is_near_duplicate", F.col("_size").isNotNull()).drop("_size", "_first")
+
+
+def mark_duplicates(
+    df: DataFrame, order: str, id_cols: Sequence[str] = ("id",), key: Sequence[str] = NEAR_DUPLICATE_KEY
+) -> DataFrame:
+    """Append ``is_near_duplicate`` and ``is_first``: no row with the same id comes before it.
+
+    Both keys are looked up on narrow rows; whole rows are joined once, by the unique column ``order``,
+    and only those whose id or key may occur twice.
+    """
+    names = ("_near", "_same")
+    keyed = compute_once(df, _near=row_digest(df, list(key)), _same=row_digest(df, list(id_cols)))
+    narrow = stage(keyed.select(order, *names), "keys")
+    found = {name: _repeated(narrow, name, order) for name in names}
+    either = F.lit(False)
+    for name in names:
+        either = either | may_hold(*bloom_filter(found[name], name), F.col(name))
+    decided = narrow.where(either)
+    for name in names:
+        decided = attach_by_key(decided, found[name], name, "_size", order, staged=True).withColumnsRenamed(
+            {"_size": f"{name}_size", "_first": f"{name}_first"})
+    first = F.col("_same_first").isNull() | (F.col(order) == F.col("_same_first"))
+    decided = stage(decided.select(
+        F.col(order).alias("_of"), F.col("_near_size").isNotNull().alias("is_near_duplicate"), first.alias("is_first")), "decided")
+    alone = keyed.where(~either).withColumns({"is_near_duplicate": F.lit(False), "is_first": F.lit(True)})
+    suspects = keyed.where(either).join(decided, F.col(order) == F.col("_of")).drop("_of")
+    return alone.unionByName(suspects).drop(*names)
 
 
 def near_duplicate_audit(
@@ -111,16 +157,12 @@ def near_duplicate_audit(
 def dedup(df: DataFrame, id_cols: Sequence[str], order: str) -> DataFrame:
     """Keep the first row of each id, by the unique column ``order``; null ids are equal.
 
-    Only ids that occur more than once are looked up, so a table with few duplicates moves counts
-    and no rows. Rows that are alike in every column share their id, so one pass removes them too.
+    Only rows whose id may occur more than once are moved, so a table with few duplicates moves
+    counts and few rows. Rows that are alike in every column share their id, so one pass removes them too.
     """
-    keyed = df.withColumn("_key", row_digest(df, list(id_cols)))
-    repeated = keyed.groupBy("_key").agg(
-        F.count(F.lit(1)).alias("_size"), F.min(order).alias("_first")
-    ).where("_size > 1")
-    marked = attach_by_key(keyed, repeated, "_key", "_size", order)
+    marked = _with_repeats(df, id_cols, order)
     first = F.col("_first").isNull() | (F.col(order) == F.col("_first"))
-    return marked.where(first).drop("_key", "_size", "_first")
+    return marked.where(first).drop("_size", "_first")
 
 
 def stratify_bins(

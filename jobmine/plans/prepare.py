@@ -41,9 +41,9 @@ def prepare(df: DataFrame, settings: Settings = Settings()) -> Prepared:
     valid = parsed.where("target_is_valid")
     bounds = preparation.outlier_bounds(valid)
     flagged = preparation.flag_outliers(valid, bounds)
-    marked = preparation.near_duplicates(flagged, order=ORDER)
-    unique = preparation.dedup(marked, ["id"], ORDER) if settings.dedup else marked
-    unique = stage(unique, "unique")
+    marked = preparation.mark_duplicates(flagged, ORDER)
+    unique = marked.where("is_first") if settings.dedup else marked
+    unique = stage(unique.drop("is_first"), "unique")
 
     binned = preparation.stratify_bins(unique, n_bins=settings.n_bins)
     raw = preparation.stratified_split(binned, "id", "stratum", settings.test_share, settings.seed)

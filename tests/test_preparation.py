@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from jobmine.operators import gates, preparation
+from jobmine.operators import gates, preparation, suspects
 
 
 def table(spark, values, status="valid"):
@@ -70,6 +70,40 @@ def test_dedup_of_a_hot_id(spark):
     assert kept.count() == 2_001 and kept.where("k = 0").first()["id"] == 0
 
 
+def test_a_filter_holds_every_key_and_few_others(spark):
+    keys = spark.range(3_000).select(F.md5(F.col("id").cast("string")).alias("k"))
+    held, words = suspects.bloom_filter(keys, "k")
+    rows = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("k"))
+    found = rows.where(suspects.may_hold(held, words, F.col("k")))
+    assert found.where("id < 3000").count() == 3_000 and found.count() < 3_300
+    none, few = suspects.bloom_filter(keys.limit(0), "k")
+    assert rows.where(suspects.may_hold(none, few, F.col("k"))).count() == 0
+
+
+def test_a_full_filter_only_makes_more_suspects(spark, monkeypatch):
+    monkeypatch.setattr(suspects, "MAX_WORDS", 1)
+    monkeypatch.setattr(suspects, "MIN_WORDS", 1)
+    rows = spark.range(4_000).select("id", F.when(F.col("id") < 3_000, F.col("id") % 700).otherwise(F.col("id")).alias("k"))
+    kept = preparation.dedup(rows, ["k"], "id")
+    assert kept.count() == 1_700 and kept.where("id < 700").count() == 700
+
+
+def test_both_duplicate_marks_in_one_pass(spark):
+    for parts in (1, 4):
+        marked = preparation.mark_duplicates(duplicates(spark).repartition(parts), "ord")
+        assert sorted((r["ord"], r["is_near_duplicate"], r["is_first"]) for r in marked.collect()) == [
+            (0, True, True), (1, False, False), (2, False, True), (3, False, False), (4, True, True), (5, False, True)]
+
+
+def test_whole_rows_are_joined_once_and_only_suspects(spark):
+    wide = spark.range(500).selectExpr("id", "id AS ord", "concat('title ', id) AS job_title", "'x' AS company_name",
+                                       "'y' AS location", "CAST(id AS string) AS salary", "repeat('long ', 40) AS body")
+    marked = preparation.mark_duplicates(wide, "ord")
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # of suspects with their decisions
+    assert marked.where("is_near_duplicate OR NOT is_first").count() == 0 and marked.count() == 500
+
+
 def test_bins_are_right_closed_and_merge_equal_edges(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 11)] + [(None,)], "v double")
     found = {r["v"]: r["stratum"] for r in preparation.stratify_bins(df, "v", 2).collect()}
