@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from jobmine.functions import vectors as V
 from jobmine.operators.ordered import sample_n
+from jobmine.session import staging_dir
 
 MAX_CENTER_BYTES = 64 * 1024 * 1024
 MAX_CLUSTERS = 1_000
@@ -123,59 +126,128 @@ def kmeans_fit(
     )
 
 
+def _plus_plus(points: np.ndarray, k: int, draw: np.random.Generator) -> np.ndarray | None:
+    """K-means++ start: each center is drawn by squared distance, the best of a few candidates."""
+    tries = 2 + int(np.log(k))
+    centers = [points[draw.integers(len(points))]]
+    apart = V.squared_distances(points, np.array(centers))[:, 0]
+    while len(centers) < k:
+        total = apart.sum()
+        if total <= 0:
+            return None  # fewer distinct rows than centers
+        picked = np.minimum(np.searchsorted(np.cumsum(apart), draw.random(tries) * total), len(points) - 1)
+        after = np.minimum(apart[:, None], V.squared_distances(points, points[picked]))
+        best = int(after.sum(0).argmin())
+        centers.append(points[picked[best]])
+        apart = after[:, best]
+    return np.array(centers)
+
+
+def _costs(df: DataFrame, starts: list[np.ndarray], col: str = "features") -> list[float]:
+    """Sum of squared distances to the nearest center for each of several sets of centers, in one pass:
+    a number per set and task is added up."""
+    def add_up(batches):
+        total = np.zeros(len(starts))
+        for batch in batches:
+            points = V.matrix(batch.column(0), starts[0].shape[1])
+            total += [V.squared_distances(points, centers).min(1).sum() for centers in starts]
+        yield pa.RecordBatch.from_pydict({"start": np.arange(len(starts)), "cost": total})
+
+    found = df.select(col).mapInArrow(add_up, "start long, cost double").groupBy("start").agg(F.sum("cost").alias("cost"))
+    costs = {r["start"]: r["cost"] for r in found.collect()}
+    return [costs.get(i, 0.0) for i in range(len(starts))]
+
+
+def scored_starts(sample: DataFrame, scored_on: DataFrame, k: int, starts: int, seed: int) -> np.ndarray:
+    """The best of several k-means++ starts. They are drawn from a bounded sample of rows (``sample``,
+    at most ``MAX_CENTER_BYTES``) and all scored in one pass over ``scored_on``."""
+    rows = sample.toArrow().column("features").combine_chunks()
+    points = V.matrix(rows, len(rows[0])) if len(rows) else np.zeros((0, 1))
+    draws = [np.random.default_rng(seed + i) for i in range(starts)]
+    found = [c for c in (_plus_plus(points, k, draw) for draw in draws) if c is not None] if len(points) >= k else []
+    if not found:
+        raise ValueError(f"a sample of {len(points)} rows cannot start {k} clusters")
+    return found[int(np.argmin(_costs(scored_on, found)))].copy()
+
+
 def minibatch_kmeans_fit(
     df: DataFrame, k: int, batch_size: int = 4_096, max_batches: int = 100, patience: int = 10,
-    restarts: int = 3, seed: int = 42, id_col: str = "id", col: str = "features",
+    restarts: int = 10, seed: int = 42, id_col: str = "id", col: str = "features", passes: int = 10,
+    starved_share: float = 0.01,
 ) -> ClusterModel:
     """Centers moved by one batch after the other, each by its share of all rows seen so far.
 
     Every row is dealt by hash to one of at most ``max_batches`` batches, which hold more than
-    ``batch_size`` rows if the table is larger; they are kept, so that a batch does not scan the
-    table again. After all of them, stops early when the mean distance has not improved for
-    ``patience`` batches.
+    ``batch_size`` rows if the table is larger. Each batch is a folder to which every task has
+    written its rows, so a step reads that folder only and uses all cores at any size. The start is
+    the best of ``restarts``, scored on another batch. A center with less than ``starved_share`` of the
+    rows of the largest one is moved to a row of the batch, in the first half of all passes. Stops when
+    the mean distance has not improved for ``patience`` batches, but not before all rows were seen.
     """
     start = time.perf_counter()
+    spark, vector = df.sparkSession, F.col(col).cast("array<double>")
     total = df.count()
     batches = max(1, min(max_batches, -(-total // batch_size)))
-    vector = F.col(col).cast("array<double>")
-    drawn = df.select(
-        vector.alias("features"), F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(batches)).alias("batch")
-    ).repartition(batches, "batch").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        first = drawn.where(F.col("batch") == 0)
-        centers = kmeans_fit(first, k, restarts, 1, seed).centers.copy()
-        if len(centers) < k:
-            raise ValueError(f"a batch of {batch_size} rows cannot start {k} clusters")
-        seen = np.zeros(k)
-        smoothed, best, waited = None, None, 0
-        for step in range(max_batches):
-            batch = drawn.where(F.col("batch") == step % batches)
-            placed = batch.select("features", V.nearest(F.col("features"), centers).alias("at"))
-            found = placed.groupBy(F.col("at.index").alias("c")).agg(
-                Summarizer.sum(array_to_vector("features")).alias("s"), F.count(F.lit(1)).alias("n"),
-                F.sum("at.squared").alias("d"),
-            ).collect()  # k rows
-            rows = sum(r["n"] for r in found)
-            for r in found:
-                seen[r["c"]] += r["n"]
-                centers[r["c"]] += (r["s"].toArray() - r["n"] * centers[r["c"]]) / seen[r["c"]]
-            mean = sum(r["d"] for r in found) / max(rows, 1)
-            weight = min(1.0, 2.0 * rows / (total + 1))
-            smoothed = mean if smoothed is None else smoothed * (1 - weight) + mean * weight
-            if best is None or smoothed < best * (1 - _GAIN):
-                best, waited = smoothed, 0
-            else:
-                waited += 1
-                if waited >= patience and step + 1 >= batches:
-                    break
-    finally:
-        drawn.unpersist()
+    path = f"{staging_dir(spark)}/batches-{uuid.uuid4().hex}"
+    own = F.xxhash64(F.lit(seed), id_col, vector)  # rows that share an id are spread too
+    dealt = df.select(vector.alias("features"), own.alias("draw"), F.pmod(own, F.lit(batches)).cast("int").alias("batch"))
+    dealt.write.partitionBy("batch").parquet(path)
+    stored = spark.read.schema(dealt.schema).parquet(path)
+    order = [r["batch"] for r in stored.select("batch").distinct().orderBy("batch").collect()]  # max_batches at most
+    if not order:
+        raise ValueError("no rows to fit")
+
+    def batch_of(step: int) -> DataFrame:
+        return stored.where(F.col("batch") == order[step % len(order)])
+
+    width = len(batch_of(0).first()["features"])
+    most = max(k, min(3 * batch_size, MAX_CENTER_BYTES // (8 * width)))
+    drawn = stored.where(F.col("batch").isin(order[:3])).orderBy(F.xxhash64("draw"), "draw").limit(most)
+    centers = scored_starts(drawn.select("features"), batch_of(1), k, restarts, seed)
+    seen = np.zeros(k)
+    smoothed, best, waited = None, None, 0
+    for step in range(passes * len(order)):
+        placed = batch_of(step).select("features", V.nearest(F.col("features"), centers).alias("at"))
+        found = placed.groupBy(F.col("at.index").alias("c")).agg(
+            Summarizer.sum(array_to_vector("features")).alias("s"), F.count(F.lit(1)).alias("n"),
+            F.sum("at.squared").alias("d"),
+        ).collect()  # k rows
+        rows = sum(r["n"] for r in found)
+        for r in found:
+            seen[r["c"]] += r["n"]
+            centers[r["c"]] += (r["s"].toArray() - r["n"] * centers[r["c"]]) / seen[r["c"]]
+        if 2 * step < passes * len(order):
+            _feed_starved(centers, seen, batch_of(step), starved_share, rows, seed + step)
+        mean = sum(r["d"] for r in found) / max(rows, 1)
+        weight = min(1.0, 2.0 * rows / (total + 1))
+        smoothed = mean if smoothed is None else smoothed * (1 - weight) + mean * weight
+        if best is None or smoothed < best * (1 - _GAIN):
+            best, waited = smoothed, 0
+        else:
+            waited += 1
+            if waited >= patience and step + 1 >= len(order):
+                break
     cost = inertia(df, centers, col).first()["inertia"]
     return ClusterModel(
         centers, "MiniBatchKMeans", float(cost), total, "fit_full_train", time.perf_counter() - start
     )
 
 
+def _feed_starved(
+    centers: np.ndarray, seen: np.ndarray, batch: DataFrame, share: float, rows: int, seed: int
+) -> None:
+    """Move centers that few rows came to (at most as many as half the batch has rows) to rows of the batch."""
+    starved = np.flatnonzero(seen < share * seen.max())[:rows // 2]
+    if not len(starved):
+        return
+    drawn = batch.orderBy(F.xxhash64(F.lit(seed), "draw"), "draw").limit(len(starved)).select("features").collect()
+    for c, row in zip(starved, drawn, strict=False):
+        centers[c] = row["features"]
+    fed = np.ones(len(seen), bool)
+    fed[starved] = False
+    seen[starved] = seen[fed].min()
+
+
 def fit_on_sample(
     df: DataFrame, fit: Callable[[DataFrame], ClusterModel], limit: int | None,
     seed: int = 42, id_col: str = "id",

@@ -88,6 +88,46 @@ def test_minibatch(blobs):
     assert model.k == 3 and model.inertia < full.inertia * 1.5
 
 
+def planted_clusters(spark, sizes, parts):
+    """Tight clusters on a circle, the given numbers of rows in each; ids repeat."""
+    rows = [(n % 7, [20 * math.cos(c) + (n % 5) / 50, 20 * math.sin(c) + (n % 3) / 50]) for c, size in enumerate(sizes) for n in range(size)]
+    return spark.createDataFrame(rows, "id long, features array<double>").repartition(parts)
+
+
+def test_a_batch_lies_in_all_tasks(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(clustering, "_feed_starved", lambda centers, seen, batch, *more: read.append(batch))
+    model = clustering.minibatch_kmeans_fit(planted_clusters(spark, [300, 300, 300], 6), 3, batch_size=100, passes=2)
+    assert model.inertia < 3 and model.fit_rows == 900
+    batch = read[0]
+    assert len({f.split("/")[-1].split("-")[1] for f in batch.inputFiles() if "/batch=0/" in f}) == 6
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch" in plan and "Exchange" not in plan
+
+
+def test_all_starts_are_scored_in_one_pass(spark):
+    points = planted_clusters(spark, [40] * 6, 2)
+    starts = [np.array([[20.0, 0.0], [0.0, 0.0]]), np.array([[0.0, 0.0]]), np.zeros((2, 2))]
+    held = np.array([r["features"] for r in points.collect()])
+    want = [((held[:, None, :] - s[None]) ** 2).sum(2).min(1).sum() for s in starts]
+    assert clustering._costs(points, starts) == pytest.approx(want)
+    found = clustering.scored_starts(points.select("features"), points, 6, 10, 1)
+    assert clustering._costs(points, [found])[0] < 1
+
+
+def test_starved_centers_move_to_rows(spark):
+    batch = planted_clusters(spark, [50, 50], 2).withColumn("draw", F.xxhash64("features"))
+    centers, seen = np.array([[20.0, 0.0], [900.0, 900.0], [11.0, 17.0]]), np.array([500.0, 0.0, 450.0])
+    clustering._feed_starved(centers, seen, batch, 0.01, 100, 3)
+    held = [r["features"] for r in batch.collect()]
+    assert centers[1].tolist() in held and seen[1] == 450 and list(centers[0]) == [20.0, 0.0]
+
+
+def test_too_few_distinct_rows(spark):
+    with pytest.raises(ValueError, match="cannot start 4"):
+        clustering.minibatch_kmeans_fit(spark.createDataFrame([(i, [float(i % 3)]) for i in range(30)], "id long, features array<double>"), 4)
+
+
 def test_fit_on_sample(blobs):
     model = clustering.fit_on_sample(blobs, lambda df: clustering.kmeans_fit(df, 2, 1, 5), 50)
     assert (model.fit_rows, model.fit_note) == (50, "fit_on_sample_50")
