@@ -121,13 +121,14 @@ _RATIOS = " UNION ALL ".join(
     for c in LONG_TEXT_COLUMNS)
 
 
-@check("rule_candidates", f"""{PARSED_SQL}, patterns AS (SELECT salary_pattern AS value,
+@check("rule_candidates", f"""{PARSED_SQL}, patterns AS (SELECT salary_pattern AS value, count(*) AS count,
   count(*) / sum(count(*)) OVER () AS ratio FROM parsed GROUP BY 1), m AS ({_RATIOS}),
-both_rules AS (SELECT 'top_salary_patterns' AS rule, value, ratio FROM patterns
-  UNION ALL SELECT 'high_salary_mention_columns', value, ratio FROM m),
-r AS (SELECT rule, row_number() OVER (PARTITION BY rule ORDER BY ratio DESC, value) AS rank, value, ratio FROM both_rules)
-SELECT rule, rank, value, round(ratio, 6) AS ratio FROM r WHERE rank <= 10
-UNION ALL SELECT 'remove_ambiguous_salary_keywords', rank, value, NULL FROM (VALUES {_RULES}) AS v(rank, value)""")
+both_rules AS (SELECT 'top_salary_patterns' AS rule, value, count, ratio FROM patterns
+  UNION ALL SELECT 'high_salary_mention_columns', value, NULL, ratio FROM m),
+r AS (SELECT rule, row_number() OVER (PARTITION BY rule ORDER BY ratio DESC, value) AS rank, value, count, ratio FROM both_rules)
+SELECT rule, rank, value, count, round(ratio, 6) AS ratio FROM r WHERE rank <= 10
+UNION ALL SELECT 'default_remove_salary_mentions_for_clustering', 1, 'false', NULL, NULL
+UNION ALL SELECT 'remove_ambiguous_salary_keywords', rank, value, NULL, NULL FROM (VALUES {_RULES}) AS v(rank, value)""")
 def rule_candidates(spark, sf_dir):
     return longs(rounded(profiling.rule_candidates(postings(spark, sf_dir))), "rank")
 
@@ -391,6 +392,28 @@ def gate_columns_and_schema(spark, sf_dir):
     return checks.withColumn("rows", rows.agg(F.count(F.lit(1))).scalar())
 
 
+def _described(name: str, table: str, columns: str) -> str:
+    """SQL of one schema check, from what the database knows of the tables."""
+    return f"""SELECT '{name}' AS "check", failures, failures = 0 AS passed FROM (SELECT CAST(count(*) AS BIGINT) AS failures
+  FROM (VALUES {columns}) AS wanted(c) WHERE c NOT IN (SELECT column_name FROM (DESCRIBE {table})))"""
+
+
+_KINDS = "(SELECT list({{'n': column_name, 't': column_type}}) FROM (DESCRIBE SELECT {} FROM {}))"
+
+
+@check("gate_columns_found_missing", f"""{_described('columns_present', 'documents', "('doc_id'), ('salary'), ('text'), ('benefits')")}
+UNION ALL {_described('columns_present', 'pages', "('url'), ('html')")}
+UNION ALL SELECT 'same_schema', f, f = 0 FROM (SELECT CAST({_KINDS.format('doc_id, text', 'documents')} <> {_KINDS.format('doc_id, text', 'documents')} AS BIGINT) AS f)
+UNION ALL SELECT 'same_schema', f, f = 0 FROM (SELECT CAST({_KINDS.format('doc_id, n_chars AS text', 'documents')} <> {_KINDS.format('doc_id, text', 'documents')} AS BIGINT) AS f)""")
+def gate_columns_found_missing(spark, sf_dir):
+    """Schema checks of which two fail."""
+    docs, pages = load(spark, sf_dir, "documents"), load(spark, sf_dir, "pages")
+    found = [gates.columns_present(docs, ["doc_id", "salary", "text", "benefits"]), gates.columns_present(pages, ["url", "html"])]
+    pair = docs.select("doc_id", "text")
+    found += [gates.same_schema(pair, pair.limit(1)), gates.same_schema(docs.select("doc_id", F.col("n_chars").alias("text")), pair)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+
+
 @check("gate_row_count", """SELECT 'orders_per_customer' AS "check", abs((SELECT count(*) FROM orders) - (SELECT count(*) FROM customer)) AS failures,
   (SELECT count(*) FROM orders) = (SELECT count(*) FROM customer) AS passed
 UNION ALL SELECT 'all_orders', 0, true""")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobmine.config import AMBIGUOUS_KEYWORDS, LENGTH_COLUMNS, LONG_TEXT_COLUMNS, NEAR_DUPLICATE_KEY
+from jobmine.config import AMBIGUOUS_KEYWORDS, LENGTH_COLUMNS, LONG_TEXT_COLUMNS, NEAR_DUPLICATE_KEY, Settings
 from jobmine.functions import text as T
 from jobmine.operators.ordered import first_n, quantiles
 from jobmine.operators.rows import row_digest, small_side, with_row, without_nan
@@ -192,28 +192,30 @@ def salary_outlier_examples(
 
 
 def rules_from(mentions: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Candidate cleaning rules as (rule, rank, value, ratio) rows, from the two small reports."""
+    """Candidate cleaning rules as (rule, rank, value, count, ratio) rows, from the two small reports."""
     columns = mentions.select(
         F.lit("high_salary_mention_columns").alias("rule"), F.col("column").alias("value"),
-        F.col("salary_mention_ratio").alias("ratio"),
+        F.lit(None).cast("long").alias("count"), F.col("salary_mention_ratio").alias("ratio"),
     )
     commonest = patterns.select(
-        F.lit("top_salary_patterns").alias("rule"), F.col("salary_pattern").alias("value"), "ratio"
+        F.lit("top_salary_patterns").alias("rule"), F.col("salary_pattern").alias("value"), "count", "ratio"
     )
     # Both tables have at most a dozen rows here.
     order = Window.partitionBy("rule").orderBy(F.desc("ratio"), "value")
     found = columns.unionByName(commonest).withColumn("rank", F.row_number().over(order))
-    keywords = mentions.sparkSession.createDataFrame(
-        [("remove_ambiguous_salary_keywords", i + 1, k, None) for i, k in enumerate(AMBIGUOUS_KEYWORDS)],
-        "rule string, rank int, value string, ratio double",
-    )
-    return found.where("rank <= 10").select("rule", "rank", "value", "ratio").unionByName(keywords)
+    fixed = [("remove_ambiguous_salary_keywords", i + 1, k, None, None) for i, k in enumerate(AMBIGUOUS_KEYWORDS)]
+    default = str(Settings().remove_salary_mentions).lower()
+    fixed.append(("default_remove_salary_mentions_for_clustering", 1, default, None, None))
+    settings = mentions.sparkSession.createDataFrame(
+        fixed, "rule string, rank int, value string, count long, ratio double")
+    return found.where("rank <= 10").select(*settings.columns).unionByName(settings)
 
 
 def rule_candidates(
     df: DataFrame, columns: Sequence[str] = LONG_TEXT_COLUMNS, col: str = "salary"
 ) -> DataFrame:
-    """Mention columns by ratio, the ten commonest pay patterns and the fixed keyword list."""
+    """Mention columns by ratio, the ten commonest pay patterns with their counts, the fixed keyword list
+    and whether mentions are removed by default."""
     return rules_from(salary_mention_ratio(df, columns), salary_pattern_summary(df, col))
 
 
