@@ -428,8 +428,7 @@ r AS (SELECT lang, term, row_number() OVER (PARTITION BY lang ORDER BY round(mea
 SELECT lang, string_agg(term, '; ' ORDER BY rk) AS top_keywords FROM r WHERE rk <= 10 GROUP BY 1""")
 def top_keywords(spark, sf_dir):
     model, weights = fitted(spark, sf_dir)
-    clusters = texts(spark, sf_dir).select("id", "lang")
-    return P.top_keywords(weights.drop("lang"), clusters, model.table(spark), by="lang")
+    return P.top_keywords(weights, None, model.table(spark), by="lang")
 
 
 @check("category_share_by_cluster", f"""WITH {CLUSTERED_SQL}, top AS (SELECT r_name AS value FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 10),

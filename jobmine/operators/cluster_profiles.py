@@ -40,27 +40,31 @@ def top_values_text(df: DataFrame, by: str, columns: Sequence[str], n: int = 5)
 
 
 def top_keywords(
-    weights: DataFrame, clusters: DataFrame, vocabulary: DataFrame, n: int = 10,
+    weights: DataFrame, clusters: DataFrame | None, vocabulary: DataFrame, n: int = 10,
     by: str = "cluster_id", id_col: str = "id",
 ) -> DataFrame:
     """Terms with the highest mean weight in each cluster; rows without a term count as zero.
 
-    ``weights`` holds one row per document with its term arrays and ``clusters`` its cluster; the
-    join is on the document id, sums are combined per task before they are shuffled by term.
+    ``weights`` holds one row per document with its term arrays and its cluster, so no document is
+    joined: sums are combined per task and shuffled by cluster and term. Only if the cluster is known
+    in another table alone (``clusters``) are the two joined on the document id; else that table, if
+    given, only supplies the sizes. Term numbers stand for terms until the few best are left; they
+    are in order of the terms.
     """
-    sizes = clusters.groupBy(by).agg(F.count(F.lit(1)).alias("_size"))
-    cells = weights.join(clusters.select(id_col, by), id_col).select(
-        by, F.inline_outer(F.arrays_zip("term_idx", "weight"))
-    ).where("term_idx IS NOT NULL")
-    means = cells.groupBy(by, "term_idx").agg(F.sum("weight").alias("_total")).join(
-        F.broadcast(vocabulary.select("term_idx", "term")), "term_idx"
-    ).join(sizes, by).select(by, "term", (F.col("_total") / F.col("_size")).alias("mean"))
+    placed = weights if by in weights.columns else weights.join(clusters.select(id_col, by), id_col)
+    sizes = small_side((placed if clusters is None else clusters).groupBy(F.col(by).alias("_of")).agg(
+        F.count(F.lit(1)).alias("_size")))
+    cells = placed.select(by, F.inline_outer(F.arrays_zip("term_idx", "weight"))).where("term_idx IS NOT NULL")
+    totals = cells.groupBy(by, "term_idx").agg(F.sum("weight").alias("_total"))
+    means = totals.join(sizes, F.col(by) == F.col("_of")).select(
+        by, "term_idx", (F.col("_total") / F.col("_size")).alias("mean"))
     # Means are rounded before they are ranked: equal means must not be told apart by the order
     # in which a cluster's weights were added.
-    order = Window.partitionBy(by).orderBy(F.desc(F.round("mean", 9)), "term")
+    order = Window.partitionBy(by).orderBy(F.desc(F.round("mean", 9)), "term_idx")
     best = means.where("mean > 0").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+    named = best.join(F.broadcast(vocabulary.select("term_idx", "term")), "term_idx")
     listed = F.sort_array(F.collect_list(F.struct("rank", "term")))
-    return best.groupBy(by).agg(
+    return named.groupBy(by).agg(
         F.array_join(F.transform(listed, lambda e: e["term"]), "; ").alias("top_keywords")
     )
 

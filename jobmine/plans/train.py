@@ -33,6 +33,12 @@ class FeatureModel:
     def low(self, svd: DataFrame) -> DataFrame:
         return X.low_dimensional(svd, self.low_dim, self.drop_first)
 
+    def placed(self, weights: DataFrame, centers: np.ndarray) -> DataFrame:
+        """Term arrays with the cluster of their row, found on the row itself. Narrow."""
+        kept = weights.withColumns({"_terms": F.col("term_idx"), "_weights": F.col("weight")})
+        found = clustering.assign_cluster(self.low(X.svd_transform(kept, self.factor)), centers)
+        return found.select("cluster_id", F.col("_terms").alias("term_idx"), F.col("_weights").alias("weight"))
+
     def save(self, spark: SparkSession, path: str) -> None:
         self.tfidf.table(spark).write.mode("overwrite").parquet(f"{path}/vocab")
         X.factor_table(spark, self.factor).write.mode("overwrite").parquet(f"{path}/svd_v")
@@ -111,7 +117,7 @@ def train(
     clustered = stage(cluster_profiles.apply_label_map(placed, named), "clustered")
     gates.require(gates.row_count(clustered, final.fit_rows, "clustered_rows"))
     keywords = cluster_profiles.top_keywords(
-        weights, clustered.select("id", "cluster_id"), model.tfidf.table(spark)
+        model.placed(weights, final.centers), clustered.select("cluster_id"), model.tfidf.table(spark)
     )
     profiles = cluster_profiles.cluster_profiles(clustered, keywords=keywords)
     profiles = cluster_profiles.apply_label_map(profiles, named, out="manual_cluster_label")

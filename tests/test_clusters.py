@@ -204,6 +204,11 @@ def test_keywords_count_absent_terms_as_zero(spark):
     vocabulary = spark.createDataFrame([(0, "aa"), (1, "bb")], "term_idx int, term string")
     found = {r["cluster_id"]: r["top_keywords"] for r in P.top_keywords(weights, clusters, vocabulary).collect()}
     assert found == {0: "bb; aa"}
+    rows = weights.join(clusters, "id").select("cluster_id", "term_idx", "weight").collect()
+    beside = spark.createDataFrame(rows, "cluster_id int, term_idx array<int>, weight array<double>")
+    direct = P.top_keywords(beside, None, vocabulary)
+    assert {r["cluster_id"]: r["top_keywords"] for r in direct.collect()} == {0: "bb; aa"}
+    assert direct._jdf.queryExecution().optimizedPlan().toString().count("Join") == 2  # sizes and names
 
 
 def test_demo_rows_use_the_columns_there_are(spark):
