@@ -149,6 +149,50 @@ def low_dimensional(spark, sf_dir):
     return rounded_vectors(X.low_dimensional(_svd(spark, sf_dir)[1], 10, drop_first=True))
 
 
+def planted_weights(spark, sf_dir):
+    """Orders over five disjoint blocks of terms, one per priority: an order's weights are its price
+    times the block's direction, so the matrix has rank five and SQL knows its decomposition."""
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), (F.col("o_totalprice").cast("double") / 100000).alias("c"),
+        (F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("g"),
+    )
+    steps = F.sequence(F.lit(0), F.lit(11))
+    rows = orders.select(
+        "id", F.transform(steps, lambda j: F.col("g") * 3001 + j * 271).alias("term_idx"),
+        F.transform(steps, lambda j: F.col("c") * (F.col("g") + 1) * (j + 1)).alias("weight"),
+    )
+    weights = stage(rows, "planted")
+    return weights, X.svd_transform(weights, X.svd_fit(weights, 5 * 3001, weights.count(), 6))
+
+
+PLANTED_SVD_SQL = """WITH o AS (SELECT o_orderkey AS id, CAST(o_totalprice AS DOUBLE) / 100000 AS c,
+  CAST(substr(o_orderpriority, 1, 1) AS INT) AS g FROM orders),
+blocks AS (SELECT g, g * sqrt(650.0::DOUBLE) AS u, sum(c * c) AS s2, sum(c) AS s FROM o GROUP BY g),
+ranked AS (SELECT *, row_number() OVER (ORDER BY u * u * s2 DESC) AS component,
+  u * u * (s2 / n - (s / n) * (s / n)) AS v FROM blocks, (SELECT count(*) AS n FROM o))"""
+
+
+@check("svd_features_planted", f"""{PLANTED_SVD_SQL}
+SELECT id, component, round(c * u, 5) AS value FROM o JOIN ranked ON o.g = ranked.g""")
+def svd_features_planted(spark, sf_dir):
+    """The components that hold more than a rounding error of each order."""
+    features = planted_weights(spark, sf_dir)[1].select("id", F.posexplode("features"))
+    found = features.where("abs(col) > 1e-6")
+    return rounded(found.select("id", (F.col("pos") + 1).cast("long").alias("component"), F.col("col").alias("value")), digits=5)
+
+
+@check("svd_variance_planted", f"""{PLANTED_SVD_SQL}
+SELECT component, round(u * sqrt(s2), 4) AS singular_value, round(v / sum(v) OVER (), 6) AS explained_variance_ratio,
+  round(sum(v) OVER (ORDER BY component) / sum(v) OVER (), 6) AS cumulative_explained_variance FROM ranked
+UNION ALL SELECT 6, 0, 0, 1""")
+def svd_variance_planted(spark, sf_dir):
+    """Singular values and variance; the sixth component is beyond the rank."""
+    weights, features = planted_weights(spark, sf_dir)
+    shares = X.svd_variance(features, weights).join(X.singular_values(features), "component")
+    found = rounded(shares, "explained_variance_ratio", "cumulative_explained_variance")
+    return longs(rounded(found, "singular_value", digits=4), "component")
+
+
 def points(spark, sf_dir):
     """Embeddings as points; their label serves as a given cluster."""
     return load(spark, sf_dir, "embeddings").select(

@@ -10,8 +10,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
@@ -27,10 +29,14 @@ from jobmine.functions import vectors as V
 from jobmine.functions.text import TOKEN, fold_accents
 from jobmine.operators.ordered import sample_n
 from jobmine.operators.rows import compute_once
+from jobmine.session import stage
 
 MAX_FACTOR_BYTES = 512 * 1024 * 1024
-_BLOCK = 256
+PANEL_BYTES = 32 * 1024 * 1024
+_BLOCK = 2_048  # terms whose rows are added up together
 _CHUNK = 50_000
+_FAN = 16  # triangles merged at a time
+_NULL = 1e-10  # share of the largest squared singular value below which a direction is none
 
 
 def stop_tokens(phrases: Sequence[str] = STOP_PHRASES) -> list[str]:
@@ -199,50 +205,114 @@ def _row_products(lists: pa.ListArray, values: pa.ListArray, factor: np.ndarray)
     return terms, weights, np.repeat(np.arange(len(sizes)), sizes), product
 
 
-def _gram_times(weights: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """``A'A basis`` for the document-term matrix ``A``, in one pass over the documents.
+def _gram_times(weights: DataFrame, panels: Sequence[np.ndarray]) -> DataFrame:
+    """``A'A basis`` for the document-term matrix ``A`` and its triangles, in blocks of terms.
 
-    Each task adds up its rows; blocks of term rows are summed by Spark, partial sums first. Tasks
-    take several input splits each, so that there are few partial results for many documents.
+    ``basis`` comes in panels of columns, each small enough for a task; a task adds up the blocks of
+    terms it meets, so its memory depends on the panel alone. Returns ``(block, product, triangle)``:
+    the block's rows and the R of their QR decomposition, both as bytes.
     """
     context = weights.sparkSession.sparkContext
-    tasks = 2 * context.defaultParallelism
-    shared = context.broadcast(basis)
-    n_terms, width = basis.shape
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factor = shared.value
-        total = np.zeros((n_terms, width))
-        touched = False
-        for batch in batches:
-            touched = True
-            terms, values, rows, product = _row_products(
-                batch.column("term_idx"), batch.column("weight"), factor
-            )
-            order = np.argsort(terms, kind="stable")
-            for a in range(0, len(order), _CHUNK):
-                part = order[a:a + _CHUNK]
-                ordered = terms[part]
-                first = np.flatnonzero(np.diff(ordered, prepend=-1))
-                total[ordered[first]] += np.add.reduceat(
-                    product[rows[part]] * values[part, None], first, axis=0
+    rows = weights.select("term_idx", "weight").coalesce(4 * context.defaultParallelism)
+    size, chunk, n_terms = _BLOCK, _CHUNK, len(panels[0])
+
+    def adder(number: int, shared):
+        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            factor = shared.value
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                terms, values, owners, product = _row_products(
+                    batch.column("term_idx"), batch.column("weight"), factor
                 )
-        if touched:
-            for a in range(0, n_terms, _BLOCK):
-                block = total[a:a + _BLOCK].ravel()
+                order = np.argsort(terms, kind="stable")
+                for a in range(0, len(order), chunk):
+                    part = order[a:a + chunk]
+                    ordered = terms[part]
+                    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+                    found = ordered[first]
+                    added = np.add.reduceat(product[owners[part]] * values[part, None], first, axis=0)
+                    cuts = np.flatnonzero(np.diff(found // size, prepend=-1, append=n_terms))
+                    for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                        block = int(found[low]) // size
+                        if block not in sums:
+                            height = min(size, n_terms - block * size)
+                            sums[block] = np.zeros((height, factor.shape[1]))
+                        sums[block][found[low:high] - block * size] += added[low:high]
+            for block, total in sums.items():
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([block], pa.int32()),
+                    "panel": pa.array([number], pa.int32()),
+                    "values": pa.array([total.ravel()], pa.list_(pa.float64())),
+                })
+
+        return partial
+
+    def decompose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = batch.column("block")[row].as_py()
+                height = min(size, n_terms - block * size)
+                parts = batch.column("parts")[row].values.field("values")
+                whole = np.hstack([part.values.to_numpy().reshape(height, -1) for part in parts])
                 yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([a], pa.int32()),
-                    "values": pa.array([block], pa.list_(pa.float64())),
+                    "block": pa.array([block], pa.int32()),
+                    "product": pa.array([whole.tobytes()], pa.binary()),
+                    "triangle": pa.array([np.linalg.qr(whole, mode="r").tobytes()], pa.binary()),
                 })
 
-    rows = weights.select("term_idx", "weight").coalesce(tasks)
-    blocks = rows.mapInArrow(partial, "block int, values array<double>")
-    summed = blocks.groupBy("block").agg(Summarizer.sum(array_to_vector("values")).alias("values"))
-    result = np.zeros((n_terms, width))
-    for row in summed.collect():  # n_terms * width numbers, checked by the caller
-        found = row["values"].toArray().reshape(-1, width)
-        result[row["block"]:row["block"] + len(found)] = found
-    shared.unpersist()
+    shared = [context.broadcast(panel) for panel in panels]
+    partials = [
+        rows.mapInArrow(adder(number, panel), "block int, panel int, values array<double>")
+        for number, panel in enumerate(shared)
+    ]
+    summed = reduce(DataFrame.unionAll, partials).groupBy("block", "panel").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("values"))).alias("values")
+    )
+    # All panels of one block: its rows times the width of the basis.
+    whole = summed.groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("panel", "values"))).alias("parts")
+    )
+    found = stage(whole.mapInArrow(decompose, "block int, product binary, triangle binary"), "gram")
+    for panel in shared:
+        panel.unpersist()
+    return found
+
+
+def _triangle(blocks: DataFrame, n_blocks: int, width: int) -> np.ndarray:
+    """R of the QR decomposition of all rows: triangles are stacked and decomposed in a tree, a few
+    at a time, until a few are left for the driver."""
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        stacked = np.vstack([np.frombuffer(t).reshape(-1, width) for t in frame["triangle"]])
+        merged = np.linalg.qr(stacked, mode="r").tobytes()
+        return pd.DataFrame({"block": frame["block"].iloc[:1] // fan, "triangle": [merged]})
+
+    fan, level = _FAN, blocks.select("block", "triangle")
+    while n_blocks > fan:
+        parent = F.floor(F.col("block") / fan)
+        level = level.groupBy(parent).applyInPandas(merge, "block int, triangle binary")
+        n_blocks = -(-n_blocks // fan)
+    rest = [np.frombuffer(r["triangle"]).reshape(-1, width) for r in level.orderBy("block").collect()]
+    return np.linalg.qr(np.vstack([np.zeros((width, width)), *rest]), mode="r")
+
+
+def _turned(blocks: DataFrame, turn: np.ndarray, n_terms: int) -> np.ndarray:
+    """All rows times ``turn``. The caller checks the size of the result."""
+    def times(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [
+                (np.frombuffer(p.as_py()).reshape(-1, len(turn)) @ turn).tobytes()
+                for p in batch.column("product")
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), pa.array(made, pa.binary())], names=["block", "rows"]
+            )
+
+    result = np.zeros((n_terms, turn.shape[1]))
+    turned = blocks.select("block", "product").mapInArrow(times, "block int, rows binary")
+    for row in turned.toLocalIterator():
+        found = np.frombuffer(row["rows"]).reshape(-1, turn.shape[1])
+        start = row["block"] * _BLOCK
+        result[start:start + len(found)] = found
     return result
 
 
@@ -252,20 +322,36 @@ def svd_fit(
 ) -> np.ndarray:
     """Right factor (terms by components) of an uncentred truncated SVD.
 
-    Subspace iteration with ``passes`` + 1 passes over the documents. The number of components is
-    at most one less than rows or terms. Signs are fixed: each component's largest loading is
-    positive. ``weights`` should be stored, it is read once per pass.
+    Subspace iteration with ``passes`` + 1 jobs over the documents. The product with the basis is
+    kept as a table of term blocks; a tall-skinny QR merges the blocks' triangles in a tree, and the
+    SVD of the last triangle turns the blocks into the next basis, which reaches the tasks in panels
+    of columns of ``PANEL_BYTES`` at most. More terms than fit a panel of one column are refused.
+
+    The number of components is at most one less than rows or terms; those beyond the rank (a
+    singular value under a hundred-thousandth of the largest) are zero. Signs are fixed: each
+    component's largest loading is positive. ``weights`` should be stored, it is read once per pass
+    and panel.
     """
     k = max(1, min(components, n_terms - 1, n_rows - 1))
     width = min(k + oversample, n_terms)
-    if n_terms * width * 8 > MAX_FACTOR_BYTES:
-        raise ValueError(f"a {n_terms} by {width} factor is too large to broadcast")
-    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_terms, width)))[0]
-    for _ in range(passes):
-        basis = np.linalg.qr(_gram_times(weights, basis))[0]
-    small = basis.T @ _gram_times(weights, basis)
-    values, rotation = np.linalg.eigh((small + small.T) / 2)
-    factor = basis @ rotation[:, np.argsort(values)[::-1][:k]]
+    step = PANEL_BYTES // (8 * n_terms)
+    if n_terms * k * 8 > MAX_FACTOR_BYTES or not step:
+        raise ValueError(f"a {n_terms} by {k} factor is too large to broadcast")
+    cuts = [(a, min(a + step, width)) for a in range(0, width, step)]
+
+    def start(low: int, high: int) -> np.ndarray:
+        columns = [np.random.default_rng([seed, c]).normal(size=n_terms) for c in range(low, high)]
+        return np.stack(columns, axis=1)
+
+    panels = (start(low, high) for low, high in cuts)
+    for left in range(passes, -1, -1):
+        blocks = _gram_times(weights, list(panels))
+        _, values, right = np.linalg.svd(_triangle(blocks, -(-n_terms // _BLOCK), width))
+        held = values > _NULL * values[0]
+        turn = right.T * np.where(held, 1 / np.where(held, values, 1), 0)
+        if left:
+            panels = (_turned(blocks, turn[:, low:high], n_terms) for low, high in cuts)
+    factor = _turned(blocks, turn[:, :k], n_terms)
     strongest = np.abs(factor).argmax(axis=0)
     return factor * np.sign(factor[strongest, np.arange(k)])
 
@@ -297,6 +383,14 @@ def factor_from_table(table: DataFrame) -> np.ndarray:
     return np.array([r["loadings"] for r in sorted(table.collect(), key=lambda r: r["term_idx"])])
 
 
+def singular_values(features: DataFrame, col: str = "features") -> DataFrame:
+    """(component, singular_value): the length of each column of the projected rows."""
+    lengths = features.agg(vector_to_array(Summarizer.normL2(array_to_vector(F.col(col)))).alias("v"))
+    return lengths.select(F.posexplode("v").alias("pos", "singular_value")).select(
+        (F.col("pos") + 1).alias("component"), "singular_value"
+    )
+
+
 def svd_variance(
     features: DataFrame, weights: DataFrame, col: str = "features", n_rows: int | None = None
 ) -> DataFrame:

@@ -98,6 +98,37 @@ def test_svd_does_not_depend_on_chunks_or_partitions(dense, monkeypatch):
     assert X.svd_fit(weights.coalesce(1), 40, 60, 3) == pytest.approx(first, abs=1e-8)
 
 
+def test_svd_in_panels_and_a_tree(dense, monkeypatch):
+    matrix, weights = dense
+    first = X.svd_fit(weights, 40, 60, 4, passes=12)
+    monkeypatch.setattr(X, "_BLOCK", 4)
+    monkeypatch.setattr(X, "_FAN", 2)
+    monkeypatch.setattr(X, "PANEL_BYTES", 40 * 8 * 5)
+    split = X.svd_fit(weights, 40, 60, 4, passes=12)
+    assert split == pytest.approx(first, abs=1e-8)
+    assert split.T @ split == pytest.approx(np.eye(4), abs=1e-10)
+
+
+def test_panels_bound_what_a_task_holds(dense, monkeypatch):
+    seen = []
+    inner = X._gram_times
+    monkeypatch.setattr(X, "PANEL_BYTES", 40 * 8 * 3)
+    monkeypatch.setattr(X, "_gram_times", lambda w, panels: seen.extend(panels) or inner(w, panels))
+    X.svd_fit(dense[1], 40, 60, 5, passes=1)
+    assert sum(p.shape[1] for p in seen) == 2 * 15 and max(p.nbytes for p in seen) <= 40 * 8 * 3
+
+
+def test_svd_of_low_rank_and_of_nothing(spark, dense):
+    rows = [(i, [2 * (i % 2), 2 * (i % 2) + 1], [3.0, 4.0 * (1 + i % 2)]) for i in range(20)]
+    schema = "id long, term_idx array<int>, weight array<double>"
+    factor = X.svd_fit(spark.createDataFrame(rows, schema), 9, 20, 4)
+    b = math.hypot(3, 8)
+    expected = [[0, 0, 3 / b, 8 / b, 0, 0, 0, 0, 0], [0.6, 0.8, 0, 0, 0, 0, 0, 0, 0], [0] * 9, [0] * 9]
+    assert factor.T == pytest.approx(np.array(expected))
+    for nothing in (dense[1].limit(0), spark.createDataFrame([(1, [], []), (2, None, None)], schema)):
+        assert not X.svd_fit(nothing, 9, 20, 4).any()
+
+
 def test_svd_variance(dense):
     matrix, weights = dense
     factor = X.svd_fit(weights, 40, 60, 4)
