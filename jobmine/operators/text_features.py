@@ -8,7 +8,7 @@ corpus totals per term are shuffled. The dense factors have a size fixed by the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,6 +29,7 @@ from jobmine.functions import vectors as V
 from jobmine.functions.text import TOKEN, fold_accents
 from jobmine.operators.ordered import sample_n
 from jobmine.operators.rows import compute_once
+from jobmine.operators.suspects import bloom_filter, may_hold
 from jobmine.session import stage
 
 MAX_FACTOR_BYTES = 512 * 1024 * 1024
@@ -89,16 +90,28 @@ def ngram_frequency(
     ).limit(n)
 
 
-def select_vocabulary(
-    df: DataFrame, grams: str = "grams", settings: Settings = Settings()
-) -> DataFrame:
-    """Terms in ``min_df`` rows to a ``max_df`` share of rows, the most frequent first.
+def _has_order(term: Column, order: int) -> Column:
+    """Whether an n-gram has ``order`` words."""
+    at_most = F.substring_index(term, " ", order) == term
+    return at_most & (F.substring_index(term, " ", order - 1) != term) if order > 1 else at_most
+
+
+def _order_test(order: int) -> Callable[[Column], Column]:
+    return lambda term: _has_order(term, order)
+
 
-    A row sorts its own terms, so it knows which one it has for the first time; documents and
-    occurrences then come out of one combined shuffle by term.
+def _level_test(order: int, highest: int) -> Callable[[Column], Column]:
+    if order > 1:
+        return _order_test(order)
+    return lambda term: _has_order(term, 1) | (F.substring_index(term, " ", highest) != term)
+
+
+def _terms_of_rows(df: DataFrame, grams: Column) -> DataFrame:
+    """(term, first) rows: each n-gram of a row, and whether it is the row's first of its kind.
+
+    A row sorts its own terms, so documents and occurrences come out of one combined shuffle by term.
     """
-    n_docs = df.agg(F.count(F.lit(1))).scalar()
-    ordered = compute_once(df.select(grams), _terms=F.sort_array(grams))
+    ordered = compute_once(df, _terms=F.sort_array(grams))
     terms = F.col("_terms")
     previous = F.slice(F.concat(F.array(F.lit(None).cast("string")), terms), F.lit(1), F.size(terms))
     cells = F.zip_with(terms, previous, lambda term, last: F.struct(
@@ -106,12 +119,61 @@ def select_vocabulary(
     ))
     # The outer form keeps Spark from testing the size of the array beforehand, which would build
     # it twice.
-    counts = ordered.select(F.inline_outer(cells)).where("term IS NOT NULL").groupBy("term").agg(
-        F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df")
-    )
+    return ordered.select(F.inline_outer(cells)).where("term IS NOT NULL")
+
+
+def _counted(terms: DataFrame, min_df: int) -> DataFrame:
+    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df"))
+    return counts.where(F.col("df") >= min_df)
+
+
+def _frequent_terms(df: DataFrame, grams: str, min_df: int, highest: int) -> DataFrame:
+    """``(term, tf, df)`` of the terms in at least ``min_df`` rows, level by level.
+
+    An n-gram is in no more rows than either of the two shorter ones it starts and ends with, so
+    beyond the shortest order only n-grams whose two parts may be frequent are shuffled. A Bloom
+    filter of the frequent ones (8 MB at most) tells that in the scan; what it lets through by
+    mistake is counted and dropped like any other, so the result is exact. N-grams longer than
+    ``highest`` words are counted with the words.
+    """
+    orders = range(1, highest + 1)
+    # A column per order: texts are cut once, a pass reads its own column only.
+    split = {f"_{n}": F.filter(grams, _level_test(n, highest)) for n in orders}
+    rows = stage(df.select(grams).select(*(c.alias(name) for name, c in split.items())), "grams")
+    levels, known = [], None
+    for order in orders:
+        terms = _terms_of_rows(rows.select(f"_{order}"), F.col(f"_{order}"))
+        if known is not None:
+            filter_row, words = known
+            for part in (order - 1, 1 - order):
+                terms = terms.where(may_hold(filter_row, words, F.substring_index("term", " ", part)))
+        level = stage(_counted(terms, min_df), f"terms-{order}")
+        levels.append(level)
+        if order == highest:
+            break
+        own = level.where(_has_order(F.col("term"), order))
+        met = F.exists(f"_{order}", _order_test(order))
+        # Without a single n-gram of this order nothing is known about longer ones.
+        if known is not None or not own.isEmpty() or not rows.where(met).isEmpty():
+            known = bloom_filter(own, "term")
+    return reduce(DataFrame.unionByName, levels)
+
+
+def select_vocabulary(
+    df: DataFrame, grams: str = "grams", settings: Settings = Settings()
+) -> DataFrame:
+    """Terms in ``min_df`` rows to a ``max_df`` share of rows, the most frequent first.
+
+    ``grams`` holds the n-grams of a row from some order upwards, as ``tokenize_ngrams`` makes them.
+    """
+    n_docs = df.agg(F.count(F.lit(1))).scalar()
+    if settings.min_df > 1 and settings.ngram_max > 1:
+        counts = _frequent_terms(df, grams, settings.min_df, settings.ngram_max)
+    else:
+        counts = _counted(_terms_of_rows(df.select(grams), F.col(grams)), settings.min_df)
     kept = (
         counts.withColumn("n_docs", n_docs)
-        .where((F.col("df") >= settings.min_df) & (F.col("df") <= F.col("n_docs") * settings.max_df))
+        .where(F.col("df") <= F.col("n_docs") * settings.max_df)
         .orderBy(F.desc("tf"), "term").limit(settings.vocabulary_size)
     )
     # At most vocabulary_size rows from here on.
@@ -217,7 +279,7 @@ def _gram_times(weights: DataFrame, panels: Sequence[np.ndarray]) -> DataFrame:
     size, chunk, n_terms = _BLOCK, _CHUNK, len(panels[0])
 
     def adder(number: int, shared):
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             factor = shared.value
             sums: dict[int, np.ndarray] = {}
             for batch in batches:
@@ -245,7 +307,7 @@ def _gram_times(weights: DataFrame, panels: Sequence[np.ndarray]) -> DataFrame:
                     "values": pa.array([total.ravel()], pa.list_(pa.float64())),
                 })
 
-        return partial
+        return add
 
     def decompose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

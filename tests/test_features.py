@@ -58,6 +58,31 @@ def test_vocabulary_limits(spark, corpus):
     assert sorted(r["term"] for r in top) == ["aa", "bb", "cc"]
 
 
+@pytest.mark.parametrize("low", [1, 2])
+def test_vocabulary_level_by_level(spark, low, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 25), p=np.arange(12, 0, -1) / 78)) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, "", "solo"]], "t string")
+    rows = X.tokenize_ngrams(df, "t", "grams", low, 3)
+    settings = Settings(min_df=7, max_df=0.5, vocabulary_size=10_000)
+    counted = {}
+    for row in rows.collect():
+        for term in set(row["grams"]):
+            tf, df_ = counted.get(term, (0, 0))
+            counted[term] = tf + row["grams"].count(term), df_ + 1
+    wanted = {t: c for t, c in counted.items() if 7 <= c[1] <= 0.5 * 303}
+    assert {t.count(" ") for t in wanted} == {0, 1, 2} - set(range(low - 1))
+    for bits in (16, 1):  # a filter that lets much through by mistake gives the same
+        monkeypatch.setattr("jobmine.operators.suspects.BITS_PER_KEY", bits)
+        monkeypatch.setattr("jobmine.operators.suspects.MIN_WORDS", 1)
+        found = {r["term"]: (r["tf"], r["df"]) for r in X.select_vocabulary(rows, settings=settings).collect()}
+        assert found == wanted
+    longer = Settings(min_df=7, max_df=0.5, ngram_max=2)  # longer n-grams than the setting names
+    found = {r["term"]: (r["tf"], r["df"]) for r in X.select_vocabulary(rows, settings=longer).collect()}
+    assert found == wanted
+
+
 def test_empty_vocabulary(spark, corpus):
     rows = X.tokenize_ngrams(corpus, "text", "grams", 1, 1)
     model = X.TfidfModel.fit(rows, settings=Settings(min_df=99))
