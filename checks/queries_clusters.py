@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from checks.registry import SQL, check, longs, rounded
@@ -309,6 +310,42 @@ def features_written_and_read(spark, sf_dir):
     return read.select("id", "cluster_id", F.size("features").cast("long").alias("width"))
 
 
+@check("feature_set_versions", """SELECT vec_id AS id, label AS cluster_id, round(CAST(embedding[1] AS DOUBLE), 6) AS first, 2::BIGINT AS version FROM embeddings
+UNION ALL SELECT vec_id, label, round(CAST(embedding[2] AS DOUBLE), 6), 1::BIGINT FROM embeddings WHERE label > 4""")
+def feature_set_versions(spark, sf_dir):
+    """Two versions of a bucketed feature set; the older one holds other rows and vectors."""
+    rows, path = points(spark, sf_dir), scratch(spark, "versions")
+    turned = rows.where("cluster_id > 4").withColumn("features", F.reverse("features"))
+    sources.write_feature_set(turned.select("id", "features"), turned.select("id", "cluster_id"), path)
+    sources.write_feature_set(rows.select("id", "features"), rows.select("id", "cluster_id"), path)
+    older, newer = sources.read_feature_set(spark, path, 64, version=1), sources.read_feature_set(spark, path, 64)
+    picked = [
+        df.select("id", "cluster_id", F.get("features", F.lit(at)).alias("first"), F.lit(n).cast("long").alias("version"))
+        for df, at, n in ((newer, 0, 2), (older, 62, 1))
+    ]
+    return rounded(picked[0].unionByName(picked[1]))
+
+
+@check("model_round_trip", f"""{VOCAB_SQL}, {POINTS_SQL.removeprefix('WITH ').rstrip().rstrip(',')},
+means AS (SELECT cluster_id, avg(x[1]) AS value FROM pts GROUP BY 1)
+SELECT 'vocab' AS part, term_idx AS place, term, round(idf, 6) AS value FROM vocab
+UNION ALL SELECT 'centers', row_number() OVER (ORDER BY cluster_id) - 1, NULL, round(value, 6) FROM means""")
+def model_round_trip(spark, sf_dir):
+    """Vocabulary and centers saved as one version over an older one and loaded again."""
+    tfidf, path = X.TfidfModel.fit(tokenized(spark, sf_dir)), scratch(spark, "models")
+    _, centers, _ = clustering.collect_centers(clustering.cluster_means(points(spark, sf_dir)), "cluster_id")
+    factor = np.ones((len(tfidf.terms), 1))
+    for each in (centers[:1], centers):
+        features = train_plan.FeatureModel(tfidf, factor, 1, 3)
+        train_plan.save_models(spark, path, features, clustering.ClusterModel(each))
+    loaded, model = train_plan.load_models(spark, path)
+    vocab = loaded.tfidf.table(spark).select(F.lit("vocab").alias("part"), F.col("term_idx").alias("place"), "term", F.col("idf").alias("value"))
+    places = model.table(spark).select(
+        F.lit("centers"), "cluster_id", F.lit(None).cast("string"), F.get("center", F.lit(0))
+    )
+    return longs(rounded(vocab.union(places)), "place")
+
+
 # A table of model scores, one per return flag, line status and line number.
 METRICS = {
     "silhouette": "avg(l_discount)", "davies_bouldin": "avg(l_tax) * 10",

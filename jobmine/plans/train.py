@@ -12,6 +12,7 @@ from jobmine.config import CLUSTER_LABELS_13, METADATA_COLUMNS, Settings
 from jobmine.operators import cleaning, cluster_profiles, clustering, gates, scoring
 from jobmine.operators import text_features as X
 from jobmine.session import stage
+from jobmine.sources import store
 
 
 @dataclass(frozen=True)
@@ -39,23 +40,43 @@ class FeatureModel:
         found = clustering.assign_cluster(self.low(X.svd_transform(kept, self.factor)), centers)
         return found.select("cluster_id", F.col("_terms").alias("term_idx"), F.col("_weights").alias("weight"))
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        self.tfidf.table(spark).write.mode("overwrite").parquet(f"{path}/vocab")
-        X.factor_table(spark, self.factor).write.mode("overwrite").parquet(f"{path}/svd_v")
+    def tables(self, spark: SparkSession) -> dict[str, DataFrame]:
         flags = [(self.low_dim, self.ngram_max, self.drop_first)]
-        spark.createDataFrame(flags, "low_dim int, ngram_max int, drop_first boolean").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/settings")
+        return {
+            "vocab": self.tfidf.table(spark), "svd_v": X.factor_table(spark, self.factor),
+            "settings": spark.createDataFrame(flags, "low_dim int, ngram_max int, drop_first boolean"),
+        }
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> FeatureModel:
-        flags = spark.read.parquet(f"{path}/settings").first()
+    def from_tables(cls, tables: dict[str, DataFrame]) -> FeatureModel:
+        flags = tables["settings"].first()
         return cls(
-            X.TfidfModel.from_table(spark.read.parquet(f"{path}/vocab")),
-            X.factor_from_table(spark.read.parquet(f"{path}/svd_v")),
+            X.TfidfModel.from_table(tables["vocab"]), X.factor_from_table(tables["svd_v"]),
             flags["low_dim"], flags["ngram_max"], flags["drop_first"],
         )
 
+    def save(self, spark: SparkSession, path: str) -> int:
+        """Add the next version; a crash before its manifest leaves the version before in force."""
+        return store.write_version(self.tables(spark), path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str, version: int | None = None) -> FeatureModel:
+        return cls.from_tables(store.read_version(spark, path, version))
+
+
+def save_models(
+    spark: SparkSession, path: str, features: FeatureModel, model: clustering.ClusterModel
+) -> int:
+    """Feature model and centers as one version, so that neither is ever read with another's twin."""
+    return store.write_version({**features.tables(spark), "centers": model.table(spark)}, path)
+
+
+def load_models(
+    spark: SparkSession, path: str, version: int | None = None
+) -> tuple[FeatureModel, clustering.ClusterModel]:
+    tables = store.read_version(spark, path, version)
+    return FeatureModel.from_tables(tables), clustering.ClusterModel.from_table(tables["centers"])
+
 
 @dataclass(frozen=True)
 class Trained:

@@ -12,6 +12,7 @@ from jobmine.config import TEXT_COLUMNS
 from jobmine.functions.text import UNKNOWN
 from jobmine.operators import gates
 from jobmine.session import stage
+from jobmine.sources import store
 
 MB = 1 << 20
 # Long texts hold line breaks, quotes, commas and blanks at their ends; all are kept.
@@ -129,3 +130,20 @@ def load_feature_set(
     metadata = spark.read.parquet(metadata_path)
     gates.require(gates.features_sound(features, metadata, width, id_col))
     return metadata.join(features, id_col)
+
+
+def write_feature_set(
+    features: DataFrame, metadata: DataFrame, path: str, id_col: str = "id", buckets: int | None = None
+) -> int:
+    """Features and metadata as one version, bucketed alike by id. Returns the version."""
+    return store.write_version({"features": features, "metadata": metadata}, path, id_col, buckets)
+
+
+def read_feature_set(
+    spark: SparkSession, path: str, width: int, id_col: str = "id", version: int | None = None
+) -> DataFrame:
+    """Features joined to their metadata bucket by bucket: rows are not shuffled. Raises like
+    ``load_feature_set``."""
+    parts = store.read_version(spark, path, version)
+    gates.require(gates.features_sound(parts["features"], parts["metadata"], width, id_col))
+    return parts["metadata"].join(parts["features"], id_col)

@@ -3,14 +3,14 @@ from pyspark.sql import functions as F
 
 from checks.tables import postings
 from jobmine.config import TEXT_COLUMNS, Settings
-from jobmine.operators import clustering, gates
+from jobmine.operators import gates
 from jobmine.operators import text_features as X
 from jobmine.operators import cleaning
 from jobmine.plans.feature_report import feature_report
 from jobmine.plans.prepare import prepare
 from jobmine.plans.profile_raw import profile_raw
 from jobmine.plans.score import score
-from jobmine.plans.train import FeatureModel, train
+from jobmine.plans.train import FeatureModel, load_models, save_models, train
 from jobmine.sources import tables
 from jobmine.streaming.score import score_stream
 
@@ -92,9 +92,9 @@ def test_best_of_the_grid(trained):
 
 def test_models_are_saved_and_score_new_rows(spark, trained, raw, tmp_path):
     trained.features.save(spark, str(tmp_path / "features"))
-    trained.model.table(spark).write.parquet(str(tmp_path / "centers"))
-    features = FeatureModel.load(spark, str(tmp_path / "features"))
-    model = clustering.ClusterModel.from_table(spark.read.parquet(str(tmp_path / "centers")))
+    assert FeatureModel.load(spark, str(tmp_path / "features")).tfidf == trained.features.tfidf
+    assert save_models(spark, str(tmp_path / "models"), trained.features, trained.model) == 1
+    features, model = load_models(spark, str(tmp_path / "models"))
     labels = trained.profiles.select("cluster_id", F.col("final_cluster_label").alias("cluster_label"))
     scored = score(raw, features, model, labels)
     gates.require(gates.clusters_labelled(scored, labels))
