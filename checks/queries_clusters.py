@@ -261,6 +261,27 @@ def silhouette(spark, sf_dir):
     return rounded(scoring.silhouette(sample_n(points(spark, sf_dir), 10_000, "id")))
 
 
+@check("weighted_silhouette", f"""{POINTS_SQL.replace('WITH', 'WITH RECURSIVE', 1)},
+groups AS (SELECT cluster_id, count(*) AS n, row_number() OVER (ORDER BY count(*), cluster_id) - 1 AS at, count(*) OVER () AS k FROM pts GROUP BY 1),
+fill AS (SELECT 0::BIGINT AS at, 300::BIGINT AS room UNION ALL
+  SELECT fill.at + 1, room - least(n, room // (k - fill.at)) FROM fill JOIN groups ON groups.at = fill.at),
+quotas AS (SELECT cluster_id, n, least(n, room // (k - fill.at)) AS quota FROM fill JOIN groups ON groups.at = fill.at),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY md5(concat('42:', id)), id) AS r FROM pts),
+sample AS (SELECT id, cluster_id, x FROM numbered JOIN quotas USING (cluster_id) WHERE r <= quota),
+pairs AS (SELECT a.id, a.cluster_id AS own, b.cluster_id AS other,
+  sum(sqrt(greatest({DISTANCE.format('a.x', 'b.x')}, 0))) AS total FROM sample a, sample b GROUP BY 1, 2, 3),
+means AS (SELECT id, own, max(CASE WHEN own = other THEN CASE WHEN quota > 1 THEN total / (quota - 1) END END) AS a,
+  min(CASE WHEN own <> other THEN total / quota END) AS b FROM pairs JOIN quotas ON other = cluster_id GROUP BY 1, 2),
+scores AS (SELECT own, CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END AS s FROM means),
+parts AS (SELECT own, avg(s) AS m, coalesce(var_samp(s), 0) AS v, count(*) AS drawn FROM scores GROUP BY 1),
+shares AS (SELECT m, v, drawn, n, n / (SELECT count(*) FROM pts)::DOUBLE AS w FROM parts JOIN quotas ON own = cluster_id)
+SELECT round(sum(w * m), 6) AS silhouette, round(sqrt(sum(w * w * (1 - drawn / n::DOUBLE) * v / drawn)), 6) AS standard_error,
+  sum(drawn)::BIGINT AS sample_rows, count(*) AS clusters FROM shares""")
+def weighted_silhouette(spark, sf_dir):
+    """The whole table's silhouette from 300 rows, as many of each cluster as there can be."""
+    return rounded(scoring.weighted_silhouette(points(spark, sf_dir), 300))
+
+
 @check("davies_bouldin", f"""{POINTS_SQL}, s AS (SELECT pts.cluster_id, avg(sqrt({DISTANCE.format('x', 'c')})) AS s, any_value(c) AS c
   FROM pts JOIN centers ON pts.cluster_id = centers.cluster_id GROUP BY 1),
 w AS (SELECT a.cluster_id, max((a.s + b.s) / sqrt({DISTANCE.format('a.c', 'b.c')})) AS w FROM s a, s b WHERE a.cluster_id <> b.cluster_id GROUP BY 1)

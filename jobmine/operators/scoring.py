@@ -12,8 +12,9 @@ from pyspark.sql.types import DoubleType
 
 from jobmine.functions.vectors import matrix, squared_distance_to, squared_distances
 from jobmine.operators import gates
-from jobmine.operators.clustering import cluster_means, collect_centers
-from jobmine.operators.ordered import sample_n
+from jobmine.operators.clustering import MAX_CLUSTERS, cluster_means, collect_centers
+from jobmine.operators.ordered import mark_drawn, sample_n
+from jobmine.session import stage
 
 # The silhouette compares every row of a sample with every other; the sample has a fixed size.
 MAX_SILHOUETTE_ROWS = 20_000
@@ -21,8 +22,8 @@ MAX_SILHOUETTE_BYTES = 256 * 1024 * 1024
 _BLOCK = 512
 
 
-def silhouette(sample: DataFrame, by: str = "cluster_id", col: str = "features") -> DataFrame:
-    """Mean Euclidean silhouette of a sample of fixed size.
+def _row_silhouettes(sample: DataFrame, by: str, col: str) -> DataFrame:
+    """(c, s): cluster and Euclidean silhouette of each row of a sample of fixed size.
 
     The sample (checked) is broadcast; every task compares its own rows with it and adds up the
     distances per cluster, so no pair of rows is ever a row. A lone member of a cluster scores 0.
@@ -63,7 +64,52 @@ def silhouette(sample: DataFrame, by: str = "cluster_id", col: str = "features")
             result[a:a + _BLOCK] = np.where(alone, 0.0, value)
         return pa.array(result)
 
-    return points.select(score(F.col("c"), F.col("x")).alias("s")).agg(F.avg("s").alias("silhouette"))
+    return points.select("c", score(F.col("c"), F.col("x")).alias("s"))
+
+
+def silhouette(sample: DataFrame, by: str = "cluster_id", col: str = "features") -> DataFrame:
+    """Mean Euclidean silhouette of a sample of fixed size. A lone member of a cluster scores 0."""
+    return _row_silhouettes(sample, by, col).agg(F.avg("s").alias("silhouette"))
+
+
+def equal_quotas(sizes: dict, rows: int) -> dict:
+    """Rows to draw per group: as equal as the sizes allow, ``rows`` in all if there are as many."""
+    quotas, left, open_groups = {}, rows, sorted(sizes, key=lambda g: (sizes[g], g))
+    for at, group in enumerate(open_groups):  # small groups first, what they lack goes to larger ones
+        quotas[group] = min(sizes[group], left // (len(open_groups) - at))
+        left -= quotas[group]
+    return quotas
+
+
+def weighted_silhouette(
+    df: DataFrame, rows: int = 10_000, by: str = "cluster_id", col: str = "features",
+    id_col: str = "id", seed: int = 42,
+) -> DataFrame:
+    """Silhouette of the whole table, estimated from a sample with a quota for every cluster.
+
+    A cluster of any size is in the sample, whole if it is small; clusters count by their full size.
+    One row: ``silhouette``, its ``standard_error`` from the spread within clusters (0 if every row
+    was drawn), ``sample_rows`` and ``clusters``. Raises for fewer than two rows per cluster; rows
+    without a cluster take no part.
+    """
+    known = df.where(F.col(by).isNotNull())
+    counted = known.groupBy(F.col(by).alias("c")).agg(F.count(F.lit(1)).alias("n")).take(MAX_CLUSTERS + 1)
+    if len(counted) > MAX_CLUSTERS or rows < 2 * len(counted):
+        raise ValueError("too many clusters for the sample")
+    sizes = {r["c"]: r["n"] for r in counted}
+    quotas = equal_quotas(sizes, rows)
+    drawn = mark_drawn(known.select(id_col, by, col), id_col, quotas, by, sizes, seed, "_drawn")
+    sample = stage(drawn.where("_drawn").select(by, col), "silhouette")
+    found = _row_silhouettes(sample, by, col).groupBy("c").agg(
+        F.avg("s").alias("mean"), F.var_samp("s").alias("spread"), F.count(F.lit(1)).alias("drawn")
+    )
+    size = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, n)])[F.col("c")]
+    share = size / sum(sizes.values())
+    error = share * share * (1 - F.col("drawn") / size) * F.coalesce("spread", F.lit(0.0)) / F.col("drawn")
+    return found.agg(
+        F.sum(share * F.col("mean")).alias("silhouette"), F.sqrt(F.sum(error)).alias("standard_error"),
+        F.sum("drawn").alias("sample_rows"), F.count(F.lit(1)).alias("clusters"),
+    )
 
 
 def _geometry(df: DataFrame, by: str, col: str) -> tuple[DataFrame, list, np.ndarray, np.ndarray]:

@@ -64,6 +64,32 @@ def test_silhouette_needs_a_sample_and_two_clusters(tiny, monkeypatch):
         scoring.silhouette(tiny)
 
 
+def test_equal_quotas():
+    assert scoring.equal_quotas({"a": 3, "b": 1000, "c": 20}, 100) == {"a": 3, "c": 20, "b": 77}
+    assert scoring.equal_quotas({"a": 3, "b": 4}, 100) == {"a": 3, "b": 4}
+    assert sum(scoring.equal_quotas(dict.fromkeys(range(7), 50), 100).values()) == 100
+
+
+def test_weighted_silhouette_of_small_clusters(spark):
+    rng = np.random.default_rng(11)
+    sizes = (6000, 2994, 6)  # a thousandth of the rows is near another cluster
+    centers = ((0, 0), (4, 0), (4, 1.5))
+    x = np.concatenate([rng.normal(c, 0.8, size=(n, 2)) for c, n in zip(centers, sizes, strict=True)])
+    rows = [(i, int(c), p.tolist()) for i, (c, p) in enumerate(zip(np.repeat(range(3), sizes), x, strict=True))]
+    rows.append((9999, None, [0.0, 0.0]))
+    df = spark.createDataFrame(rows, "id long, cluster_id int, features array<double>").repartition(4)
+    full = scoring.silhouette(df.where("cluster_id IS NOT NULL")).first()[0]
+    for seed in (1, 2):
+        found = scoring.weighted_silhouette(df, 600, seed=seed).first()
+        assert (found["sample_rows"], found["clusters"]) == (600, 3)
+        assert 0 < found["standard_error"] < 0.02
+        assert abs(found["silhouette"] - full) < 3 * found["standard_error"]
+    whole = scoring.weighted_silhouette(df, 20_000).first()
+    assert whole["silhouette"] == pytest.approx(full) and whole["standard_error"] == 0
+    with pytest.raises(ValueError, match="too many clusters"):
+        scoring.weighted_silhouette(df, 5)
+
+
 def test_balance(tiny):
     found = scoring.cluster_balance(tiny.where("id < 4")).first()
     assert (found["min_cluster_size"], found["max_cluster_size"]) == (1, 2)
