@@ -12,7 +12,9 @@ sequence, a linear one, and a quadratic one as attention has it.
 
 Defined cases: a null text is empty; an empty text takes no room (one row, bin_id and capacity
 null); rows that repeat an id are packed each on its own; equal lengths are ordered by id. Empty
-tables give empty results, other columns may have any names. Nothing is cut off or left out.
+tables give empty results, other columns may have any names. Nothing is cut off or left out. Bins
+depend on the ids and lengths alone, not on how the table is partitioned; a very long text is only
+counted, and its pieces are dealt one by one.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from jobmine.session import stage
 CAPACITIES = (256, 512, 1024, 2048, 4096)
 FIXED_COST = 128.0
 SQUARE_COST = 8192.0
+RUN_ROWS = 4_096  # copies of a row that are numbered together
 GROUP_ROWS = 2_000
 _SPACES = " \t\n\x0b\x0c\r"
 
@@ -101,18 +104,26 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     counted = narrow(docs, id_col, text_col).select(
         "doc_id", (word_count(F.col("text")) if length is None else length).cast("long").alias("n"))
     lengths = stage(counted, "lengths")
-    pieces = lengths.withColumn("row", F.monotonically_increasing_id()).select(
+    # Rows of one id and length are interchangeable: counted and numbered again, a few at a time, they
+    # get the same numbers however the table is partitioned.
+    alike = lengths.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("copies"))
+    runs = alike.select("doc_id", "n", "copies", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(RUN_ROWS).cast("long"))).alias("low"))
+    rows = runs.select("doc_id", "n", F.explode(
+        F.sequence("low", F.least(F.col("low") + RUN_ROWS, F.col("copies")) - 1)).alias("row"))
+    pieces = rows.select(
         "doc_id", "row", "n",
         F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(F.col("n") / largest) - 1, F.lit(0)))).alias("piece"),
     ).withColumn("start", F.col("piece") * largest).withColumn(
         "n_tokens", F.least(F.col("n") - F.col("start"), F.lit(largest)))
     total = lengths.agg(F.sum(F.ceil(F.col("n") / largest))).first()[0] or 0
     groups = max(1, -(-int(total) // group_rows))
-    group = F.pmod(F.xxhash64("row", "piece"), F.lit(groups))
-    dealt = pieces.where("n_tokens > 0").withColumn("grp", group).drop("n")
+    group = F.pmod(F.xxhash64("doc_id", "n", "row", "piece"), F.lit(groups))
+    dealt = pieces.where("n_tokens > 0").withColumn("grp", group)
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "doc_id", "row", "piece"], ascending=[False, True, True, True])
+        rows = rows.sort_values(
+            ["n_tokens", "doc_id", "n", "row", "piece"], ascending=[False, True, True, True, True])
         sizes = rows["n_tokens"].to_numpy(np.int64)
         bins, offsets, final = pack_sizes(sizes, capacities, fixed, square)
         tokens = np.bincount(bins, sizes).astype(np.int64)[bins]

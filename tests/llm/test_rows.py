@@ -80,6 +80,50 @@ def test_packing(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def test_packing_does_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN_ROWS", 7)  # copies are numbered in several runs
+    rows = [(i % 400 if i % 50 else None, " ".join(["w"] * (i * 37 % 90))) for i in range(900)]
+    rows += [(5, "a third of all")] * 300 + [(None, "rows alike")] * 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for n in (2, 7):
+        packed = packing.pack(docs.repartition(n, "text", "doc_id"), capacities=(16, 32, 64), group_rows=100)
+        found.append(sorted(map(tuple, packed.collect()), key=repr))
+    assert found[0] == found[1]
+    assert sum(r[2] == 0 for r in found[0]) == len(rows)
+    assert sum(r[3] for r in found[0]) == sum(len(t.split()) for _, t in rows)
+
+
+def _plain_packing(sizes, capacities):
+    """All prefixes of the permitted lengths, pieces by falling length, fullest bin first."""
+    outcomes = []
+    for longest in capacities:
+        permitted, bins = [c for c in capacities if c <= longest], []
+        if sizes and max(sizes) > longest:
+            continue
+        left = sum(sizes)
+        for size in sorted(sizes, reverse=True):
+            fitting = [b for b in bins if b[0] - b[1] >= size]
+            if fitting:
+                min(fitting, key=lambda b: b[0] - b[1])[1] += size
+            else:
+                best = min((c for c in permitted if c >= size), key=lambda c: packing.cost(c) / min(c, left))
+                bins.append([best, size])
+            left -= size
+        outcomes.append(sum(packing.cost(min(c for c in capacities if c >= used)) for _, used in bins))
+    return min(outcomes)
+
+
+def test_packing_costs_what_a_plain_version_costs(spark):
+    rng = np.random.default_rng(9)
+    for top in (12, 40, 64):
+        sizes = [int(n) for n in rng.integers(1, top + 1, 60)]
+        docs = spark.createDataFrame([(i, " ".join(["w"] * n)) for i, n in enumerate(sizes)], "doc_id long, text string")
+        found = packing.pack(docs, capacities=(16, 32, 64), group_rows=1000).collect()
+        total = sum({r["bin_id"]: packing.cost(r["capacity"]) for r in found}.values())
+        assert total == pytest.approx(_plain_packing(sizes, (16, 32, 64)))
+
+
 def test_packing_is_jointly_cheapest():
     sizes = np.array(sorted(np.random.default_rng(4).integers(1, 65, 200).tolist(), reverse=True))
     _, _, joint = packing.pack_sizes(sizes, (16, 32, 64), 8.0, 64.0)
