@@ -9,11 +9,11 @@ at worst, and the result is the same.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobmine.session import stage
+
 PROBES = 4
 BITS_PER_KEY = 16  # one row in 400 that is alone is a suspect
 MIN_WORDS = 1 << 6
@@ -32,11 +32,10 @@ def bloom_filter(repeated: DataFrame, key: str) -> tuple[DataFrame, int]:
     set_bits = repeated.select(F.explode(F.array(*_bits(F.col(key), words))).alias("bit"))
     word = F.shiftright("bit", 6).cast("int").alias("word")
     mask = F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("mask")
-    found = set_bits.groupBy(word).agg(mask).toArrow()  # at most a row per word
-    bits = np.zeros(words, np.int64)
-    bits[found.column("word").to_numpy()] = found.column("mask").to_numpy()
-    row = pa.ListArray.from_arrays(pa.array([0, words], pa.int32()), pa.array(bits))
-    return repeated.sparkSession.createDataFrame(pa.table({"bits": row})), words
+    found = set_bits.groupBy(word).agg(mask)
+    every = repeated.sparkSession.range(words).join(found, F.col("id") == F.col("word"), "left")
+    placed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0)).alias("mask"))))  # one per word
+    return stage(every.agg(F.transform(placed, lambda cell: cell["mask"]).alias("bits")), "filter"), words
 
 
 def may_hold(filter_row: DataFrame, words: int, key: Column) -> Column:
