@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobmine.llm.common import narrow, only_row
+from jobmine.operators.rows import compute_once
+from jobmine.operators.suspects import bloom_filter, may_hold
 from jobmine.session import stage, staging_dir
 
 BUCKETS = 32
@@ -69,14 +71,8 @@ def _batches(digests: DataFrame, batches: int) -> list[DataFrame]:
     return [*out, digests.where(rest)]
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2,
-                index: DigestIndex | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest.
-
-    Without a given index a new one is made in the shared folder. Ids of earlier batches in a given
-    index win over the ids of ``docs``. The last join moves ids and digests only, and adaptive
-    execution splits the rows of a digest that many documents share.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, batches: int, index: DigestIndex | None) -> tuple[DataFrame, DataFrame]:
+    """Written tables: doc_id and digest of each row, and digest, group_size and keep_id of each group."""
     spark = docs.sparkSession
     source = narrow(docs, id_col, text_col)
     digests = stage(source.select("doc_id", text_digest(F.col("text")).alias("digest")), "digests")
@@ -86,21 +82,43 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for batch in _batches(digests, batches):
         index.append(batch)
     sizes = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
-    groups = stage(sizes.join(index.rows(), "digest"), "digest-groups")
+    return digests, stage(sizes.join(index.rows(), "digest"), "digest-groups")
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2,
+                index: DigestIndex | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest.
+
+    Without a given index a new one is made in the shared folder. Ids of earlier batches in a given
+    index win over the ids of ``docs``. The last join moves ids and digests only, and adaptive
+    execution splits the rows of a digest that many documents share.
+    """
+    digests, groups = _grouped(docs, id_col, text_col, batches, index)
     return digests.join(groups, "digest").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"
     )
 
 
 def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
-    """The whole rows that stay, one per distinct text, with the columns of ``docs``."""
-    found = deduplicate(docs, id_col, text_col, batches)
-    staying = found.where("kept").select(F.col("digest").alias("_digest"), F.col("doc_id").alias("_keep_id")).distinct()
-    row = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    packed = docs.select(docs[id_col].alias("_id"), text_digest(docs[text_col]).alias("_text"), row.alias("_row"))
-    same = (packed["_text"] == staying["_digest"]) & packed["_id"].eqNullSafe(staying["_keep_id"])
-    one = packed.join(staying, same, "left_semi").groupBy("_text").agg(F.max("_row").alias("_row"))
-    return one.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    """The whole rows that stay, one per distinct text, with the columns of ``docs``.
+
+    A filter of the repeated digests tells in the scan which rows are surely alone; they pass as they
+    are. Only the others move: by digest and id, so that the rows of a text that many share are spread.
+    """
+    _, groups = _grouped(docs, id_col, text_col, batches, None)
+    bits, words = bloom_filter(groups.where("group_size > 1").select("digest"), "digest")
+    staying = groups.where(may_hold(bits, words, F.col("digest")))
+    staying = staying.select(F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep_id"))
+    row = [f"c{i}" for i in range(len(docs.columns))]
+    given = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, row, strict=True)])
+    at_id, at_text = row[docs.columns.index(id_col)], row[docs.columns.index(text_col)]
+    keyed = compute_once(given, _text=text_digest(F.col(at_text)))
+    suspect = may_hold(bits, words, F.col("_text"))
+    same = (F.col("_text") == F.col("_digest")) & F.col(at_id).eqNullSafe(F.col("_keep_id"))
+    kept = keyed.where(suspect).join(staying, same, "left_semi")
+    one = kept.groupBy("_text").agg(F.max(F.struct(*row)).alias("_row")).select("_row.*")
+    both = keyed.where(~suspect).select(*row).unionByName(one)
+    return both.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, row, strict=True)])
 
 
 def op7(docs: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ could be learned; ties go to the language that comes first by name; rows without
 nothing; repeated rows count as often as they occur. Whole texts are read, about a megabyte at a time
 (a longer text alone). The table of profiles has a fixed number of rows per language and is checked.
 
-``keep_known`` drops a row if its text has no letter, or if it scores far below what labelled texts of
-the predicted language score at its length. That bound is learned from every labelled row: a share of
+``keep_known`` drops a row if its text has no letter, if it shares no n-gram with any profile, or if it
+scores far below what labelled texts of the predicted language score at its length. That bound is learned from every labelled row: a share of
 a low quantile of the scores per language and length class. Where fewer than a hundred rows teach a
 class the nearest taught ones give the bound, and a text shorter than all taught classes is kept, as
 is every text with a letter when no language was learned. Empty tables give empty results, very long
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobmine.llm.arrow_text import slices
-from jobmine.llm.common import fold, narrow
+from jobmine.llm.common import fold, narrow, small_batches
 from jobmine.session import stage
 
 UNKNOWN = "und"
@@ -42,7 +42,8 @@ BOUND_SHARE = 0.5  # of the score that share stays under
 CLASS_ROWS = 100
 SCORE_STEPS = 1_000
 MAX_LANGUAGES = 2_000
-MERGE_AT = 1 << 20
+MERGE_AT = 1 << 20  # n-grams that a task holds, of all languages
+JUDGED_BYTES = 1 << 18
 _SEP = 1  # stands for any run of other characters
 
 
@@ -115,7 +116,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) partial counts of all n-grams of all texts; ``docs`` has text and lang."""
 
     def count(batches):
-        letters, held = _letters(), {}
+        letters, held, size = _letters(), {}, 0
 
         def flush(lang):
             grams, counts = _merged(held.pop(lang))
@@ -136,12 +137,17 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     if not letter.any():
                         continue
                     grams, counts = _runs(keys)
-                    parts = held.setdefault(lang, [])
-                    parts.append((_spelled(grams, alphabet, bits), counts.astype(np.int64)))
-                    if sum(len(p[0]) for p in parts) > MERGE_AT:
-                        parts[:] = [_merged(parts)]
-                        if len(parts[0][0]) > MERGE_AT // 2:
-                            yield from flush(lang)
+                    held.setdefault(lang, []).append((_spelled(grams, alphabet, bits), counts.astype(np.int64)))
+                    size += len(grams)
+                    if size > MERGE_AT:
+                        for name in held:
+                            held[name] = [_merged(held[name])]
+                        sizes = sorted((len(parts[0][0]), name) for name, parts in held.items())
+                        size = sum(n for n, _ in sizes)
+                        while size > MERGE_AT // 2:
+                            n, name = sizes.pop()
+                            size -= n
+                            yield from flush(name)
         for lang in list(held):
             yield from flush(lang)
 
@@ -156,7 +162,8 @@ def learn(docs: DataFrame, size: int = PROFILE_SIZE) -> Profiles:
     first = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
     ranked = first.where(F.col("r") <= size).withColumn(
         "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)) - 1)
-    table = stage(ranked.where(F.col("rank") < size).select("lang", "gram", "rank"), "language-profiles")
+    with small_batches(docs.sparkSession):
+        table = stage(ranked.where(F.col("rank") < size).select("lang", "gram", "rank"), "language-profiles")
     if table.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: their profiles are too many to send to every task")
     by_lang: dict[str, list[tuple[int, int]]] = {}
@@ -201,7 +208,7 @@ def _judged(batches, profiles: Profiles, text_at: int):
     for batch in batches:
         texts = pc.fill_null(batch.column(text_at), "")
         found, scores = [], [np.zeros(0)]
-        for a, b, _, _ in slices(texts, rows=512):
+        for a, b, _, _ in slices(texts, JUDGED_BYTES, 512):
             part, score = _judge(texts.slice(a, b - a), letters, profiles)
             found += part
             scores.append(score)
@@ -253,8 +260,8 @@ def _bound(bounds: dict[int, float], at: int) -> float:
 def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The whole rows whose text has a letter and scores as texts of its language do. Each text is
     judged once; the rows are written with their scores, from which the bounds are learned."""
-    text = F.coalesce(docs[text_col], F.lit(""))
     if not profiles.languages:
+        text = F.coalesce(docs[text_col], F.lit(""))
         return docs.where(F.regexp_like(text, F.lit(r"\p{L}")))
     row = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)])
     found = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -266,11 +273,12 @@ def keep_known(docs: DataFrame, profiles: Profiles, text_col: str = "text", lang
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores)],
                                              [*batch.schema.names, "lang_pred", "score"])
 
-    judged = stage(given.mapInArrow(judge, T.StructType([*row.fields, *found])).withColumn(
-        "class", _length_class(F.coalesce(F.col(f"c{text_at}"), F.lit("")))), "judged")
+    length = _length_class(F.coalesce(F.col(f"c{text_at}"), F.lit("")))
+    with small_batches(docs.sparkSession):
+        judged = stage(given.mapInArrow(judge, T.StructType([*row.fields, *found])).withColumn("class", length), "judged")
     bounds = score_bounds(judged.select(F.col(f"c{lang_at}").alias("lang"), "lang_pred", "score", "class"))
     cells = [(lang, at, _bound(taught, at)) for lang, taught in bounds.items() for at in range(32)]
-    kept = judged.where(F.col("lang_pred") != UNKNOWN)
+    kept = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0))
     if cells:  # a number per language and power of two
         table = docs.sparkSession.createDataFrame(cells, "lang_pred string, class int, bound double")
         kept = kept.join(F.broadcast(table), ["lang_pred", "class"], "left").where("score >= coalesce(bound, 0)")

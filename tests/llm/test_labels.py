@@ -114,3 +114,13 @@ def test_statistics_are_finite():
     (_, _, data, bounds), = slices(texts)
     x = quality.statistics(data, bounds)
     assert x.shape == (6, len(quality.FEATURES)) and np.isfinite(x).all()
+
+
+def test_profiles_do_not_depend_on_the_memory_of_a_task(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang")
+    whole = language_id.learn(docs)
+    monkeypatch.setattr(language_id, "MERGE_AT", 500)
+    few = language_id.learn(docs)
+    assert whole.languages == few.languages
+    for a, b in zip([*whole.grams, *whole.ranks], [*few.grams, *few.ranks], strict=True):
+        assert (a == b).all()

@@ -38,6 +38,21 @@ def test_exact_dedup_edge_cases(spark):
     assert exact_dedup.op7(docs.limit(0)).count() == 0 and exact_dedup.survivors(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("words", [None, 1])
+def test_survivors_whatever_the_filter(spark, monkeypatch, words):
+    if words:  # a full filter: every row is a suspect
+        monkeypatch.setattr("jobmine.operators.suspects.MIN_WORDS", words)
+        monkeypatch.setattr("jobmine.operators.suspects.MAX_WORDS", words)
+    long = "word " * 300_000
+    rows = [(i, f"text {i % 211}" if i % 3 else "hot", i) for i in range(700)] + [(None, "hot", 1), (700, long, 2), (701, long, 3)]
+    docs = frame(spark, rows, "doc_id long, text string, _text int").repartition(5)
+    best = {}
+    for i, text, _ in rows:
+        best[text] = max(best.get(text, -1), -1 if i is None else i)
+    kept = exact_dedup.survivors(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted((i, t) for t, i in best.items())
+
+
 def test_digest_index_persists(spark, tmp_path):
     path = str(tmp_path / "index")
     old = frame(spark, [(7, "x"), (8, "y")])
