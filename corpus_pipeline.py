@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobmine.llm import decontamination, exact_dedup, language_id, near_dedup, packing
-from jobmine.llm.common import matching
+from jobmine.llm.common import matching, small_batches
 from jobmine.session import stage, staging_dir
 
 SHINGLE = 5
@@ -36,8 +36,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_dedup.near_duplicates(docs, shingle=SHINGLE, percent=PERCENT)
-    kept = stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-kept")
+    with small_batches(spark):
+        found = near_dedup.near_duplicates(docs, shingle=SHINGLE, percent=PERCENT)
+        kept = stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), "near-kept")
     return matching(docs, kept, "left_semi")
 
 

@@ -8,7 +8,7 @@ largest possible one.
 
 Defined cases: texts that are null or without a letter get ``und`` and 0, as do all texts if nothing
 could be learned; ties go to the language that comes first by name; rows without a language teach
-nothing; repeated rows count as often as they occur. Whole texts are read, about a megabyte at a time
+nothing; repeated rows count as often as they occur. Whole texts are read, a quarter megabyte at a time
 (a longer text alone). The table of profiles has a fixed number of rows per language and is checked.
 
 ``keep_known`` drops a row if its text has no letter, if it shares no n-gram with any profile, or if it
@@ -42,8 +42,8 @@ BOUND_SHARE = 0.5  # of the score that share stays under
 CLASS_ROWS = 100
 SCORE_STEPS = 1_000
 MAX_LANGUAGES = 2_000
-MERGE_AT = 1 << 20  # n-grams that a task holds, of all languages
-JUDGED_BYTES = 1 << 18
+MERGE_AT = 1 << 19  # n-grams that a task holds, of all languages
+SLICE_BYTES = 1 << 18
 _SEP = 1  # stands for any run of other characters
 
 
@@ -128,7 +128,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             texts, langs = batch.column("text"), batch.column("lang")
-            for a, b, _, _ in slices(texts):
+            for a, b, _, _ in slices(texts, SLICE_BYTES):
                 own = langs.slice(a, b - a)
                 for lang in own.unique().to_pylist():
                     part = texts.slice(a, b - a).filter(pc.equal(own, lang))
@@ -208,7 +208,7 @@ def _judged(batches, profiles: Profiles, text_at: int):
     for batch in batches:
         texts = pc.fill_null(batch.column(text_at), "")
         found, scores = [], [np.zeros(0)]
-        for a, b, _, _ in slices(texts, JUDGED_BYTES, 512):
+        for a, b, _, _ in slices(texts, SLICE_BYTES, 512):
             part, score = _judge(texts.slice(a, b - a), letters, profiles)
             found += part
             scores.append(score)
