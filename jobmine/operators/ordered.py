@@ -2,9 +2,15 @@
 
 Exact percentiles and running totals need a global order. A window without partitions would sort
 the whole column in one task, and the built-in ``percentile`` keeps all distinct values of a group
-in one hash map. Here values are first counted (map-side combined, so a frequent value costs one
-row per task), then cut into buckets of about equal size; a bucket is ordered by one task and a
-small table of bucket totals supplies the offset.
+in one hash map.
+
+Quantiles take two narrow passes. A mergeable sketch per group gives two values between which each
+share lies; then rows are counted per value between such a pair and per gap outside of all pairs
+(map-side combined), so that only values next to a share are shuffled. The counts are exact, so they
+also tell whether a sketch missed; such a group is counted whole.
+
+Running totals count all values, cut them into buckets of about equal size and order a bucket in one
+task; a small table of bucket totals supplies the offset.
 """
 
 from __future__ import annotations
@@ -22,6 +28,9 @@ BUCKETS = 256
 _STEP = 16  # bounds are searched in two steps of 16
 # So many narrow rows may be ordered by one task.
 KEYS_PER_TASK = 1_000_000
+ACCURACY = 10_000
+MARGIN = 3 / ACCURACY  # on each side of a share: three times what the sketch may be off
+WHOLE_ROWS = 10_000  # a group of at most so many rows is between its least and its largest value
 HEX_DIGITS = 3
 KEY_DIGITS = 32
 _ROW_BITS = 33  # of a number by monotonically_increasing_id, below the partition's number
@@ -56,12 +65,6 @@ def _bounds(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame | list[fl
     return near
 
 
-def _fits_one_task(df: DataFrame, value: str, by: Sequence[str]) -> bool:
-    """Whether the largest group, counted, is small."""
-    sizes = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
-    return (sizes.agg(F.max("_size")).first()[0] or 0) <= KEYS_PER_TASK
-
-
 def running_totals(
     df: DataFrame, value: str, sums: dict[str, Column], by: Sequence[str] = ()
 ) -> DataFrame:
@@ -77,12 +80,6 @@ def running_totals(
     def before(name: str, window) -> Column:
         return F.coalesce(F.sum(name).over(window.rowsBetween(*smaller)), F.lit(0))
 
-    if _fits_one_task(df, value, by):
-        return values.select(
-            *by, value, *sums,
-            *[before(s, group.orderBy(value)).alias(f"{s}_before") for s in sums],
-            *[F.sum(s).over(group).alias(f"{s}_all") for s in sums],
-        )
     bounds = _bounds(df, value, by)
     if by:
         match = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
@@ -90,7 +87,7 @@ def running_totals(
             *by, value, *sums, _bucket(F.col(value), F.col("_bounds")).alias("_bucket")
         )
     else:
-        cuts = F.expr(f"array({', '.join(f'{float(b)!r}D' for b in bounds)})")
+        cuts = F.array(*[F.lit(float(b)) for b in bounds]).cast("array<double>")
         located = values.withColumn("_bucket", _bucket(F.col(value), cuts))
     keys = [*by, "_bucket"]
     buckets = located.groupBy(*keys).agg(*[F.sum(s).alias(f"_total_{s}") for s in sums])
@@ -108,37 +105,111 @@ def running_totals(
     )
 
 
-def quantiles(
-    df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = ()
-) -> DataFrame:
-    """Exact linearly interpolated quantiles: per group ``n`` and the array ``q``; NaN is null."""
-    by = list(by)
-    numeric = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
-    if _fits_one_task(numeric, "_v", by):
-        return numeric.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile("_v", [float(s) for s in shares]).alias("q")
-        )
-    ranked = running_totals(numeric, "_v", {"_n": F.count(F.lit(1))}, by)
-    ranked = ranked.withColumnRenamed("_n_all", "n")
+def _fixed(df: DataFrame) -> DataFrame:
+    """A row per group, computed once: few are kept by the driver, many are written."""
+    near = small_side(df)
+    return stage(df, "per-group") if near is df else near
+
+
+def _brackets(numeric: DataFrame, shares: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Per group the number of rows and, for rising shares, values below and above each, by a sketch."""
+    ends = [min(max(s + side * MARGIN, 0.0), 1.0) for s in shares for side in (-1, 1)]
+    found = numeric.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_v").alias("_least"), F.max("_v").alias("_most"),
+        F.percentile_approx("_v", ends, ACCURACY).alias("_ends"),
+    )
+    few = F.col("_size") <= WHOLE_ROWS
+
+    def end(i: int, outer: str) -> Column:
+        whole = F.lit(ends[i] in (0.0, 1.0)) | few
+        return F.when(whole, F.col(outer)).otherwise(F.col("_ends")[i])
 
-    def at(rank: Column) -> Column:
-        held = (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
-        return F.max(F.when(held, F.col("_v")))
+    pairs = range(0, len(ends), 2)
+    return _fixed(found.select(
+        *[f"_of_{c}" for c in by], "_size", F.array(*[end(i, "_least") for i in pairs]).alias("_low"),
+        F.array(*[end(i + 1, "_most") for i in pairs]).alias("_high"),
+    ))
 
-    columns = []
+
+def _cells(numeric: DataFrame, brackets: DataFrame, count: int, by: Sequence[str]) -> DataFrame:
+    """Rows counted per value within a bracket and per gap outside of all: ``_n``, the largest value
+    ``_at`` and ``_open`` rows of gaps. Cells of a group are in the order of ``_at``."""
+    if by:
+        match = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+        rows, low, high = numeric.join(brackets, match), F.col("_low"), F.col("_high")
+        lows, highs = [low[i] for i in range(count)], [high[i] for i in range(count)]
+    else:
+        found = brackets.first()
+        rows, lows, highs = numeric, [F.lit(v) for v in found["_low"]], [F.lit(v) for v in found["_high"]]
+    value, within, passed = F.col("_v"), F.lit(False), F.lit(0)
+    for low, high in zip(lows, highs, strict=True):
+        within = within | ((value >= low) & (value <= high))
+        passed = passed + F.when(value > high, 1).otherwise(0)
+    told = rows.select(*by, "_v", within.alias("_within"), passed.alias("_passed"))
+    held, gap = F.when(F.col("_within"), value), F.when(~F.col("_within"), F.col("_passed"))
+    cells = told.groupBy(*by, held.alias("_held"), gap.alias("_gap")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_v").alias("_at"))
+    return cells.select(*by, "_at", "_n", F.when(F.col("_held").isNull(), F.col("_n")).otherwise(0).alias("_open"))
+
+
+def _at_shares(ranked: DataFrame, shares: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Per group ``n``, the quantiles ``q`` and whether one ``_missed`` its bracket. ``ranked`` has
+    ``_at``, ``_n``, ``_n_before``, ``_n_all`` and ``_open``."""
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
+
+    columns, missed = [], F.lit(False)
     for i, share in enumerate(shares):
-        position = F.lit(float(share)) * (F.col("n") - 1)
-        columns += [at(F.floor(position)).alias(f"_lo{i}"), at(F.ceil(position)).alias(f"_hi{i}")]
-    found = ranked.groupBy(*by).agg(F.max("n").alias("n"), *columns)
+        position = F.lit(float(share)) * (F.col("_n_all") - 1)
+        for name, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            columns.append(F.max(F.when(holds(rank), F.col("_at"))).alias(f"_{name}{i}"))
+            missed = missed | (holds(rank) & (F.col("_open") > 0))
+    found = ranked.groupBy(*by).agg(
+        F.coalesce(F.max("_n_all"), F.lit(0)).alias("n"), F.coalesce(F.max(missed), F.lit(False)).alias("_missed"), *columns)
 
     def between(i: int) -> Column:
         position = F.lit(float(shares[i])) * (F.col("n") - 1)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        # As ``percentile`` weighs them, so that both ways agree to the last digit.
+        # As ``percentile`` weighs them, so that results equal its to the last digit.
         weighed = (F.ceil(position) - position) * low + (position - F.floor(position)) * high
         return F.when(low == high, low).otherwise(weighed)
 
-    return found.select(*by, "n", F.array(*[between(i) for i in range(len(shares))]).alias("q"))
+    q = F.when(F.col("n") > 0, F.array(*[between(i) for i in range(len(shares))]))
+    return found.select(*by, "n", q.alias("q"), "_missed")
+
+
+def quantiles(
+    df: DataFrame, value: str, shares: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """Exact linearly interpolated quantiles: per group ``n`` and the array ``q``; NaN is null.
+
+    Without groups an empty table gives one row with ``n`` 0 and a null ``q``. Runs when called.
+    """
+    by = list(by)
+    numeric = df.select(*by, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
+    rising = sorted({float(s) for s in shares})
+    brackets = _brackets(numeric, rising, by)
+    cells = _cells(numeric, brackets, len(rising), by)
+    largest = brackets.agg(F.max("_size")).first()[0] or 0
+    if largest * 2 * MARGIN * len(rising) <= KEYS_PER_TASK:  # of one group, values in brackets
+        group = Window.partitionBy(*by)
+        smaller = group.orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = cells.withColumns({
+            "_n_before": F.coalesce(F.sum("_n").over(smaller), F.lit(0)), "_n_all": F.sum("_n").over(group)})
+    else:
+        ranked = running_totals(stage(cells, "cells"), "_at", {"_n": F.sum("_n"), "_open": F.sum("_open")}, by)
+    found = _fixed(_at_shares(ranked, shares, by))
+    missed = found.where("_missed")
+    if missed.isEmpty():
+        return found.drop("_missed")
+    match = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+    rest = numeric
+    if by:
+        rest = numeric.join(missed.select(*[F.col(c).alias(f"_of_{c}") for c in by]), match, "left_semi")
+    whole = running_totals(rest.withColumnRenamed("_v", "_at"), "_at", {"_n": F.count(F.lit(1))}, by)
+    again = _fixed(_at_shares(whole.withColumn("_open", F.lit(0)), shares, by))
+    return found.where("NOT _missed").unionByName(again).drop("_missed")
 
 
 def hash_key(id_col: str, seed: int) -> Column:

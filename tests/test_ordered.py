@@ -44,11 +44,38 @@ def test_group_quantiles_equal_numpy(skewed, limit):
         assert list(found["q"]) == pytest.approx(list(np.quantile(values, SHARES)))
 
 
-def test_both_ways_agree_to_the_last_digit(skewed, monkeypatch):
-    shares = [0.01, 0.1, 0.25, 0.37, 0.5, 0.9, 0.99]
-    built_in = ordered.quantiles(skewed, "v", shares).first()["q"]
-    monkeypatch.setattr(ordered, "KEYS_PER_TASK", 10)
-    assert ordered.quantiles(skewed, "v", shares).first()["q"] == built_in
+@pytest.mark.parametrize("kind", ["brackets", "whole groups", "ordered by many tasks", "sketch that misses"])
+def test_quantiles_equal_percentile_to_the_last_digit(spark, monkeypatch, kind):
+    """A third of the rows share a value, one group is small, one has a null name; shares in no order."""
+    if kind != "whole groups":
+        monkeypatch.setattr(ordered, "WHOLE_ROWS", 50)
+        monkeypatch.setattr(ordered, "ACCURACY", 100)
+        monkeypatch.setattr(ordered, "MARGIN", 0.0 if kind == "sketch that misses" else 0.03)
+    if kind == "ordered by many tasks":
+        monkeypatch.setattr(ordered, "KEYS_PER_TASK", 10)
+    table = spark.range(0, 9_000, 1, 7).selectExpr(
+        "IF(id % 3 = 0, 5D, pmod(xxhash64(id), 100000) / 7D) AS v",
+        "CASE WHEN id < 40 THEN 'small' WHEN id % 4 > 0 THEN 'large' END AS g")
+    table = table.unionByName(spark.sql("SELECT * FROM VALUES (double('inf'), 'large'), (double('-inf'), 'large'), (double('nan'), 'large'), (NULL, 'none') AS t(v, g)"))
+    shares = [0.99, 0.01, 0.1, 0.25, 0.37, 0.5, 0.9, 0.0, 1.0, 0.5]
+    for by in ([], ["g"]):
+        clean = table.where("NOT isnan(v) AND v IS NOT NULL")
+        wanted = clean.groupBy(*by).agg(F.count("*").alias("n"), F.percentile("v", shares).alias("q"))
+        found = ordered.quantiles(table, "v", shares, by)
+        assert found.columns == [*by, "n", "q"]
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    none = ordered.quantiles(table.limit(0), "v", shares).collect()
+    assert [tuple(r) for r in none] == [(0, None)] and ordered.quantiles(table.limit(0), "v", shares, ["g"]).count() == 0
+
+
+def test_only_values_next_to_a_share_are_counted_apart(spark):
+    table = spark.range(0, 200_000, 1, 8).selectExpr("CAST(pmod(xxhash64(id), 1000000007) AS double) AS _v")
+    shares = [0.25, 0.5, 0.75]
+    cells = ordered._cells(table, ordered._brackets(table, shares, []), len(shares), [])
+    assert cells.count() < 200_000 * 3 * 3 * ordered.MARGIN
+    assert cells.agg(F.sum("_n")).first()[0] == 200_000
+    plan = cells._jdf.queryExecution().toString().split("Physical Plan")[1]
+    assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2  # combined per task first
 
 
 def test_many_groups_use_a_checkpoint(skewed, monkeypatch):
