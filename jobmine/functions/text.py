@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from collections.abc import Sequence
+from functools import lru_cache, reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -148,16 +149,26 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
 
-def _without_markup(settled: Column) -> Column:
-    text = F.lower(settled)
-    for pattern in (TAG, URL, EMAIL):
-        text = F.regexp_replace(text, pattern, " ")
-    return text
+def _blanked(col: Column, *rules: tuple[str, Sequence[str]]) -> Column:
+    """Every match of the rules' patterns becomes a blank. A text without any of a pattern's marks
+    has no match; searching it for a mark costs far less than running the expression over it."""
+    for pattern, marks in rules:
+        def blank(text: Column, pattern: str = pattern, marks: Sequence[str] = marks) -> Column:
+            met = reduce(Column.__or__, [text.contains(m) for m in marks])
+            return F.when(met, F.regexp_replace(text, pattern, " ")).otherwise(text)
+
+        col = F.element_at(F.transform(F.array(col), lambda text: blank(text)), 1)
+    return col
+
+
+def _without_markup(settled: Column, *more: tuple[str, Sequence[str]]) -> Column:
+    rules = (TAG, ("<",)), (URL, ("://", "www.")), (EMAIL, ("@",))
+    return _blanked(F.lower(settled), *rules, *more)
 
 
 def clean_text(col: Column) -> Column:
     """NFKC, lower case, no tags, addresses or phone numbers, no repeated punctuation."""
-    text = F.regexp_replace(_without_markup(unicode_nfkc(col)), PHONE, " ")
+    text = _without_markup(unicode_nfkc(col), (PHONE, ("0", "84")))
     return squeeze_spaces(F.regexp_replace(text, REPEATED_PUNCTUATION, "$1"))
 
 

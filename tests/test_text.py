@@ -95,3 +95,14 @@ def test_mention_log_mean_is_unweighted(spark):
     df = spark.createDataFrame(rows, "split string, d string")
     log = cleaning.mention_log_by_column(cleaning.mention_log(df, ["d"])).first()
     assert (log["rows_with_salary_mentions"], log["salary_mention_ratio"]) == (2, 0.625)
+
+
+def test_marks_rule_expressions_out(spark):
+    texts = ["plain 7 words", "a <b>x</b> y", "see www.a.example.com/x or HTTPS://b", "m A.B@Mail.Example.com n",
+             "call 0912.345.678 or +84 912345678", "<a@b.co> 12345678", None, ""]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = rows.select("i", T.clean_text(F.col("t")).alias("c"))
+    assert [r["c"] for r in found.orderBy("i").collect()] == [
+        "plain 7 words", "a x y", "see or", "m n", "call or", "12345678", "", ""]
+    assert "Contains" in found._jdf.queryExecution().analyzed().toString() or "contains(" in (
+        found._jdf.queryExecution().analyzed().toString().lower())
