@@ -68,3 +68,69 @@ def test_commonest_ngrams_with_ties(spark):
         every = Counter(g for _, t in rows[:3] for g in grams_of(t) if low <= g.count(" ") + 1 <= high)
         wanted = sorted(every.items(), key=lambda x: (-x[1], x[0]))[:n]
         assert [tuple(r) for r in X.ngram_frequency(df, "t", low, high, n).collect()] == wanted
+
+
+def no_grams(*_):
+    raise AssertionError("n-grams were made")
+
+
+@pytest.mark.parametrize("low, high, settings", [
+    (1, 3, Settings(min_df=3, max_df=0.6, vocabulary_size=60)), (1, 3, Settings(min_df=2, max_df=0.9, vocabulary_size=9_000)),
+    (2, 3, Settings(min_df=2, max_df=0.9, vocabulary_size=40)), (1, 3, Settings(min_df=2, vocabulary_size=90, ngram_max=2)),
+    (1, 4, Settings(min_df=2, max_df=0.9, vocabulary_size=300, ngram_max=4)),
+])
+def test_terms_are_counted_and_weighed_from_the_words_alone(spark, low, high, settings, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(15)] + ["đà", "𝒳𝒴"]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 30), p=np.arange(17, 0, -1) / 153)) for _ in range(90)]
+    rows = [(i % 70, t) for i, t in enumerate([*texts, *texts[:9], None, "", "solo"])]
+    df = X.tokenize_ngrams(spark.createDataFrame(rows, "id long, t string").repartition(3), "t", "grams", low, high)
+    plain = df.select("id", "grams")  # the words are gone, so the n-grams themselves are read
+    model = X.TfidfModel.fit(plain, settings=settings)
+
+    def found(of):
+        return sorted((r["id"], tuple(r["term_idx"]), tuple(r["weight"])) for r in X.tfidf_transform(of, model).collect())
+
+    wanted = found(plain)
+    monkeypatch.setattr(X, "_joined", no_grams)
+    monkeypatch.setattr(X, "_PART", 50)
+    assert model.terms and X.TfidfModel.fit(df, settings=settings) == model
+    assert found(df) == wanted
+
+
+def test_ngrams_changed_afterwards_are_read_themselves(spark):
+    df = X.tokenize_ngrams(spark.createDataFrame([(1, "aa bb"), (2, "aa")], "id long, t string"), "t")
+    changed = df.withColumn("grams", F.filter("grams", lambda g: g != "aa"))
+    found = X.select_vocabulary(changed, settings=Settings(min_df=1, max_df=1.0)).collect()
+    assert sorted(r["term"] for r in found) == ["aa bb", "bb"]
+
+
+def test_terms_that_no_words_make_are_not_found(spark):
+    df = X.tokenize_ngrams(spark.createDataFrame([(1, "aa bb cc dd")], "id long, t string"), "t", "grams", 2, 3)
+    model = X.TfidfModel(["", "aa", "aa  bb", "aa bb", "aa bb cc dd", "bb cc dd"], [1.0] * 6)
+    found = X.tfidf_transform(df, model).first()
+    assert found["term_idx"] == [3, 5] and found["weight"] == pytest.approx([0.5**0.5] * 2)
+
+
+def test_places_of_numbers_that_share_slots():
+    rng = np.random.default_rng(4)
+    held = np.unique(rng.integers(-(1 << 62), 1 << 62, 3_000))
+    places, asked = X._Places(held), np.concatenate([held[::-1], held + 1])
+    where = {h: i for i, h in enumerate(held.tolist())}
+    assert len(places.tables) > 1 and places.find(asked).tolist() == [where.get(a, -1) for a in asked.tolist()]
+    assert X._Places(held[:0]).find(asked).tolist() == [-1] * len(asked)
+
+
+def test_the_passes_of_the_svd_read_packed_weights(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    matrix = rng.normal(size=(50, 12)) * (rng.random((50, 12)) < 0.4)
+    rows = [(i, np.flatnonzero(r).tolist(), r[r != 0].tolist()) for i, r in enumerate(matrix)]
+    rows += [(50, [], []), (51, None, None)]
+    weights = spark.createDataFrame(rows, "id long, term_idx array<int>, weight array<double>").repartition(3)
+    seen, inner = [], X._gram_times
+    monkeypatch.setattr(X, "_PART", 20)
+    monkeypatch.setattr(X, "_CELLS", 64)
+    monkeypatch.setattr(X, "_gram_times", lambda w, panels: seen.append(w) or inner(w, panels))
+    factor = X.svd_fit(weights, 12, 52, 3, passes=15)
+    assert all(w.columns == ["sizes", "terms", "values"] for w in seen) and seen[0].count() > 3
+    assert np.linalg.norm(matrix @ factor, axis=0) == pytest.approx(np.linalg.svd(matrix)[1][:3], rel=1e-4)
