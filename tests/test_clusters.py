@@ -240,3 +240,29 @@ def test_keywords_count_absent_terms_as_zero(spark):
 def test_demo_rows_use_the_columns_there_are(spark):
     demo = P.demo_rows(profile_rows(spark), 2)
     assert demo.count() == 2 and "location" not in demo.columns
+
+
+def test_silhouette_holds_a_bounded_number_of_distances(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(int(c), rng.normal(size=3).tolist()) for c in rng.integers(0, 3, 1_200)]
+    df = spark.createDataFrame(rows, "cluster_id int, features array<double>").coalesce(1)
+    wanted, inner, most = scoring.silhouette(df).first()[0], scoring.squared_distances, 1 << 19
+
+    def bounded(points, others):
+        if len(points) * len(others) > most:
+            raise AssertionError("too many distances at once")
+        return inner(points, others)
+
+    monkeypatch.setattr(scoring, "squared_distances", bounded)
+    assert scoring.silhouette(df).first()[0] == pytest.approx(wanted, abs=1e-12)
+    monkeypatch.setattr(scoring, "_DISTANCES", 7)  # fewer than a row has
+    assert scoring.silhouette(df.limit(60)).first()[0] is not None
+    points, own = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    gaps = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    sums = np.stack([gaps[:, own == c].sum(1) for c in range(3)], 1)
+    sizes, at = np.bincount(own), np.arange(len(own))
+    inside = sums[at, own] / (sizes[own] - 1)
+    means = sums / sizes
+    means[at, own] = np.inf
+    outside = means.min(1)
+    assert wanted == pytest.approx(((outside - inside) / np.maximum(inside, outside)).mean(), abs=1e-9)
