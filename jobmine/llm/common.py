@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobmine.session import small_batches  # noqa: F401  for the operators here
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -43,26 +44,6 @@ def matching(docs: DataFrame, decided: DataFrame, how: str, id_col: str = "doc_i
     return docs.join(marked, same, how)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, size: int = 4 << 20, rows: int | None = None) -> Iterator[None]:
-    """Arrow batches of at most ``size`` bytes for the jobs run inside, and if given at most ``rows``
-    rows decoded at once by the parquet reader; long rows need less memory."""
-    wanted = {"spark.sql.execution.arrow.maxBytesPerBatch": str(size)}
-    if rows is not None:
-        wanted["spark.sql.parquet.columnarReaderBatchSize"] = str(rows)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def only_row(df: DataFrame) -> dict:
     """The single row of an aggregate without groups."""
     return df.first().asDict()

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,38 @@ def test_the_passes_of_the_svd_read_packed_weights(spark, monkeypatch):
     factor = X.svd_fit(weights, 12, 52, 3, passes=15)
     assert all(w.columns == ["sizes", "terms", "values"] for w in seen) and seen[0].count() > 3
     assert np.linalg.norm(matrix @ factor, axis=0) == pytest.approx(np.linalg.svd(matrix)[1][:3], rel=1e-4)
+
+
+@pytest.mark.parametrize("slots", [8, 64, 1 << 22])
+@pytest.mark.parametrize("low, high", [(1, 3), (2, 3), (3, 3), (2, 2)])
+def test_terms_that_share_a_slot_are_told_apart(spark, low, high, slots, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(30)], rng.integers(0, 20))) for _ in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "id long, t string").repartition(3)
+    every = Counter(g for t in texts for g in grams_of(t) if low <= g.count(" ") + 1 <= high)
+    monkeypatch.setattr(X, "_SLOTS", slots)
+    monkeypatch.setattr(X, "_PART", 200)
+    for n in (3, 40):
+        wanted = sorted(every.items(), key=lambda x: (-x[1], x[0]))[:n]
+        assert [tuple(r) for r in X.ngram_frequency(df, "t", low, high, n).collect()] == wanted
+
+
+def test_rare_pairs_are_not_counted_one_by_one(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = ["the same two words " + " ".join(f"r{i}" for i in rng.integers(0, 5_000, 60)) for _ in range(400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string").repartition(3)
+    counted, inner = [], X._hash_counts
+    monkeypatch.setattr(X, "_hash_counts", lambda *a: counted.append(inner(*a)) or counted[-1])
+    assert [tuple(r) for r in X.ngram_frequency(df, "t", 2, 2, 3).collect()] == [
+        ("same two", 400), ("the same", 400), ("two words", 400)]
+    assert 3 <= sum(c.count() for c in counted) < 4_000  # of 20,000 and more
+
+
+def test_packed_words_do_not_wait_for_a_hundred_rows(spark, monkeypatch):
+    df = spark.createDataFrame([("aa bb cc dd " * 9,)] * 60, "t string").coalesce(1)
+    monkeypatch.setattr(X, "_PART", 40)
+    monkeypatch.setitem(X._GROUPS, "parquet.block.size", 1 << 10)
+    rows = X.tokenize_ngrams(df, "t")
+    packed, places = X._packed_words(rows, "_grams_words")
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata.num_row_groups for f in packed.inputFiles()]
+    assert places == 60 * 36 and packed.count() == 60 and max(groups) > 5
