@@ -170,3 +170,22 @@ def test_packed_words_do_not_wait_for_a_hundred_rows(spark, monkeypatch):
     packed, places = X._packed_words(rows, "_grams_words")
     groups = [pq.ParquetFile(f.removeprefix("file://")).metadata.num_row_groups for f in packed.inputFiles()]
     assert places == 60 * 36 and packed.count() == 60 and max(groups) > 5
+
+
+def test_weights_are_made_from_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    df = X.tokenize_ngrams(spark.createDataFrame([(1, "aa bb")], "id long, t string"), "t")
+    try:
+        for given, kept in (("64m", 4 << 20), (str(1 << 20), 1 << 20)):
+            spark.conf.set(key, given)
+            X.tfidf_transform(df, X.TfidfModel(["aa"], [1.0]))
+            assert int(spark.conf.get(key)) == kept
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_rough_counts_are_packed_without_loss():
+    values = np.random.default_rng(1).integers(0, 1 << 40, 64)
+    values[::3] = 0
+    assert X._from_planes(X._planes(values), 64).tolist() == values.tolist()
