@@ -42,8 +42,11 @@ from jobmine.llm.katz import pack, pack_sorted, unpack, unpack_sorted
 from jobmine.session import stage
 
 LENGTH, LEAD = 100, 32
-CHUNK_BYTES = 1 << 20
-READ_ROWS = 32
+# A chunk meets nearly every bucket with a row of its own, and there are buckets in proportion to the bytes, so
+# chunks are as large as a task can hold, but a small table is dealt to some dozens.
+CHUNK_BYTES, LEAST_CHUNK, CHUNKS = 16 << 20, 1 << 20, 96
+READ_ROWS = 4
+_GROUPS = {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1}  # else a hundred rows wait
 BLOCK_BYTES = 1 << 17
 BATCHES = 3
 BUCKET_ITEMS = 1 << 19
@@ -269,13 +272,14 @@ def _cells(keys: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
 
 
 def _cell_sizes(buckets: int, length: int):
-    """Windows per cell of the surroundings of each row."""
+    """Windows per cell of the surroundings a task reads."""
     def count(frames):
+        total = np.zeros(buckets * CELLS, np.int64)
         for frame in frames:
             for r in frame.itertuples():
-                cells, at = np.unique(_cells(unpack(r.keys, np.uint64), r.bucket, buckets), return_inverse=True)
-                windows = np.bincount(at, unpack(r.sizes, np.int64) - length + 1).astype(np.int64)
-                yield pd.DataFrame({"cell": cells, "windows": windows})
+                np.add.at(total, _cells(unpack(r.keys, np.uint64), r.bucket, buckets), unpack(r.sizes, np.int64) - length + 1)
+        cells = np.flatnonzero(total)
+        yield pd.DataFrame({"cell": cells, "windows": total[cells]})
 
     return count
 
@@ -399,11 +403,11 @@ def _removed(length: int):
     def remove(chunk: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         row = next(chunk.itertuples())
         docs, bounds, data = _opened(row)
-        depth = np.zeros(len(data) + 1, np.int64)
+        depth = np.zeros(len(data) + 1, np.int32)
         for m in marks.itertuples():
             np.add.at(depth, unpack(m.first, np.int64), 1)
             np.add.at(depth, unpack(m.sizes, np.int64) + length, -1)
-        gone = np.cumsum(depth)[:-1] > 0
+        gone = np.cumsum(depth, out=depth)[:-1] > 0
         rows = []
         for doc, a, b in zip(docs.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             part = gone[a:b]
@@ -436,10 +440,12 @@ def _ordered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, lead: int = LEAD,
-                   batches: int = BATCHES, chunk_bytes: int = CHUNK_BYTES, bucket_items: int = BUCKET_ITEMS,
+                   batches: int = BATCHES, chunk_bytes: int | None = None, bucket_items: int = BUCKET_ITEMS,
                    hot_windows: int = HOT_WINDOWS, dealt_windows: int = DEALT_WINDOWS) -> DataFrame:
     """A row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     rows, texts = _ordered(narrow(docs, id_col, text_col))
+    if chunk_bytes is None:
+        chunk_bytes = min(CHUNK_BYTES, max(LEAST_CHUNK, (rows.agg(F.sum("n_bytes")).first()[0] or 0) // CHUNKS))
     firsts = rows.where(F.col("n_bytes") >= length).groupBy("digest").agg(
         F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("digest", "first")
     copies = rows.join(firsts, "digest").where("doc > first")
@@ -447,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gone = copies.select("doc").distinct()
     gone = F.broadcast(gone) if copies.count() <= _BROADCAST_ROWS else gone
     with small_batches(docs.sparkSession, rows=READ_ROWS):  # of every job here, as chunks are long rows
-        chunked = stage(chunks(texts.join(gone, "doc", "left_anti"), chunk_bytes), "suffix-chunks")
+        chunked = stage(chunks(texts.join(gone, "doc", "left_anti"), chunk_bytes), "suffix-chunks", **_GROUPS)
         total = int(chunked.agg(F.sum("n_bytes")).first()[0] or 0)
         buckets = max(1, -(-total // (30 * bucket_items)))
         family, reports = IndexFamily(), None
@@ -461,7 +467,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = stage(reported.applyInPandas(_surroundings(spread, length, lead), _FOUND_SCHEMA), "surroundings")
         texts = found.where("part = 'text'")
         mark_schema = "chunk bigint, first binary, sizes binary"
-        cells = texts.select("bucket", "keys", "sizes").mapInPandas(_cell_sizes(spread, length), "cell bigint, windows bigint")
+        few = 4 * docs.sparkSession.sparkContext.defaultParallelism
+        cells = texts.select("bucket", "keys", "sizes").coalesce(few).mapInPandas(_cell_sizes(spread, length), "cell bigint, windows bigint")
         cells = cells.groupBy("cell").agg(F.sum("windows").alias("windows")).where(F.col("windows") > hot_windows).collect()
         marks = found.where("part = 'mark'").select("chunk", "first", "sizes")
         if cells:

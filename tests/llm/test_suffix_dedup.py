@@ -4,6 +4,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+
 from jobmine.llm import suffix_dedup
 from jobmine.llm.suffix_dedup import op10, remove_repeats
 
@@ -91,3 +94,29 @@ def test_hot_suffix_is_dealt_over_groups(spark, monkeypatch):
     whole = suffix_dedup._compare
     monkeypatch.setattr(suffix_dedup, "_compare", bounded)
     assert result(remove_repeats(docs, **limits)) == brute(rows)
+
+
+def test_chunks_grow_with_the_table(spark, monkeypatch):
+    draw = random.Random(4)
+    passage = "".join(draw.choices("abcdefgh ", k=200))
+    rows = [(i, "".join(draw.choices("abcdefgh ", k=300)) + passage * (i % 3 == 0)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    total, sizes, whole = sum(len(t) for _, t in rows), [], suffix_dedup.chunks
+    monkeypatch.setattr(suffix_dedup, "chunks", lambda df, size: sizes.append(size) or whole(df, size))
+    monkeypatch.setattr(suffix_dedup, "CHUNKS", 5)
+    for least, most in ((1, 1 << 20), (1, 900), (1 << 20, 1 << 24)):
+        monkeypatch.setattr(suffix_dedup, "LEAST_CHUNK", least)
+        monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", most)
+        assert result(op10(docs)) == brute(rows)
+    assert sizes == [total // 5, 900, 1 << 20]
+
+
+def test_windows_of_a_cell_are_added_up_before_they_leave_a_task():
+    keys, sizes = np.array([5, 5, 9], np.uint64), np.array([100, 104, 199])
+    frame = pd.DataFrame({"bucket": [0, 0], "keys": [suffix_dedup.pack(keys)] * 2, "sizes": [suffix_dedup.pack(sizes)] * 2})
+    found = list(suffix_dedup._cell_sizes(1, 100)([frame, frame]))
+    cells = suffix_dedup._cells(keys, 0, 1)
+    wanted = Counter()
+    for cell, n in zip(cells.tolist(), (1, 5, 100), strict=True):
+        wanted[cell] += 4 * n
+    assert len(found) == 1 and dict(zip(found[0]["cell"], found[0]["windows"], strict=True)) == wanted
