@@ -189,3 +189,10 @@ def test_rough_counts_are_packed_without_loss():
     values = np.random.default_rng(1).integers(0, 1 << 40, 64)
     values[::3] = 0
     assert X._from_planes(X._planes(values), 64).tolist() == values.tolist()
+
+
+def test_many_parts_are_packed_into_few_files(spark):
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    df = X.tokenize_ngrams(spark.createDataFrame([("aa bb",)] * 200, "t string").repartition(3 * tasks), "t")
+    packed, places = X._packed_words(df, "_grams_words")
+    assert places == 400 and 1 < len(packed.inputFiles()) <= tasks
