@@ -196,3 +196,14 @@ def test_many_parts_are_packed_into_few_files(spark):
     df = X.tokenize_ngrams(spark.createDataFrame([("aa bb",)] * 200, "t string").repartition(3 * tasks), "t")
     packed, places = X._packed_words(df, "_grams_words")
     assert places == 400 and 1 < len(packed.inputFiles()) <= tasks
+
+
+def test_packed_weights_do_not_wait_for_a_hundred_rows(spark, monkeypatch):
+    rows = [(i, list(range(40)), np.random.default_rng(i).random(40).tolist()) for i in range(60)]
+    weights = spark.createDataFrame(rows, "id long, term_idx array<int>, weight array<double>").coalesce(1)
+    monkeypatch.setattr(X, "_PART", 40)
+    monkeypatch.setitem(X._GROUPS, "parquet.block.size", 1 << 10)
+    packed = X._packed_weights(weights)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in packed.inputFiles()]
+    assert packed.count() == 60 and max(f.num_row_groups for f in files) > 5
+    assert files[0].row_group(0).column(0).compression == "ZSTD"
